@@ -81,9 +81,9 @@ _URL_KEY_SQL = (
 
 @register("dedup_url", f"""
 WITH both_copies AS (
-  SELECT page_id, url, html, 0 AS copy FROM pages
+  SELECT page_id, url, html, CAST(0 AS BIGINT) AS copy FROM pages
   UNION ALL
-  SELECT page_id, {_URL_KEY_SQL} AS url, html, 1 AS copy FROM pages
+  SELECT page_id, {_URL_KEY_SQL} AS url, html, CAST(1 AS BIGINT) AS copy FROM pages
 )
 SELECT url, page_id, copy FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY copy, page_id) AS rn FROM both_copies

@@ -39,3 +39,17 @@ def sql_str(s: str) -> str:
 
 def sql_list(items) -> str:
     return "[" + ", ".join(sql_str(i) for i in items) + "]"
+
+
+def widen_integers(df: DataFrame) -> DataFrame:
+    """Result typing shared with SQL engines: 8/16/32-bit integers become
+    64-bit (``length``/``size``/``row_number`` are 32-bit in Spark, BIGINT in
+    most SQL engines)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ByteType, IntegerType, ShortType
+
+    small = (ByteType, IntegerType, ShortType)
+    if not any(isinstance(f.dataType, small) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("long").alias(f.name) if isinstance(f.dataType, small)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])

@@ -144,7 +144,7 @@ def q_sentiment_series(spark, sf_dir):
 @register("label_balance", """
 SELECT CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < 'd' THEN 'train'
             WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) = 'd' THEN 'validation' ELSE 'test' END AS split,
-       CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 ELSE 1 END AS label,
+       CAST(CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 ELSE 1 END AS BIGINT) AS label,
        count(*) AS count
 FROM labels GROUP BY ALL
 """)

@@ -13,6 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from quarry.plans import ORACLE, QUERIES  # noqa: E402
+from quarry.plans.registry import widen_integers  # noqa: E402
 from quarry.plans.verify import compare, duck  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 
@@ -27,7 +28,7 @@ def main(argv):
         t0 = time.time()
         try:
             if name in ORACLE:
-                res = compare(spark, name, QUERIES[name], ORACLE[name], sf_dir, con)
+                res = compare(spark, name, lambda s, d, f=QUERIES[name]: widen_integers(f(s, d)), ORACLE[name], sf_dir, con)
             else:
                 n = QUERIES[name](spark, sf_dir).count()
                 res = {"name": name, "rows_spark": n, "match": None}
