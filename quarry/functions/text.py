@@ -166,20 +166,24 @@ def tokens(c) -> Column:
 
 
 def ngrams(tok: Column, n_max: int = 2) -> Column:
-    """1- to ``n_max``-grams of a token array (grams joined by one space)."""
-    grams = tok
-    for n in range(2, n_max + 1):
-        k = n
-        joined = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(tok) - (k - 1), F.lit(1))),
-            lambda i: F.array_join(F.slice(tok, i, k), " "),
-        )
-        grams = F.concat(grams, F.when(F.size(tok) >= k, joined).otherwise(F.array().cast("array<string>")))
-    return grams
+    """1- to ``n_max``-grams of a token array (grams joined by one space).
+
+    Each order k zips the (k-1)-grams with the tokens shifted by k-1; the
+    padding nulls at the tail are filtered.  ``tok`` should be a column
+    reference: it is read a fixed number of times, never once per element.
+    """
+    out = tok
+    prev = tok
+    for k in range(2, n_max + 1):
+        shifted = F.slice(tok, k, F.greatest(F.size(tok) - (k - 1), F.lit(0)))
+        prev = F.zip_with(prev, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+        out = F.concat(out, F.filter(prev, lambda g: g.isNotNull()))
+    return out
 
 
 def terms(c, stopwords: list[str], n_max: int = 2) -> Column:
-    """C20: tokens, stop words removed, then 1..n_max-grams."""
+    """C20: tokens, stop words removed, then 1..n_max-grams (single
+    expression; ``operators.topics.doc_terms`` is the fast form for tables)."""
     kept = F.filter(tokens(c), lambda t: ~t.isin(stopwords))
     return ngrams(kept, n_max)
 

@@ -16,14 +16,14 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..functions.text import terms as terms_col
+from ..functions.text import ngrams, tokens
 from .aggregates import top_k_per_group
 from .joins import dot
 
@@ -54,9 +54,20 @@ def topic_stopwords(extra: Sequence[str] = L.DOMAIN_STOPWORDS) -> list[str]:
 
 def doc_terms(df: DataFrame, text: Column | str, keep: Sequence[str], stopwords: Sequence[str],
               n_max: int = L.NGRAM_RANGE[1]) -> DataFrame:
-    """One row per term occurrence: ``keep`` columns + ``term``."""
+    """One row per term occurrence: ``keep`` columns + ``term`` (C20).
+
+    Tokens are materialised once as a column; stop words go through Spark
+    ML's ``StopWordsRemover`` (hash-set lookup, order and repeats kept); the
+    n-grams are built from the column reference.  ``explode_outer`` + a null
+    filter keeps Catalyst from pushing an inferred ``size > 0`` predicate
+    below the tokenising projection.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    return df.select(*keep, F.explode(terms_col(t, list(stopwords), n_max)).alias("term"))
+    tok = df.select(*keep, tokens(t).alias("_raw"))
+    tok = StopWordsRemover(inputCol="_raw", outputCol="_tok", stopWords=list(stopwords),
+                           caseSensitive=True).transform(tok)
+    grams = tok.select(*keep, F.explode_outer(ngrams(F.col("_tok"), n_max)).alias("term"))
+    return grams.filter(F.col("term").isNotNull())
 
 
 def term_counts(occ: DataFrame) -> DataFrame:
@@ -64,23 +75,26 @@ def term_counts(occ: DataFrame) -> DataFrame:
     return occ.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
-def document_frequency(occ: DataFrame, unit: str) -> DataFrame:
-    """Number of distinct ``unit`` values (documents or topics) per term.
+def document_frequency(pairs: DataFrame) -> DataFrame:
+    """Number of units (documents or topics) per term, from a table with one
+    row per (unit, term) - e.g. ``topic_term_counts`` or distinct pairs."""
+    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
-    ``(unit, term)`` is de-duplicated by a first aggregate, so the second is a
-    plain count - no distinct aggregate buffer per term.
-    """
-    return occ.select(unit, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
+def unit_term_pairs(occ: DataFrame, unit: str) -> DataFrame:
+    """Distinct (unit, term) pairs of an occurrence table (partial-aggregated)."""
+    return occ.select(unit, "term").distinct()
 
-def vocabulary(occ: DataFrame, unit: str, min_df: float = L.MIN_DF, max_df: float = L.MAX_DF) -> DataFrame:
+
+def vocabulary(pairs: DataFrame, unit: str, min_df: float = L.MIN_DF, max_df: float = L.MAX_DF) -> DataFrame:
     """M4: terms whose document frequency lies within ``[min_df, max_df]``.
 
-    Integers are counts, floats in (0, 1] are shares of the number of units
-    (vectoriser semantics).  The unit count is a scalar subquery.
+    ``pairs`` has one row per (unit, term).  Integers are counts, floats are
+    shares of the number of units (vectoriser semantics); the unit count is a
+    scalar subquery.
     """
-    dfreq = document_frequency(occ, unit)
-    n_units = occ.select(F.count_distinct(unit)).scalar()
+    dfreq = document_frequency(pairs)
+    n_units = pairs.select(F.count_distinct(unit)).scalar()
 
     def bound(v):
         return F.lit(float(v)) * n_units if isinstance(v, float) else F.lit(v)
@@ -88,15 +102,19 @@ def vocabulary(occ: DataFrame, unit: str, min_df: float = L.MIN_DF, max_df: floa
     return dfreq.filter((F.col("df") >= bound(min_df)) & (F.col("df") <= bound(max_df)))
 
 
-def class_tfidf(occ: DataFrame, topic: str = "topic", vocab: DataFrame | None = None) -> DataFrame:
-    """M5: class-based TF-IDF per (topic, term).
+def topic_term_counts(occ: DataFrame, topic: str = "topic") -> DataFrame:
+    """tf(c, t): occurrences of each term per class (one shuffle, partial agg)."""
+    return occ.groupBy(topic, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def class_tfidf(tf: DataFrame, topic: str = "topic", vocab: DataFrame | None = None) -> DataFrame:
+    """M5: class-based TF-IDF per (topic, term) from ``topic_term_counts``.
 
     w(c, t) = tf(c, t) / sum_t tf(c, t) * ln(1 + A / f(t)), where f(t) is the
     term's frequency over all classes and A the average number of words per
-    class (truncated to an integer).  Group totals come from windows over the
-    small aggregated table; A is a scalar subquery.
+    class (truncated to an integer).  Everything runs on the aggregated
+    (topic x vocabulary) table: totals by windows, A as a scalar subquery.
     """
-    tf = occ.groupBy(topic, "term").agg(F.count(F.lit(1)).alias("tf"))
     if vocab is not None:
         tf = tf.join(vocab.select("term"), "term", "left_semi")
     tf = tf.withColumn("class_total", F.sum("tf").over(Window.partitionBy(topic)))
