@@ -121,7 +121,27 @@ def class_tfidf(tf: DataFrame, topic: str = "topic", vocab: DataFrame | None = N
     tf = tf.withColumn("term_total", F.sum("tf").over(Window.partitionBy("term")))
     avg_words = tf.groupBy(topic).agg(F.sum("tf").alias("n")).select(F.floor(F.avg("n"))).scalar()
     idf = F.log(F.lit(1.0) + avg_words / F.col("term_total"))
-    return tf.withColumn("weight", F.col("tf") / F.col("class_total") * idf).select(topic, "term", "tf", "weight")
+    out = tf.withColumn("idf", idf).withColumn("weight", F.col("tf") / F.col("class_total") * F.col("idf"))
+    return out.select(topic, "term", "tf", "idf", "weight")
+
+
+def representative_texts(occ: DataFrame, weights: DataFrame, k: int = 3, topic: str = "topic",
+                         id_col: str = "doc_id") -> DataFrame:
+    """M8 for text topics: the ``k`` documents whose c-TF-IDF vector
+    (term counts x idf) is most cosine-similar to their topic's vector.
+
+    Only equi-joins on (topic, term) and aggregates: the document-term table
+    is joined to the topic weights, partial sums give dot products and norms.
+    """
+    dt = occ.groupBy(id_col, topic, "term").agg(F.count(F.lit(1)).alias("n"))
+    w = weights.select(topic, "term", "idf", "weight")
+    dv = dt.join(w, [topic, "term"]).withColumn("v", F.col("n") * F.col("idf"))
+    per_doc = dv.groupBy(id_col, topic).agg(
+        F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("dn"))
+    wn = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("wn"))
+    sim = per_doc.join(wn, topic).withColumn("similarity", F.col("dot") / (F.col("dn") * F.col("wn")))
+    top = top_k_per_group(sim, topic, k, [F.col("similarity").desc(), F.col(id_col)], rank_col="rank")
+    return top.select(topic, "rank", id_col, "similarity")
 
 
 def topic_keywords(weights: DataFrame, n: int = L.TOP_N_WORDS, topic: str = "topic") -> DataFrame:
@@ -243,3 +263,72 @@ def reduce_dims(df: DataFrame, vec: str = "embedding", k: int = L.REDUCED_DIMS,
     v = df.withColumn("_v", array_to_vector(F.col(vec)))
     model = PCA(k=k, inputCol="_v", outputCol="_p").fit(v)
     return model.transform(v).withColumn(out, vector_to_array("_p")).drop("_v", "_p")
+
+
+def _cell(vec: Column, dims: int, eps: float) -> Column:
+    return F.array(*[F.floor(vec[i] / F.lit(eps)).cast("long") for i in range(dims)])
+
+
+def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: int = 3) -> DataFrame:
+    """Min-label propagation over an undirected graph until no label changes.
+
+    ``nodes``: column ``node``; ``edges``: ``src``, ``dst`` (both directions
+    present).  Every round is one join + one aggregate; the label table is
+    checkpointed every few rounds to keep the lineage short.  Returns
+    ``node, component`` with the component labelled by its smallest node.
+    """
+    labels = nodes.select("node", F.col("node").alias("component"))
+    rounds = 0
+    while True:
+        rounds += 1
+        via = edges.join(labels.withColumnRenamed("node", "dst"), "dst").select(
+            F.col("src").alias("node"), "component")
+        new = labels.unionByName(via).groupBy("node").agg(F.min("component").alias("component"))
+        changed = new.join(labels.withColumnRenamed("component", "_old"), "node").filter(
+            F.col("component") < F.col("_old")).limit(1).count()
+        labels = new.checkpoint(eager=True) if rounds % checkpoint_every == 0 or not changed else new
+        if not changed:
+            return labels
+
+
+def density_topics(df: DataFrame, vec: str = "reduced", dims: int = L.REDUCED_DIMS, eps: float = 0.5,
+                   min_samples: int = L.MIN_SAMPLES, min_cluster_size: int = L.MIN_CLUSTER_SIZE,
+                   id_col: str = "vec_id", out: str = "topic") -> DataFrame:
+    """M2: grid density clustering with noise (-1).
+
+    Space is cut into cubes of side ``eps``; a cube holding at least
+    ``min_samples`` points is dense.  Dense cubes that touch (any of the
+    3^d - 1 neighbours) form clusters via connected components; points of a
+    non-dense cube touching a dense one join that cluster (smallest label),
+    the rest are noise.  Clusters under ``min_cluster_size`` points become
+    noise; the others are numbered 0, 1, ... by size (largest first), as
+    topic ids are.  Only cube-level tables move between stages: the number
+    of cubes, not of points, drives the graph work.
+    """
+    import itertools
+
+    pts = df.select(id_col, _cell(F.col(vec), dims, eps).alias("cell"))
+    cells = pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    dense = cells.filter(F.col("n") >= min_samples).select("cell")
+    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims) if any(o)]
+    off_col = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])
+
+    def neighbours(frame: DataFrame) -> DataFrame:
+        return frame.select("cell", F.explode(off_col).alias("_off")).select(
+            "cell", F.zip_with("cell", "_off", lambda a, b: a + b).alias("nb"))
+
+    edges = neighbours(dense).join(dense.withColumnRenamed("cell", "nb"), "nb").select(
+        F.col("cell").alias("src"), F.col("nb").alias("dst"))
+    comps = connected_components(edges, dense.withColumnRenamed("cell", "node"))
+    comps = comps.withColumnRenamed("node", "cell")
+    # border cubes: non-dense cubes next to a dense one take the smallest adjacent component
+    sparse = cells.filter(F.col("n") < min_samples).select("cell")
+    border = neighbours(sparse).join(comps.withColumnRenamed("cell", "nb"), "nb").groupBy("cell").agg(
+        F.min("component").alias("component"))
+    cell_comp = comps.unionByName(border)
+    sizes = cells.join(cell_comp, "cell").groupBy("component").agg(F.sum("n").alias("size"))
+    kept = sizes.filter(F.col("size") >= min_cluster_size)
+    ranked = kept.withColumn(out, (F.row_number().over(
+        Window.orderBy(F.col("size").desc(), F.col("component"))) - 1).cast("int"))  # few clusters
+    cell_topic = cell_comp.join(ranked.select("component", out), "component").select("cell", out)
+    return pts.join(cell_topic, "cell", "left").select(id_col, F.coalesce(F.col(out), F.lit(-1)).alias(out))

@@ -210,3 +210,135 @@ def q_topic_join_keep(spark, sf_dir):
     docs = embedding_topics(spark, sf_dir).select("vec_id", "topic")
     joined = label_topics(docs, topic_label_table(spark), "topic")
     return keep_curated(joined).select("vec_id", "topic", "topic_name", "industry_label")
+
+
+# --- topic fit on vectors: reduce -> density clusters -> outliers ---------
+
+DENSITY_EPS = 0.18
+
+
+def fitted_topics(spark, sf_dir):
+    """M1 -> M2: 5-dimensional principal components, then grid density
+    clusters with the published minimum sizes (noise = -1)."""
+    emb = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    red = TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced").checkpoint(eager=True)
+    topics = TP.density_topics(red, "reduced", L.REDUCED_DIMS, DENSITY_EPS, L.MIN_SAMPLES, L.MIN_CLUSTER_SIZE)
+    return red.join(topics, "vec_id")
+
+
+@register("reduced_dims", None)
+def q_reduced_dims(spark, sf_dir):
+    """M1: principal components of the vectors (rows-only check: component
+    signs are not unique, so no SQL oracle)."""
+    emb = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    red = TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced")
+    return red.select("vec_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))
+
+
+@register("density_topics", None)
+def q_density_topics(spark, sf_dir):
+    """M2: topic per vector from density clustering (-1 = noise)."""
+    return fitted_topics(spark, sf_dir).select("vec_id", "topic")
+
+
+@register("outliers_reduced", None)
+def q_outliers_reduced(spark, sf_dir):
+    """M9: noise vectors moved to the nearest topic centroid (in the original
+    space); clustered vectors keep their topic."""
+    fit = fitted_topics(spark, sf_dir)
+    emb = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]).join(fit.select("vec_id", "topic"), "vec_id")
+    cents = TP.centroids(emb.filter(F.col("topic") != -1), "embedding", "topic")
+    if cents.limit(1).count() == 0:
+        return emb.select("vec_id", "topic")
+    return TP.reduce_outliers(emb, cents, "embedding", "topic").select("vec_id", "topic")
+
+
+# --- text topic representatives and dashboard extracts --------------------
+
+REP_SQL = """
+dt AS (SELECT doc_id, topic, term, count(*) AS n FROM occ GROUP BY ALL),
+idf AS (SELECT DISTINCT term, ln(1 + (SELECT a FROM aw) / term_total) AS idf FROM tot),
+wn AS (SELECT topic, sqrt(sum(weight * weight)) AS wn FROM wt GROUP BY topic),
+dv AS (SELECT dt.doc_id, dt.topic, dt.term, dt.n * idf.idf AS v FROM dt JOIN idf ON dt.term = idf.term),
+pd AS (SELECT dv.doc_id, dv.topic, sum(dv.v * wt.weight) AS dot, sqrt(sum(dv.v * dv.v)) AS dn
+       FROM dv JOIN wt ON dv.topic = wt.topic AND dv.term = wt.term GROUP BY ALL),
+sim AS (SELECT pd.topic, pd.doc_id, pd.dot / (pd.dn * wn.wn) AS similarity FROM pd JOIN wn ON pd.topic = wn.topic),
+rep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY similarity DESC, doc_id) AS rank
+                      FROM sim) WHERE rank <= 3)
+"""
+
+
+@register("representative_texts", f"""
+WITH {OCC_SQL}, {WEIGHTS_SQL}, {REP_SQL}
+SELECT topic, rank, doc_id, round(similarity, 6) AS similarity FROM rep
+""")
+def q_representative_texts(spark, sf_dir):
+    """M8 on text topics: three documents closest to their topic's c-TF-IDF vector."""
+    rep = TP.representative_texts(occurrences(spark, sf_dir), weights(spark, sf_dir), 3)
+    return rep.select("topic", "rank", "doc_id", F.round("similarity", 6).alias("similarity"))
+
+
+SUMMARY_KEYWORDS = 8
+
+
+def topic_summary(spark, sf_dir):
+    """K8 topics table: id, name, size, keywords, representative excerpt, industry."""
+    w = weights(spark, sf_dir)
+    occ = occurrences(spark, sf_dir)
+    docs = topic_docs(spark, sf_dir)
+    info = TP.topic_info(docs, TP.topic_keywords(w, L.TOP_N_WORDS))
+    kw8 = TP.topic_keywords(w, SUMMARY_KEYWORDS).select("topic", F.col("keywords").alias("kw8"))
+    rep = TP.representative_texts(occ, w, 1).select("topic", "doc_id")
+    texts = docs.select("doc_id", "topic_text")
+    rep_text = rep.join(texts, "doc_id").select("topic", T.excerpt("topic_text", L.EXCERPT_CHARS).alias("doc"))
+    return (
+        info.join(kw8, "topic", "left").join(rep_text, "topic", "left")
+        .select(F.col("topic").alias("topic_id"), F.col("name").alias("final_topic"),
+                F.col("count").alias("topic_size"), F.col("kw8").alias("keywords"),
+                F.col("doc").alias("representative_doc"), F.col("topic").alias("industry"))
+    )
+
+
+@register("dashboard_topics", f"""
+WITH {OCC_SQL}, {WEIGHTS_SQL}, {REP_SQL},
+words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
+sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic),
+r1 AS (SELECT rep.topic, substr(d.tt, 1, {L.EXCERPT_CHARS}) || '...' AS doc FROM rep JOIN d ON rep.doc_id = d.doc_id
+       WHERE rep.rank = 1)
+SELECT s.topic AS topic_id, s.topic || '_' || array_to_string(w.words[1:4], '_') AS final_topic,
+       s.count AS topic_size, array_to_string(w.words[1:{SUMMARY_KEYWORDS}], ', ') AS keywords,
+       r1.doc AS representative_doc, s.topic AS industry
+FROM sizes s LEFT JOIN words w ON s.topic = w.topic LEFT JOIN r1 ON s.topic = r1.topic
+""")
+def q_dashboard_topics(spark, sf_dir):
+    """K8: the dashboard's topic table (8 keywords, 160-character excerpt)."""
+    return topic_summary(spark, sf_dir)
+
+
+@register("headline_stats", f"""
+WITH d AS (SELECT source AS topic FROM documents WHERE {EN_LEN_SQL}),
+s AS (SELECT topic, count(*) AS topic_size FROM d GROUP BY topic)
+SELECT CAST(sum(topic_size) AS BIGINT) AS total_articles, count(*) AS topics, count(DISTINCT topic) AS industries
+FROM s
+""")
+def q_headline_stats(spark, sf_dir):
+    """Total curated articles, number of topics, industries covered."""
+    sizes = topic_docs(spark, sf_dir).groupBy("topic").agg(F.count(F.lit(1)).alias("topic_size"))
+    return sizes.agg(F.sum("topic_size").alias("total_articles"), F.count(F.lit(1)).alias("topics"),
+                     F.count_distinct("topic").alias("industries"))
+
+
+@register("topic_table", f"""
+WITH {OCC_SQL}, {WEIGHTS_SQL},
+words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
+sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic)
+SELECT s.topic AS final_topic, array_to_string(w.words[1:4], ', ') AS tags,
+       s.topic AS industry, format('{{:,}}', s.count) AS articles
+FROM sizes s LEFT JOIN words w ON s.topic = w.topic
+""")
+def q_topic_table(spark, sf_dir):
+    """K9 topic detail rows: first four keywords (C17), size with thousands
+    separators (C18)."""
+    info = TP.topic_info(topic_docs(spark, sf_dir), TP.topic_keywords(weights(spark, sf_dir), L.TOP_N_WORDS))
+    return info.select(F.col("topic").alias("final_topic"), T.head_of_list("keywords", 4).alias("tags"),
+                       F.col("topic").alias("industry"), T.thousands("count").alias("articles"))
