@@ -36,7 +36,7 @@ SELECT doc_id AS article_id, md5({S.normalize_text('text')}) AS text_md5,
 FROM documents
 """)
 def q_normalize_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     clean = docs.select(F.col("doc_id").alias("article_id"), T.normalize_text("text").alias("t"))
     return clean.select("article_id", F.md5("t").alias("text_md5"), F.length("t").alias("clean_len"))
 
@@ -47,7 +47,7 @@ SELECT doc_id AS article_id, md5({S.light_clean('text')}) AS text_md5,
 FROM documents
 """)
 def q_light_clean(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     clean = docs.select(F.col("doc_id").alias("article_id"), T.light_clean("text").alias("t"))
     return clean.select("article_id", F.md5("t").alias("text_md5"), F.length("t").alias("clean_len"))
 
@@ -150,7 +150,7 @@ SELECT count(n) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS
 FROM w
 """)
 def q_describe_word_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", ["text"])
+    docs = table(spark, sf_dir, "documents", ["text"], spread=True)
     d = A.describe(docs.select(F.size(T.words("text")).cast("long").alias("n")), "n")
     return d.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 

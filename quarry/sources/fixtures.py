@@ -39,7 +39,7 @@ def articles_from_documents(docs: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", list(cols) or None)
+    return table(spark, sf_dir, "documents", list(cols) or None, spread=True)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,28 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 ARTICLE_COLUMNS = {"url": "url", "date": "date", "language": "language", "title": "title", "text": "text"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One parquet table of a scale-factor folder, optionally projected."""
+def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None,
+          spread: bool = False) -> DataFrame:
+    """One parquet table of a scale-factor folder, optionally projected.
+
+    ``spread`` is for tables feeding CPU-heavy per-row text work: when the
+    scan yields fewer tasks than the cluster has cores (one large row group,
+    a handful of files) the rows are dealt round-robin over all cores.  On
+    large inputs the scan is already wide and nothing is added.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread_rows(df) if spread else df
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the default parallelism if the plan is
+    narrower than that (planning only; no job runs to decide)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
