@@ -25,7 +25,8 @@ def main(argv: list[str]) -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = argv[1:] or list(HEADLINE)
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="quarry-bench")
-    QUERIES["lang_len_filter"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    # warm-up: JVM code generation and the Python workers of the NFKC step
+    QUERIES["clean_chain"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
