@@ -155,9 +155,10 @@ def normalize_company(c, suffixes: list[str] | None = None) -> Column:
 
 
 def safe_label(c) -> Column:
-    """Label usable in a file name."""
-    x = F.regexp_replace(_c(c), r"[\\/]+", "_")
-    return F.regexp_replace(x, r"[^A-Za-z0-9_.-]+", "_")
+    """Label usable in a file name: drop characters that are neither
+    word, whitespace nor hyphen, then spaces -> underscores."""
+    kept = F.regexp_replace(_c(c), r"[^\p{L}\p{N}_\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}-]", "")
+    return F.regexp_replace(kept, " ", "_")
 
 
 def tokens(c) -> Column:

@@ -134,3 +134,14 @@ def q_entity_sentiment_top15(spark, sf_dir):
     orgs = mentions(spark, sf_dir).filter(F.col("entity_label") == "ORG")
     counts = entity_sentiment_counts(orgs, scored(spark, sf_dir), "title_clean")
     return keep_top(counts, "entity_text", 15, weight="count")
+
+
+@register("top_entities", f"""
+WITH {MENTIONS_SQL}
+SELECT entity_text, count(*) AS count FROM m WHERE entity_label = 'ORG'
+GROUP BY entity_text ORDER BY count DESC, entity_text LIMIT 10
+""")
+def q_top_entities(spark, sf_dir):
+    """The ten most frequent ORG mentions (ties by text)."""
+    orgs = mentions(spark, sf_dir).filter(F.col("entity_label") == "ORG")
+    return A.value_counts(orgs, "entity_text", k=10)

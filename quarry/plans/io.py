@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..operators import relevance as R
+from ..operators import aggregates as A
+from ..operators import filters as FL
 from ..operators.aggregates import sample_n
 from ..operators.filters import keep_curated
 from ..operators.joins import label_topics
 from ..sources import fixtures as FX
 from ..sources import writers as W
-from ..sources.readers import LABEL_SCHEMA, read_labels
+from ..sources.readers import read_articles, read_labels
 from ..streaming.incremental import run_tag_counts_stream
 from . import reports, tagging, topics, vectors
 from .registry import ORACLE, register
@@ -87,3 +89,28 @@ def q_tag_counts_stream(spark, sf_dir):
     out = W.scratch_path(spark, "tag_counts_stream")
     return run_tag_counts_stream(spark, sf_dir, "documents.parquet", tagging.FIXTURE_TAGS,
                                  os.path.join(out, "result"), os.path.join(out, "checkpoint"))
+
+
+@register("raw_corpus_roundtrip", f"""
+WITH r AS (SELECT doc_id, lang, text, CAST(DATE '2022-01-01' + CAST(doc_id % 1502 AS INTEGER) AS TIMESTAMP) AS date
+           FROM documents)
+SELECT CAST(count(date) AS DOUBLE) * 100.0 / count(*) AS parse_success_pct,
+       strftime(min(date), '%Y-%m-%d %H:%M:%S+00:00') AS min_date_utc,
+       strftime(max(date), '%Y-%m-%d %H:%M:%S+00:00') AS max_date_utc,
+       count(*) FILTER (WHERE date IS NULL) AS n_missing_date,
+       count(*) FILTER (WHERE lower(lang) = 'en' AND length(coalesce(text, '')) BETWEEN {L.MIN_TEXT_LEN} AND
+                        {L.MAX_TEXT_LEN}) AS rows_kept
+FROM r
+""")
+def q_raw_corpus_roundtrip(spark, sf_dir):
+    """A1 + B1 + B2 + B3 + I4 + H3: a raw corpus file (dates as strings) is
+    read with the canonical reader, dates parsed, the time report taken over
+    all rows, then language / length filters and first-row-per-url dedup in
+    file order."""
+    raw = FX.articles(spark, sf_dir).select(
+        "url", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "language", "title", "text")
+    path = W.write_stage(raw, W.scratch_path(spark, "raw_corpus"))
+    arts = read_articles(spark, path)
+    report = A.time_report(arts, "date")
+    kept = FL.dedup_first(FL.filter_length(FL.filter_language(arts)), ["url"], "_file_order")
+    return report.withColumn("rows_kept", kept.select(F.count(F.lit(1))).scalar())

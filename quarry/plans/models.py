@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sentiment as SN
 from ..sources.readers import table
+from ..sources.writers import scratch_path
 from .registry import register
 
 CONFUSION_SQL = """
@@ -52,5 +53,8 @@ def q_sentiment_scores(spark, sf_dir):
     (sentiment + probability of the predicted class)."""
     ex = SN.labelled_examples(spark, sf_dir)
     model, _ = SN.train_classifier(ex, regs=(0.01,))
-    return SN.score_sentiment(ex.filter(F.col("split") == "test"), model, text_col="text").select(
+    path = scratch_path(spark, "sentiment_model")
+    SN.save_model(model, path)  # G7: the scoring job loads what training saved
+    loaded = SN.load_model(path)
+    return SN.score_sentiment(ex.filter(F.col("split") == "test"), loaded, text_col="text").select(
         "doc_id", "label", "sentiment", "sentiment_score")

@@ -342,3 +342,20 @@ def q_topic_table(spark, sf_dir):
     info = TP.topic_info(topic_docs(spark, sf_dir), TP.topic_keywords(weights(spark, sf_dir), L.TOP_N_WORDS))
     return info.select(F.col("topic").alias("final_topic"), T.head_of_list("keywords", 4).alias("tags"),
                        F.col("topic").alias("industry"), T.thousands("count").alias("articles"))
+
+
+@register("industry_labels", f"""
+WITH labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES})
+SELECT DISTINCT l.industry_label,
+       regexp_replace(regexp_replace(l.industry_label, {sql_str(r"[^\p{L}\p{N}_\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}-]")},
+                      '', 'g'), ' ', '_', 'g') AS file_label
+FROM embeddings e JOIN labels_dim l ON e.label = l.topic WHERE l.keep = 1
+""")
+def q_industry_labels(spark, sf_dir):
+    """H13 + C19: distinct industries of the curated topics present in the
+    data, with the file-name-safe form of each label."""
+    docs = embedding_topics(spark, sf_dir).select("topic")
+    curated = keep_curated(label_topics(docs, topic_label_table(spark), "topic"))
+    from ..operators.aggregates import distinct_values
+
+    return distinct_values(curated, "industry_label").withColumn("file_label", T.safe_label("industry_label"))

@@ -23,6 +23,8 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # texts can be long: keep Arrow batches to the Python workers bounded
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -34,7 +36,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
