@@ -72,30 +72,65 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
+def is_ascii(c) -> Column:
+    """True when every character is ASCII (UTF-8 bytes == characters)."""
+    x = _c(c)
+    return F.octet_length(x) == F.length(x)
+
+
 def normalize_text(c, unicode_nfkc: bool = True) -> Column:
-    """NFKC, drop NUL, CR -> LF, collapse whitespace, strip.  Null -> ''."""
+    """NFKC, drop NUL, CR -> LF, collapse whitespace, strip.  Null -> ''.
+
+    Only non-ASCII texts are shipped to the NFKC worker (ASCII is NFKC-stable);
+    ASCII rows cross the Arrow boundary as nulls.
+    """
     x = null_to_empty(c)
     if unicode_nfkc:
-        x = nfkc(x)
+        x = F.coalesce(nfkc(F.when(~is_ascii(x), x)), x)
     x = F.translate(x, "\x00", "")
     x = F.translate(x, "\r", "\n")
     return collapse_ws(x)
 
 
 def strip_emails(c) -> Column:
-    """E-mail addresses -> one space."""
-    return F.regexp_replace(_c(c), EMAIL_RE, " ")
+    """E-mail addresses -> one space (only texts containing '@' are scanned)."""
+    x = _c(c)
+    return F.when(F.instr(x, "@") > 0, F.regexp_replace(x, EMAIL_RE, " ")).otherwise(x)
+
+
+def _few_ascii_digits(x: Column, n: int) -> Column:
+    """ASCII text with fewer than ``n`` digits (then no phone number fits)."""
+    return is_ascii(x) & ((F.length(x) - F.length(F.translate(x, "0123456789", ""))) < n)
 
 
 def strip_phones(c) -> Column:
-    """Phone numbers (any 10-digit run qualifies) -> one space."""
-    return F.regexp_replace(_c(c), PHONE_RE, " ")
+    """Phone numbers (any 10-digit run qualifies) -> one space.
+
+    ASCII texts with fewer than ten digits cannot match and skip the scan.
+    """
+    x = _c(c)
+    return F.when(_few_ascii_digits(x, 10), x).otherwise(F.regexp_replace(x, PHONE_RE, " "))
+
+
+# Every boilerplate snippet needs one of these words (any case); in ASCII text
+# a snippet can only match where its word occurs.
+_BOILER_ANCHORS = ("newsletter", "policy", "service", "reserved", "advertisement")
+
+
+def _may_hold_boilerplate(x: Column) -> Column:
+    low = F.lower(x)
+    hit = low.contains("read") & low.contains("more")
+    for w in _BOILER_ANCHORS:
+        hit = hit | low.contains(w)
+    return ~is_ascii(x) | hit
 
 
 def strip_boilerplate(c, snippets: list[str] | None = None) -> Column:
     """C4: boilerplate phrases, case-blind -> one space."""
-    pattern = BOILERPLATE_RE if snippets is None else "(?iu)" + "|".join(_py_space_pattern(s) for s in snippets)
-    return F.regexp_replace(_c(c), pattern, " ")
+    x = _c(c)
+    if snippets is not None:
+        return F.regexp_replace(x, "(?iu)" + "|".join(_py_space_pattern(s) for s in snippets), " ")
+    return F.when(_may_hold_boilerplate(x), F.regexp_replace(x, BOILERPLATE_RE, " ")).otherwise(x)
 
 
 def light_clean(c) -> Column:

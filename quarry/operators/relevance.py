@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from ..functions import lexicon as L
 from ..functions.text import tokens
 from .joins import dot
+from ..sources.writers import materialize as _materialize
 
 # Rows inside a quantile bracket that may be ordered and fetched at once.
 BRACKET_MAX_ROWS = 200_000
@@ -94,11 +95,11 @@ def keep_top_share(df: DataFrame, score_col: str = "semantic_score", share: floa
                    materialize: bool = True) -> tuple[DataFrame, float]:
     """E3 + B12: keep rows with score >= the (1 - share) quantile (ties kept).
 
-    With ``materialize`` the scored frame is checkpointed to the cluster's
+    With ``materialize`` the scored frame is written to the cluster's
     checkpoint folder first, so the scorer runs once even though the
     threshold and the filter both read the scores (X28).
     """
-    scored = df.checkpoint(eager=True) if materialize else df
+    scored = _materialize(df, "scores") if materialize else df
     threshold = quantile(scored, score_col, 1 - share)
     return scored.filter(F.col(score_col) >= F.lit(threshold)), threshold
 

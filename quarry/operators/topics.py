@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions.text import ngrams, tokens
+from ..sources.writers import materialize
 from .aggregates import top_k_per_group
 from .joins import dot
 
@@ -160,20 +161,17 @@ def topic_info(docs: DataFrame, keywords: DataFrame, topic: str = "topic", name_
     return sizes.join(keywords, topic, "left").select(topic, "count", name.alias("name"), "keywords")
 
 
-def _gramian_rows(topics: list, topic: str):
+def _gramian_rows(topics: list):
     index = {t: i for i, t in enumerate(topics)}
     k = len(topics)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         g = np.zeros((k, k))
         for pdf in batches:
-            if pdf.empty:
-                continue
-            rows = pdf["term"].astype("category").cat.codes.to_numpy()
-            cols = pdf[topic].map(index).to_numpy()
-            m = np.zeros((rows.max() + 1, k))
-            np.add.at(m, (rows, cols), pdf["weight"].to_numpy())
-            g += m.T @ m
+            for entries in pdf["entries"]:
+                idx = np.fromiter((index[e["t"]] for e in entries), dtype=np.int64, count=len(entries))
+                w = np.fromiter((e["w"] for e in entries), dtype=np.float64, count=len(entries))
+                g[np.ix_(idx, idx)] += np.outer(w, w)
         i, j = np.nonzero(g)
         yield pd.DataFrame({"i": i.astype("int64"), "j": j.astype("int64"), "g": g[i, j]})
 
@@ -183,17 +181,19 @@ def _gramian_rows(topics: list, topic: str):
 def topic_similarity(weights: DataFrame, topic: str = "topic") -> DataFrame:
     """Cosine similarity of the topics' term-weight vectors.
 
-    A distributed Gram matrix: weights are hash-partitioned by term, every
-    task multiplies its own (terms x topics) block, and the k x k partial
-    products are summed by one small aggregate.  No pair rows per term are
-    generated; the topic count (k) is checked against ``MAX_TOPICS``.
+    A distributed Gram matrix: each term's (topic, weight) entries - at most
+    one per topic, and the topic count is checked against ``MAX_TOPICS`` - are
+    gathered into one row; every task adds the outer products of its terms
+    into a k x k partial sum, and one small aggregate adds the partials.  No
+    topic-pair rows are generated per term.
     """
     topic_df = weights.select(topic).distinct()
     if topic_df.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
         raise ValueError(f"more than {MAX_TOPICS} topics")
     topics = sorted(r[0] for r in topic_df.collect())
-    parts = weights.select("term", topic, "weight").repartition("term")
-    g = parts.mapInPandas(_gramian_rows(topics, topic), "i long, j long, g double")
+    per_term = weights.groupBy("term").agg(
+        F.collect_list(F.struct(F.col(topic).alias("t"), F.col("weight").alias("w"))).alias("entries"))
+    g = per_term.select("entries").mapInPandas(_gramian_rows(topics), "i long, j long, g double")
     g = g.groupBy("i", "j").agg(F.sum("g").alias("g"))
     diag = g.filter(F.col("i") == F.col("j")).select(F.col("i").alias("d"), F.sqrt("g").alias("norm"))
     out = (
@@ -274,7 +274,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: i
 
     ``nodes``: column ``node``; ``edges``: ``src``, ``dst`` (both directions
     present).  Every round is one join + one aggregate; the label table is
-    checkpointed every few rounds to keep the lineage short.  Returns
+    written to the checkpoint folder every few rounds to keep the lineage short.  Returns
     ``node, component`` with the component labelled by its smallest node.
     """
     labels = nodes.select("node", F.col("node").alias("component"))
@@ -286,7 +286,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: i
         new = labels.unionByName(via).groupBy("node").agg(F.min("component").alias("component"))
         changed = new.join(labels.withColumnRenamed("component", "_old"), "node").filter(
             F.col("component") < F.col("_old")).limit(1).count()
-        labels = new.checkpoint(eager=True) if rounds % checkpoint_every == 0 or not changed else new
+        labels = materialize(new, "components") if rounds % checkpoint_every == 0 or not changed else new
         if not changed:
             return labels
 
@@ -308,7 +308,7 @@ def density_topics(df: DataFrame, vec: str = "reduced", dims: int = L.REDUCED_DI
     import itertools
 
     pts = df.select(id_col, _cell(F.col(vec), dims, eps).alias("cell"))
-    cells = pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    cells = materialize(pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells")
     dense = cells.filter(F.col("n") >= min_samples).select("cell")
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims) if any(o)]
     off_col = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])

@@ -49,7 +49,7 @@ def q_stage_roundtrip(spark, sf_dir):
 @register("report_json_roundtrip", ORACLE["filter_report"])
 def q_report_json_roundtrip(spark, sf_dir):
     """The relevance-filter report written as JSON and read back."""
-    scored = vectors.scored_embeddings(spark, sf_dir).checkpoint(eager=True)
+    scored = W.materialize(vectors.scored_embeddings(spark, sf_dir), "scores")
     th = R.quantile(scored, "semantic_score", vectors.Q)
     rep = R.filter_report(scored, "semantic_score", th).withColumn("threshold_value", F.round("threshold_value", 6))
     path = W.write_report_json(rep, W.scratch_path(spark, "filter_report"))

@@ -12,6 +12,7 @@ from ..operators import topics as TP
 from ..operators.filters import keep_curated
 from ..operators.joins import label_topics
 from ..sources.readers import table
+from ..sources.writers import materialize
 from . import oracle_sql as S
 from .cleaning import EN_LEN_SQL, english_articles
 from .registry import register, sql_list, sql_str
@@ -63,8 +64,9 @@ def occurrences(spark, sf_dir):
 
 def weights(spark, sf_dir):
     """c-TF-IDF over the topic-level vocabulary.  The (topic, term) counts are
-    checkpointed: every later step reads that small table, never the text."""
-    tf = TP.topic_term_counts(occurrences(spark, sf_dir), "topic").checkpoint(eager=True)
+    written once to the checkpoint folder: every later step reads that small
+    table, never the text."""
+    tf = materialize(TP.topic_term_counts(occurrences(spark, sf_dir), "topic"), "topic_term_counts")
     vocab = TP.vocabulary(tf, "topic", L.MIN_DF, L.MAX_DF)
     return TP.class_tfidf(tf, "topic", vocab)
 
@@ -221,7 +223,7 @@ def fitted_topics(spark, sf_dir):
     """M1 -> M2: 5-dimensional principal components, then grid density
     clusters with the published minimum sizes (noise = -1)."""
     emb = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    red = TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced").checkpoint(eager=True)
+    red = materialize(TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
     topics = TP.density_topics(red, "reduced", L.REDUCED_DIMS, DENSITY_EPS, L.MIN_SAMPLES, L.MIN_CLUSTER_SIZE)
     return red.join(topics, "vec_id")
 

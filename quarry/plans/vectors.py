@@ -8,6 +8,7 @@ from ..functions import lexicon as L
 from ..functions.text import embed_input, light_clean, normalize_text
 from ..operators import relevance as R
 from ..sources.readers import table
+from ..sources.writers import materialize
 from .cleaning import english_articles
 from .registry import register
 
@@ -49,7 +50,7 @@ FROM s, t
 """)
 def q_filter_report(spark, sf_dir):
     """The relevance-filter report as one row."""
-    scored = scored_embeddings(spark, sf_dir).checkpoint(eager=True)
+    scored = materialize(scored_embeddings(spark, sf_dir), "scores")
     th = R.quantile(scored, "semantic_score", Q)
     rep = R.filter_report(scored, "semantic_score", th)
     return rep.withColumn("threshold_value", F.round("threshold_value", 6))

@@ -76,3 +76,17 @@ def export_dashboard(series: DataFrame, topics: DataFrame, impact: DataFrame, te
                      ("industry_impact_counts", impact), ("industry_technology_counts", technology)):
         out[name] = write_report_json(df, os.path.join(folder, name))
     return out
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
+    and return the re-read table.
+
+    One job (a reliable ``checkpoint()`` of an unpersisted frame computes it
+    twice: once to count, once to save), columnar on re-read, and the files
+    survive executor loss.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -200,3 +200,16 @@ def test_company_filters(spark):
     rows = [("Openai", "ORG"), ("Hyundai Motor", "ORG"), ("Acme Inc.", "ORG"), ("Ab", "ORG"), ("Acme", "MISC")]
     df = spark.createDataFrame(rows, "entity_text string, entity_label string")
     assert sorted(r.company for r in companies(df).collect()) == ["Acme", "Hyundai Motor"]
+
+
+def test_topic_similarity_independent_of_arrow_batches(spark):
+    rows = [(f"t{i % 5}", f"w{i % 7}", float(1 + i % 3)) for i in range(35)]
+    df = spark.createDataFrame(rows, "topic string, term string, weight double").dropDuplicates(["topic", "term"])
+    base = {(r.topic_a, r.topic_b): r.similarity for r in TP.topic_similarity(df).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        small = {(r.topic_a, r.topic_b): r.similarity for r in TP.topic_similarity(df.repartition(1)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert small.keys() == base.keys()
+    assert all(small[k] == pytest.approx(base[k]) for k in base)
