@@ -153,9 +153,16 @@ def entity_input(title, text, max_chars: int = L.ENTITY_MAX_CHARS) -> Column:
     return left(F.concat(null_to_empty(title), F.lit(". "), null_to_empty(text)), max_chars)
 
 
+PY_NONSPACE_RUN = r"[^\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}]+"
+
+
 def words(c) -> Column:
-    """``str.split()``: split on whitespace runs, no empty items."""
-    return F.filter(F.split(null_to_empty(c), PY_SPACE + "+"), lambda w: w != "")
+    """``str.split()``: the runs of non-whitespace characters.
+
+    A plain regex extraction (no lambda), so it stays in generated code even
+    when its input is a long expression such as the cleaning chain.
+    """
+    return F.regexp_extract_all(null_to_empty(c), F.lit(PY_NONSPACE_RUN), 0)
 
 
 def topic_text(title, text, max_words: int = L.TOPIC_MAX_WORDS) -> Column:
