@@ -10,12 +10,16 @@ has at least one hit.  Two matching modes:
 
 Two engines for substring mode:
 
-* ``"sql"`` (default): an OR-chain of ``contains`` over one lower-cased copy of
+* ``"sql"``: an OR-chain of ``contains`` over one lower-cased copy of
   the text - plain expressions, so the whole projection stays in whole-stage
   codegen; cost grows with phrases x text length.
 * ``"automaton"``: one Aho-Corasick pass per text inside an Arrow-batched
   ``pandas_udf`` (automaton built once per worker process); cost grows with
   text length only.  Worth it for large dictionaries.
+* ``"auto"`` (default): the automaton above ``AUTOMATON_MIN_PHRASES`` distinct
+  phrases, the expression engine below.  Measured at sf0.1 (6,062 English
+  documents, 8 cores, warm): 11 phrases - both ~2.1 s; the 107 impact phrases -
+  expressions 4.5 s, automaton 2.3 s.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from .text import PY_WORD, null_to_empty
 
 Dictionary = Mapping[str, Sequence[str]]
 
+AUTOMATON_MIN_PHRASES = 32
+
 
 def minimal_phrases(phrases: Sequence[str]) -> list[str]:
     """Drop phrases that contain another phrase of the same list.
@@ -69,8 +75,11 @@ def label_hit(lowered: Column, phrases: Sequence[str], mode: str = "substring")
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def tag(text, dictionary: Dictionary, mode: str = "substring", engine: str = "sql") -> Column:
+def tag(text, dictionary: Dictionary, mode: str = "substring", engine: str = "auto") -> Column:
     """Sorted distinct labels of ``dictionary`` that hit ``text``."""
+    if engine == "auto":
+        n = sum(len(minimal_phrases(p)) for p in dictionary.values())
+        engine = "automaton" if mode == "substring" and n >= AUTOMATON_MIN_PHRASES else "sql"
     if engine == "automaton":
         if mode != "substring":
             raise ValueError("the automaton engine implements substring mode")

@@ -153,3 +153,28 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Reproducible sample of exactly ``n`` rows (hash order, top-n)."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+
+
+def consecutive_ids(df: DataFrame, order: Sequence[Column | str], name: str = "id") -> DataFrame:
+    """0, 1, 2, ... in ``order`` without funnelling rows through one task.
+
+    The frame is range-sorted and written once (so partitioning is fixed),
+    each row gets its position inside its partition, and a per-partition
+    offset - one number per partition - turns that into a global rank.
+    """
+    from ..sources.writers import materialize
+
+    shift = 33  # monotonically_increasing_id: partition index in the upper bits
+    ordered = materialize(df.orderBy(*_cols(order)).withColumn("_mid", F.monotonically_increasing_id()),
+                          "ordered")
+    part = F.shiftright(F.col("_mid"), shift)
+    counts = sorted((r["p"], r["n"]) for r in ordered.groupBy(part.alias("p")).agg(
+        F.count(F.lit(1)).alias("n")).collect())  # one row per partition
+    offsets, total = {}, 0
+    for p, n in counts:
+        offsets[p] = total
+        total += n
+    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) if offsets else None
+    local = F.col("_mid") - F.shiftleft(part, shift)
+    rank = (offset_map[part] + local) if offset_map is not None else local
+    return ordered.withColumn(name, rank).drop("_mid")

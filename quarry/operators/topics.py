@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions.text import ngrams, tokens
 from ..sources.writers import materialize
-from .aggregates import top_k_per_group
+from .aggregates import consecutive_ids, top_k_per_group
 from .joins import dot
 
 # Largest topic count for which topic x topic products are formed.
@@ -328,7 +328,7 @@ def density_topics(df: DataFrame, vec: str = "reduced", dims: int = L.REDUCED_DI
     cell_comp = comps.unionByName(border)
     sizes = cells.join(cell_comp, "cell").groupBy("component").agg(F.sum("n").alias("size"))
     kept = sizes.filter(F.col("size") >= min_cluster_size)
-    ranked = kept.withColumn(out, (F.row_number().over(
-        Window.orderBy(F.col("size").desc(), F.col("component"))) - 1).cast("int"))  # few clusters
+    ranked = consecutive_ids(kept, [F.col("size").desc(), F.col("component")], out)
+    ranked = ranked.withColumn(out, F.col(out).cast("int"))
     cell_topic = cell_comp.join(ranked.select("component", out), "component").select("cell", out)
     return pts.join(cell_topic, "cell", "left").select(id_col, F.coalesce(F.col(out), F.lit(-1)).alias(out))

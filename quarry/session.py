@@ -61,3 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings every query relies on: UTC dates, checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark

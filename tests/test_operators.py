@@ -213,3 +213,11 @@ def test_topic_similarity_independent_of_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     assert small.keys() == base.keys()
     assert all(small[k] == pytest.approx(base[k]) for k in base)
+
+
+def test_consecutive_ids_follow_order(spark):
+    df = spark.createDataFrame([(i, (i * 7919) % 101) for i in range(300)], "k int, v int").repartition(7)
+    got = sorted((r.id, r.v, r.k) for r in A.consecutive_ids(df, [F.col("v").desc(), F.col("k")]).collect())
+    assert [g[0] for g in got] == list(range(300))
+    assert [(g[1], g[2]) for g in got] == sorted(((v, k) for k, v in [(i, (i * 7919) % 101) for i in range(300)]),
+                                               key=lambda t: (-t[0], t[1]))
