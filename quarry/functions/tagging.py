@@ -24,7 +24,6 @@ Two engines for substring mode:
 
 from __future__ import annotations
 
-import functools
 import re
 from typing import Mapping, Sequence
 
@@ -92,28 +91,31 @@ def tag(text, dictionary: Dictionary, mode: str = "substring", engine: str = "au
     return F.filter(F.array(*hits), lambda x: x.isNotNull())
 
 
-@functools.lru_cache(maxsize=32)
-def _automaton(items: tuple[tuple[str, tuple[str, ...]], ...]):
-    import ahocorasick
-
-    auto = ahocorasick.Automaton()
-    owners: dict[str, set[str]] = {}
-    for label, phrases in items:
-        for p in minimal_phrases(phrases):
-            owners.setdefault(p, set()).add(label)
-    for p, labels in owners.items():
-        auto.add_word(p, frozenset(labels))
-    auto.make_automaton()
-    return auto
-
-
 def automaton_tagger(dictionary: Dictionary):
-    items = tuple(sorted((k, tuple(v)) for k, v in dictionary.items()))
-    n_labels = len(items)
+    """Arrow-batched Aho-Corasick tagger.
+
+    The UDF closes over plain data only (phrase -> labels), so it pickles by
+    value and runs on executors that do not have this package installed; the
+    automaton is built once per task (microseconds for hundreds of phrases).
+    """
+    owners: dict[str, list[str]] = {}
+    for label in sorted(dictionary):
+        for p in minimal_phrases(dictionary[label]):
+            owners.setdefault(p, []).append(label)
+    n_labels = len(dictionary)
+    cache: dict = {}
 
     @F.pandas_udf(ArrayType(StringType()))
     def _tag(s: pd.Series) -> pd.Series:
-        auto = _automaton(items)
+        auto = cache.get("auto")
+        if auto is None:
+            import ahocorasick
+
+            auto = ahocorasick.Automaton()
+            for phrase, labels in owners.items():
+                auto.add_word(phrase, frozenset(labels))
+            auto.make_automaton()
+            cache["auto"] = auto
 
         def one(x: str) -> list[str]:
             found: set[str] = set()
