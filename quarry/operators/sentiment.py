@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions import lexicon as L
 from ..functions.text import PY_WORD, left, null_to_empty
-from ..sources.readers import table
+from ..sources.readers import md5_split, read_training, table  # noqa: F401
 
 LABEL_OF = {v: k for k, v in L.ID2LABEL.items()}
 
@@ -33,24 +33,16 @@ def label_name(c) -> F.Column:
     return m[F.col(c) if isinstance(c, str) else c]
 
 
-def md5_split(id_col) -> F.Column:
-    """Deterministic train / validation / test split (13/16, 1/16, 2/16) from
-    the first hex digit of md5(id) - independent of partitioning and
-    reproducible in any SQL engine."""
-    h = F.substring(F.md5(F.col(id_col).cast("string")), 1, 1)
-    return F.when(h < "d", "train").when(h == "d", "validation").otherwise("test")
-
-
 def labelled_examples(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """A3 on the fixtures: documents ⋈ labels -> (doc_id, text, label, split).
 
     label: 0 negative (toxic), 2 positive (quality, not toxic), 1 neutral.
     """
-    labels = table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    labels = read_training(spark, f"{sf_dir.rstrip('/')}/labels.parquet", "doc_id")
     ex = labels.select(
         "doc_id",
         F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1).alias("label"),
-        md5_split("doc_id").alias("split"),
+        "split",
     )
     if with_text:
         docs = table(spark, sf_dir, "documents", ["doc_id", "text"])

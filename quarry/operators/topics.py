@@ -87,20 +87,36 @@ def unit_term_pairs(occ: DataFrame, unit: str) -> DataFrame:
     return occ.select(unit, "term").distinct()
 
 
-def vocabulary(pairs: DataFrame, unit: str, min_df: float = L.MIN_DF, max_df: float = L.MAX_DF) -> DataFrame:
+def _df_bound(v, n_units):
+    return F.lit(float(v)) * n_units if isinstance(v, float) else F.lit(v)
+
+
+def vocabulary(pairs: DataFrame, unit: str, min_df: float = L.MIN_DF, max_df: float = L.MAX_DF,
+               n_units: Column | None = None) -> DataFrame:
     """M4: terms whose document frequency lies within ``[min_df, max_df]``.
 
     ``pairs`` has one row per (unit, term).  Integers are counts, floats are
-    shares of the number of units (vectoriser semantics); the unit count is a
-    scalar subquery.
+    shares of the number of units (vectoriser semantics: every document of
+    the fit counts, also one without terms - pass ``n_units``, e.g. a scalar
+    subquery over the documents; by default the units present in ``pairs``).
     """
     dfreq = document_frequency(pairs)
-    n_units = pairs.select(F.count_distinct(unit)).scalar()
+    if n_units is None:
+        n_units = pairs.select(F.count_distinct(unit)).scalar()
+    return dfreq.filter((F.col("df") >= _df_bound(min_df, n_units)) & (F.col("df") <= _df_bound(max_df, n_units)))
 
-    def bound(v):
-        return F.lit(float(v)) * n_units if isinstance(v, float) else F.lit(v)
 
-    return dfreq.filter((F.col("df") >= bound(min_df)) & (F.col("df") <= bound(max_df)))
+def restrict_to_vocabulary(tf: DataFrame, min_df: float, max_df: float, n_units: Column) -> DataFrame:
+    """Rows of a (unit, term, ...) table whose term lies in the vocabulary.
+
+    The document frequency is a count over a window partitioned by term, so
+    the table is shuffled once by term and filtered in place - no second pass
+    over the table and no join back.
+    """
+    dfc = F.count(F.lit(1)).over(Window.partitionBy("term"))
+    out = tf.withColumn("_df", dfc)
+    return out.filter((F.col("_df") >= _df_bound(min_df, n_units)) & (F.col("_df") <= _df_bound(max_df, n_units))
+                      ).drop("_df")
 
 
 def topic_term_counts(occ: DataFrame, topic: str = "topic") -> DataFrame:

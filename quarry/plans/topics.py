@@ -35,7 +35,7 @@ occ AS (SELECT doc_id, topic,
 WEIGHTS_SQL = f"""
 tf AS (SELECT topic, term, count(*) AS tf FROM occ GROUP BY ALL),
 dfc AS (SELECT term, count(DISTINCT topic) AS df FROM occ GROUP BY term),
-voc AS (SELECT term FROM dfc WHERE df >= {L.MIN_DF} AND df <= {L.MAX_DF} * (SELECT count(DISTINCT topic) FROM occ)),
+voc AS (SELECT term FROM dfc WHERE df >= {L.MIN_DF} AND df <= {L.MAX_DF} * (SELECT count(DISTINCT topic) FROM d)),
 tfv AS (SELECT * FROM tf WHERE term IN (SELECT term FROM voc)),
 tot AS (SELECT *, sum(tf) OVER (PARTITION BY topic) AS class_total, sum(tf) OVER (PARTITION BY term) AS term_total
         FROM tfv),
@@ -63,12 +63,18 @@ def occurrences(spark, sf_dir):
 
 
 def weights(spark, sf_dir):
-    """c-TF-IDF over the topic-level vocabulary.  The (topic, term) counts are
-    written once to the checkpoint folder: every later step reads that small
-    table, never the text."""
-    tf = materialize(TP.topic_term_counts(occurrences(spark, sf_dir), "topic"), "topic_term_counts")
-    vocab = TP.vocabulary(tf, "topic", L.MIN_DF, L.MAX_DF)
-    return TP.class_tfidf(tf, "topic", vocab)
+    """c-TF-IDF over the topic-level vocabulary (the vectoriser is fitted on
+    one document per topic, so min/max document frequency count topics).
+
+    (topic, term) counts are restricted to the vocabulary in the same pass and
+    written once to the checkpoint folder; every later step reads that small
+    table, never the text again.
+    """
+    docs = topic_docs(spark, sf_dir)
+    n_topics = docs.select(F.count_distinct("topic")).scalar()
+    tf = TP.topic_term_counts(occurrences(spark, sf_dir), "topic")
+    tfv = materialize(TP.restrict_to_vocabulary(tf, L.MIN_DF, L.MAX_DF, n_topics), "topic_term_counts")
+    return TP.class_tfidf(tfv, "topic")
 
 
 @register("topic_text", f"""
@@ -93,12 +99,14 @@ def q_top_terms(spark, sf_dir):
 WITH {OCC_SQL},
 dfd AS (SELECT term, count(DISTINCT doc_id) AS df FROM occ GROUP BY term)
 SELECT term, df FROM dfd
-WHERE df >= {L.MIN_DF} AND df <= {L.MAX_DF} * (SELECT count(DISTINCT doc_id) FROM occ)
+WHERE df >= {L.MIN_DF} AND df <= {L.MAX_DF} * (SELECT count(*) FROM d)
 """)
 def q_doc_freq_terms(spark, sf_dir):
     """M4 (unit = document): terms in at least 10 and at most 60 % of documents."""
+    docs = topic_docs(spark, sf_dir)
     pairs = TP.unit_term_pairs(occurrences(spark, sf_dir), "doc_id")
-    return TP.vocabulary(pairs, "doc_id", L.MIN_DF, L.MAX_DF).select("term", "df")
+    n_docs = docs.select(F.count(F.lit(1))).scalar()  # every fitted document counts, also an empty one
+    return TP.vocabulary(pairs, "doc_id", L.MIN_DF, L.MAX_DF, n_docs).select("term", "df")
 
 
 @register("ctfidf_keywords", f"""

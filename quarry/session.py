@@ -28,6 +28,18 @@ SCALE_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """Half the machine's memory, at most 16 GB (local mode: the driver is
+    the executor)."""
+    if os.environ.get("QUARRY_DRIVER_MEMORY"):
+        return os.environ["QUARRY_DRIVER_MEMORY"]
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total / 2**30 / 2)))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = SparkSession.builder.master(master).appName(app)
@@ -35,7 +47,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", _driver_memory())
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

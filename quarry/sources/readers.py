@@ -88,20 +88,21 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=LABEL_SCHEMA, escape='"')
 
 
-def read_training(spark: SparkSession, path: str, id_col: str, split_col: str | None = None,
-                  fractions=(0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:
+def read_training(spark: SparkSession, path: str, id_col: str, split_col: str | None = None) -> DataFrame:
     """A3: labelled text with a train/validation/test split.
 
-    An existing split column is kept; otherwise the split is a deterministic
-    function of a hash of the id, so it does not depend on partitioning.
+    An existing split column is kept; otherwise the split is a function of
+    md5(id) (see ``md5_split``), so it does not depend on partitioning or
+    file order and any SQL engine can reproduce it.
     """
     df = spark.read.parquet(path)
     if split_col and split_col in df.columns:
         return df.withColumnRenamed(split_col, "split")
-    return df.withColumn("split", hash_split(F.col(id_col), fractions, seed))
+    return df.withColumn("split", md5_split(id_col))
 
 
-def hash_split(id_col, fractions=(0.8, 0.1, 0.1), seed: int = 42):
-    u = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    a, b = fractions[0], fractions[0] + fractions[1]
-    return F.when(u < a, "train").when(u < b, "validation").otherwise("test")
+def md5_split(id_col) -> F.Column:
+    """train / validation / test = 13/16, 1/16, 2/16 by the first hex digit of md5(id)."""
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    h = F.substring(F.md5(c.cast("string")), 1, 1)
+    return F.when(h < "d", "train").when(h == "d", "validation").otherwise("test")
