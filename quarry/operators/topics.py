@@ -130,13 +130,18 @@ def class_tfidf(tf: DataFrame, topic: str = "topic", vocab: DataFrame | None = N
     w(c, t) = tf(c, t) / sum_t tf(c, t) * ln(1 + A / f(t)), where f(t) is the
     term's frequency over all classes and A the average number of words per
     class (truncated to an integer).  Everything runs on the aggregated
-    (topic x vocabulary) table: totals by windows, A as a scalar subquery.
+    (topic x vocabulary) table; A is a scalar subquery.
     """
     if vocab is not None:
         tf = tf.join(vocab.select("term"), "term", "left_semi")
-    tf = tf.withColumn("class_total", F.sum("tf").over(Window.partitionBy(topic)))
-    tf = tf.withColumn("term_total", F.sum("tf").over(Window.partitionBy("term")))
-    avg_words = tf.groupBy(topic).agg(F.sum("tf").alias("n")).select(F.floor(F.avg("n"))).scalar()
+    # class totals: one row per topic (count checked) -> broadcast, so a topic
+    # holding most of the vocabulary is not funnelled into one window task
+    totals = tf.groupBy(topic).agg(F.sum("tf").alias("class_total"))
+    if totals.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
+        raise ValueError(f"more than {MAX_TOPICS} topics")
+    tf = tf.join(F.broadcast(totals), topic)
+    tf = tf.withColumn("term_total", F.sum("tf").over(Window.partitionBy("term")))  # <= one row per topic
+    avg_words = totals.select(F.floor(F.avg("class_total"))).scalar()
     idf = F.log(F.lit(1.0) + avg_words / F.col("term_total"))
     out = tf.withColumn("idf", idf).withColumn("weight", F.col("tf") / F.col("class_total") * F.col("idf"))
     return out.select(topic, "term", "tf", "idf", "weight")
