@@ -46,28 +46,42 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _order_stats(df: DataFrame, col: str, ranks: list[int], n: int, accuracy: int) -> list[float]:
-    """Exact values at 0-based ascending ``ranks`` (sorted, adjacent)."""
-    lo_rank, hi_rank = ranks[0], ranks[-1]
+    """Exact values at 0-based ascending ``ranks`` (sorted, adjacent).
+
+    Each round brackets the ranks with ``percentile_approx`` (fixed sketch
+    size), verifies the bracket with two counts and narrows the candidate set
+    to it; once at most ``BRACKET_MAX_ROWS`` candidates remain they are
+    ordered and the wanted ones read.  A tie block covering the ranks ends the
+    search at once, so many equal scores cannot stall it.
+    """
     c = F.col(col)
+    cur, cur_ranks, cur_n = df, list(ranks), n
     slack = 2.0 / accuracy
-    for _ in range(8):
-        q_lo = max(0.0, lo_rank / max(n - 1, 1) - slack)
-        q_hi = min(1.0, hi_rank / max(n - 1, 1) + slack)
-        b = df.agg(F.percentile_approx(c, [q_lo, q_hi], accuracy).alias("b")).first()["b"]
-        lo = None if q_lo <= 0.0 else b[0]
-        hi = None if q_hi >= 1.0 else b[1]
-        below = F.lit(False) if lo is None else (c < F.lit(lo))
-        upto = F.lit(True) if hi is None else (c <= F.lit(hi))
-        cnt = df.agg(F.count_if(below).alias("below"), F.count_if(upto).alias("upto")).first()
-        if cnt["below"] <= lo_rank and cnt["upto"] >= hi_rank + 1:
-            inside = cnt["upto"] - cnt["below"]
-            if inside <= BRACKET_MAX_ROWS:
-                keep = df.filter(~below & upto) if lo is not None else df.filter(upto)
-                need = hi_rank - cnt["below"] + 1
-                vals = [r[0] for r in keep.select(c).orderBy(c).limit(need).collect()]
-                return [vals[r - cnt["below"]] for r in ranks]
-            slack /= 4.0  # bracket too wide: tighten
-            accuracy *= 4
+    for _ in range(64):
+        lo_rank, hi_rank = cur_ranks[0], cur_ranks[-1]
+        if cur_n <= BRACKET_MAX_ROWS:
+            vals = [r[0] for r in cur.select(c).orderBy(c).limit(hi_rank + 1).collect()]
+            return [vals[r] for r in cur_ranks]
+        q_lo = max(0.0, lo_rank / (cur_n - 1) - slack)
+        q_hi = min(1.0, hi_rank / (cur_n - 1) + slack)
+        lo, hi = cur.agg(F.percentile_approx(c, [q_lo, q_hi], accuracy).alias("b")).first()["b"]
+        cnt = cur.agg(
+            F.count_if(c < F.lit(lo)).alias("lt_lo"), F.count_if(c <= F.lit(lo)).alias("le_lo"),
+            F.count_if(c < F.lit(hi)).alias("lt_hi"), F.count_if(c <= F.lit(hi)).alias("le_hi"),
+        ).first()
+        if cnt["lt_lo"] <= lo_rank and cnt["le_lo"] >= hi_rank + 1:
+            return [lo] * len(cur_ranks)  # all wanted ranks inside the tie block at lo
+        if cnt["lt_hi"] <= lo_rank and cnt["le_hi"] >= hi_rank + 1:
+            return [hi] * len(cur_ranks)
+        if cnt["lt_lo"] <= lo_rank and cnt["le_hi"] >= hi_rank + 1:
+            inside = cnt["le_hi"] - cnt["lt_lo"]
+            if inside < cur_n:
+                cur = cur.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
+                cur_ranks = [r - cnt["lt_lo"] for r in cur_ranks]
+                cur_n = inside
+                slack = 2.0 / accuracy
+                continue
+            slack /= 4.0  # no progress: aim tighter
         else:
             slack *= 4.0  # bracket missed the ranks: widen
     raise RuntimeError("could not bracket the quantile")

@@ -221,3 +221,12 @@ def test_consecutive_ids_follow_order(spark):
     assert [g[0] for g in got] == list(range(300))
     assert [(g[1], g[2]) for g in got] == sorted(((v, k) for k, v in [(i, (i * 7919) % 101) for i in range(300)]),
                                                key=lambda t: (-t[0], t[1]))
+
+
+def test_quantile_narrows_in_rounds_and_handles_tie_blocks(spark, monkeypatch):
+    monkeypatch.setattr(R, "BRACKET_MAX_ROWS", 50)
+    rnd = random.Random(11)
+    vals = [rnd.random() for _ in range(3000)] + [0.5] * 1500
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for q in (0.0, 0.1, 0.3, 0.45, 0.5, 0.7, 0.999, 1.0):
+        assert R.quantile(df, "x", q, accuracy=100) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
