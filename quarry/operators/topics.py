@@ -240,25 +240,57 @@ def centroids(df: DataFrame, vec: str = "embedding", topic: str = "topic", norma
     return c.select(topic, arr.alias("centroid"))
 
 
-def _centroid_table(cents: DataFrame, topic: str = "topic") -> Column:
-    """All centroids as one array<struct> scalar (size checked first)."""
+# Largest centroid matrix (topics x dimensions x 8 bytes) shipped to executors.
+CENTROID_MAX_BYTES = 256 * 1024 * 1024
+
+
+def _centroid_matrix(cents: DataFrame, topic: str = "topic"):
+    """Topic ids (ascending) and the centroid matrix, size checked first."""
     if cents.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
         raise ValueError(f"more than {MAX_TOPICS} topics")
-    return cents.agg(F.collect_list(F.struct(F.col(topic).alias("t"), F.col("centroid").alias("c")))).scalar()
+    rows = cents.select(topic, "centroid").orderBy(topic).collect()  # <= MAX_TOPICS rows
+    ids = np.array([r[0] for r in rows])
+    mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    if mat.nbytes > CENTROID_MAX_BYTES:
+        raise ValueError("centroid matrix too large to ship")
+    return ids, mat
 
 
 def assign_nearest(df: DataFrame, cents: DataFrame, vec: str = "embedding", out: str = "topic",
                    score: str = "topic_score", topic: str = "topic") -> DataFrame:
     """M3: topic of the nearest centroid by dot product (smallest id on ties).
 
-    The centroid table is a scalar subquery attached as a column, so each row
-    is scored with JVM expressions; no join and no pair rows.
+    The (bounded, checked) centroid matrix is a broadcast variable; each Arrow
+    batch of vectors is scored with one matrix product and an argmax per row -
+    no join, no pair rows, and no per-row copy of the centroid table.
     """
-    with_c = df.withColumn("_cents", _centroid_table(cents, topic))
-    scored = F.transform(F.col("_cents"), lambda c: F.struct(dot(F.col(vec), c["c"]).alias("s"), (-c["t"]).alias("nt")))
-    best = F.array_max(scored)
-    return with_c.withColumn("_best", best).withColumn(out, -F.col("_best.nt")).withColumn(
-        score, F.col("_best.s")).drop("_cents", "_best")
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    ids, mat = _centroid_matrix(cents, topic)
+    bc = df.sparkSession.sparkContext.broadcast((ids, mat))
+    id_type = cents.schema[topic].dataType
+    schema = StructType([f for f in df.schema.fields if f.name not in (out, score)]
+                        + [StructField(out, id_type), StructField(score, DoubleType())])
+    names = [f.name for f in schema.fields[:-2]]
+
+    def run(batches):
+        t_ids, m = bc.value
+        for pdf in batches:
+            pdf = pdf[names].copy()
+            have = pdf[vec].notna().to_numpy()
+            best_id = np.full(len(pdf), None, dtype=object)
+            best_s = np.full(len(pdf), np.nan)
+            if have.any() and len(t_ids):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec].to_numpy()[have]])
+                s = x @ m.T
+                j = s.argmax(axis=1)  # first maximum = smallest topic id
+                best_id[have] = t_ids[j]
+                best_s[have] = s[np.arange(len(j)), j]
+            pdf[out] = best_id
+            pdf[score] = best_s
+            yield pdf
+
+    return df.mapInPandas(run, schema)
 
 
 def reduce_outliers(df: DataFrame, cents: DataFrame, vec: str = "embedding", topic: str = "topic") -> DataFrame:
