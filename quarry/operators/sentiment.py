@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions import lexicon as L
 from ..functions.text import PY_WORD, left, null_to_empty
-from ..sources.readers import md5_split, read_training, table  # noqa: F401
+from ..sources.readers import read_training, table
 
 LABEL_OF = {v: k for k, v in L.ID2LABEL.items()}
 

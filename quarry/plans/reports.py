@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions import lexicon as L
 from ..operators import aggregates as A
 from ..operators.joins import keep_top
 from ..sources import fixtures as FX

@@ -1,6 +1,5 @@
 """DataFrame operators on small in-line frames: edge rows and properties."""
 
-import math
 import random
 
 import numpy as np
