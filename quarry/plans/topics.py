@@ -122,6 +122,15 @@ def q_ctfidf_keywords(spark, sf_dir):
     return top.select("topic", "term", "rank", F.round("weight", 6).alias("weight"))
 
 
+@register("ctfidf_terms", f"""
+WITH {OCC_SQL}, {WEIGHTS_SQL}
+SELECT topic, term, tf, round(weight, 6) AS weight FROM wt
+""")
+def q_ctfidf_terms(spark, sf_dir):
+    """M5: the class-based TF-IDF weight of every vocabulary term in every topic."""
+    return weights(spark, sf_dir).select("topic", "term", "tf", F.round("weight", 6).alias("weight"))
+
+
 @register("topic_info", f"""
 WITH {OCC_SQL}, {WEIGHTS_SQL},
 words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
