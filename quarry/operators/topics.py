@@ -8,10 +8,6 @@ Shapes: documents carry ``(doc_id, topic, text)``; term tables are long
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -32,25 +28,9 @@ from .joins import dot
 MAX_TOPICS = 5_000
 
 
-@functools.lru_cache(maxsize=1)
-def base_stopwords() -> tuple[str, ...]:
-    """Spark ML's English stop-word list, read from the Spark ML jar (no JVM call)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split() if w)
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def topic_stopwords(extra: Sequence[str] = L.DOMAIN_STOPWORDS) -> list[str]:
     """Base English list union the domain words."""
-    return sorted(set(base_stopwords()) | set(extra))
+    return sorted(set(L.BASE_STOPWORDS) | set(extra))
 
 
 def doc_terms(df: DataFrame, text: Column | str, keep: Sequence[str], stopwords: Sequence[str],
