@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lpt_sharding, mixing
+from . import lpt_sharding, mixing, url_filter
 from .registry import register
 
 
@@ -67,3 +67,10 @@ def op3_sainte_lague_mix(spark, sf_dir):
 def op7_lpt_shards(spark, sf_dir):
     """All documents in 40 shards of near equal bytes, equal texts together."""
     return lpt_sharding.lpt_shards(_table(spark, sf_dir, "documents", "doc_id", "text"), 40)
+
+
+@register("op4_url_ratio")
+def op4_url_ratio(spark, sf_dir):
+    """Verdict on every page url: rules, else the calibrated model ratio."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url")
+    return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
