@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import lpt_sharding, mixing, url_filter
+from pyspark.sql import functions as F
+
+from . import license_scan, lpt_sharding, mixing, url_filter
 from .registry import register
 
 
@@ -74,3 +76,18 @@ def op4_url_ratio(spark, sf_dir):
     """Verdict on every page url: rules, else the calibrated model ratio."""
     pages = _table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    """Licence labels of every document, base phrases apart."""
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("detections", lambda d: d["base"])
+    kept = F.filter("detections", lambda d: d["kept"] | d["base"])
+    labels = lambda ds: F.array_join(F.array_sort(F.array_distinct(F.transform(ds, lambda d: d["label"]))), ",")
+    starts = F.transform(base, lambda d: d["first_word"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(kept).alias("labels"),
+        F.coalesce(F.array_max(F.transform(kept, lambda d: d["priority"])) / 100.0, F.lit(0.0)).alias("score"))
