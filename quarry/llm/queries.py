@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import license_scan, lpt_sharding, mixing, url_filter
+from . import language_id, license_scan, lpt_sharding, mixing, url_filter
 from .registry import register
 
 
@@ -91,3 +91,12 @@ def op10_license_scan(spark, sf_dir):
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         labels(base).alias("base_labels"), labels(kept).alias("labels"),
         F.coalesce(F.array_max(F.transform(kept, lambda d: d["priority"])) / 100.0, F.lit(0.0)).alias("score"))
+
+
+@register("op9_cross_parsing")
+def op9_cross_parsing(spark, sf_dir):
+    """Language of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language_id.identify(docs, language_id.language_samples(docs))
+    held_out = F.coalesce(language_id.bucket(F.col("doc_id")) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
