@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lpt_sharding, mixing, url_filter
+from . import language_id, license_scan, lpt_sharding, mixing, pieces, url_filter
 from .registry import register
 
 
@@ -12,6 +12,12 @@ def _table(spark, sf_dir: str, name: str, *columns: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def read_file(path: str) -> bytes:
+    """A vocabulary file on the driver; tasks get its bytes with their code."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
 OP3_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
@@ -100,3 +106,17 @@ def op9_cross_parsing(spark, sf_dir):
     found = language_id.identify(docs, language_id.language_samples(docs))
     held_out = F.coalesce(language_id.bucket(F.col("doc_id")) == 0, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@register("op6_sentencepiece")
+def op6_sentencepiece(spark, sf_dir):
+    """Piece ids of every document, decoded again and compared."""
+    model = read_file(PIECE_MODEL)
+    coded = pieces.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), model)
+    back = pieces.decode(coded.withColumn("_ids", F.col("ids")), model, "_ids")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
