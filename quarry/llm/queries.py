@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lpt_sharding, mixing, pieces, url_filter
+from . import language_id, license_scan, lpt_sharding, minhash_dedup, mixing, pieces, url_filter
 from .registry import register
 
 
@@ -120,3 +120,9 @@ def op6_sentencepiece(spark, sf_dir):
     back = pieces.decode(coded.withColumn("_ids", F.col("ids")), model, "_ids")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@register("op2_superminhash")
+def op2_superminhash(spark, sf_dir):
+    """Near-duplicate component of every document."""
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
