@@ -70,11 +70,18 @@ def char_classes(text: Column) -> Column:
 
 
 def ngram_codes(classes: Column) -> Column:
-    """Code of the ORDER-gram that ends at each position (0 before the start)."""
+    """Code of the ORDER-gram that ends at each position (0 before the start).
+
+    The padded array is bound as a lambda variable, else it would be computed
+    again for every position.
+    """
     padded = F.concat(F.array(*[F.lit(0)] * (ORDER - 1)), classes)
-    code = lambda i: sum(
-        (F.get(padded, i + k) * CLASSES ** (ORDER - 1 - k) for k in range(1, ORDER)), F.get(padded, i) * CLASSES ** (ORDER - 1))
-    return F.transform(F.sequence(F.lit(0), F.size(classes) - 1), code)
+
+    def codes(p: Column) -> Column:
+        at = lambda i: sum((F.get(p, i + k) * CLASSES ** (ORDER - 1 - k) for k in range(1, ORDER)), F.get(p, i) * CLASSES ** (ORDER - 1))
+        return F.transform(F.sequence(F.lit(0), F.size(p) - ORDER), at)
+
+    return F.get(F.transform(F.array(padded), codes), F.lit(0))
 
 
 def train_ratio(grams: DataFrame) -> DataFrame:
