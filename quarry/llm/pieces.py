@@ -294,7 +294,7 @@ class Encoder:
             self.words = {}
         if len(self.units) > CACHE_UNITS:
             self.units = {}
-        cut = {w: self._cut(SPACE + w) for w in words - self.words.keys()}
+        cut = {w: self._cut(SPACE + w) for w in words if w not in self.words}
         by_length: dict[int, set[str]] = {}
         for parts in cut.values():
             for part in parts:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lpt_sharding, minhash_dedup, mixing, pieces, url_filter
+from . import language_id, license_scan, lpt_sharding, minhash_dedup, mixing, pieces, token_counts, url_filter
 from .registry import register
 
 
@@ -126,3 +126,11 @@ def op6_sentencepiece(spark, sf_dir):
 def op2_superminhash(spark, sf_dir):
     """Near-duplicate component of every document."""
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op8_edited_counts")
+def op8_edited_counts(spark, sf_dir):
+    """Tokens of every document before and after redaction."""
+    ranks = read_file(RANKS)
+    indexed = token_counts.index_counts(_table(spark, sf_dir, "documents", "doc_id", "text"), ranks)
+    return token_counts.edit_counts(indexed, ranks, token_counts.REDACTIONS).drop("edited")
