@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lpt_sharding, minhash_dedup, mixing, pieces, token_counts, url_filter
+from . import (language_id, learned_partitions, license_scan, lpt_sharding, minhash_dedup, mixing, pieces, pivot_index,
+               token_counts, url_filter)
 from .registry import register
 
 
@@ -134,3 +135,30 @@ def op8_edited_counts(spark, sf_dir):
     ranks = read_file(RANKS)
     indexed = token_counts.index_counts(_table(spark, sf_dir, "documents", "doc_id", "text"), ranks)
     return token_counts.edit_counts(indexed, ranks, token_counts.REDACTIONS).drop("edited")
+
+
+@register("op1_learned_partitions")
+def op1_learned_partitions(spark, sf_dir):
+    """20 nearest vectors of every 20th, by learned partitions."""
+    return learned_partitions.nearest(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20, every=20)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
+@register("op5_pivot_index", OP5_SQL)
+def op5_pivot_index(spark, sf_dir):
+    """5 largest integer inner products of every 50th vector, exactly."""
+    return pivot_index.top_products(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=5, every=50)
