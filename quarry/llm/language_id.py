@@ -193,6 +193,21 @@ def language_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return {lang: squeeze(" ".join(t for _, t in sorted(rows)))[:SAMPLE_CHARS] for lang, rows in found.items()}
 
 
+def _judge(parser: Parser, lookup: np.ndarray, texts: list) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, lead, bits per character and letters of each text."""
+    n, rates = parser.rates([t or "" for t in texts], lookup)
+    if not parser.languages:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), n
+    order = np.argsort(rates, axis=1, kind="stable")
+    best = np.take_along_axis(rates, order[:, :1], 1)[:, 0]
+    lead = np.ones(len(texts))
+    if len(parser.languages) > 1:
+        second = np.take_along_axis(rates, order[:, 1:2], 1)[:, 0]
+        lead = np.clip(1 - best / np.where(second > 0, second, 1), 0, 1)
+    langs = [parser.languages[k] if m else UNKNOWN for k, m in zip(order[:, 0], n, strict=True)]
+    return langs, np.where(n > 0, lead, 0.0), np.where(n > 0, best, 0.0), n
+
+
 def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, lang_pred, score, bits, n_letters``.
 
@@ -215,24 +230,24 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = parser.lookup()
         for batch in chunks(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            n, rates = parser.rates(texts, lookup)
-            langs: list = [UNKNOWN] * len(texts)
-            scores, bits = np.zeros(len(texts)), np.zeros(len(texts))
-            if parser.languages:
-                order = np.argsort(rates, axis=1, kind="stable")
-                best = np.take_along_axis(rates, order[:, :1], 1)[:, 0]
-                bits = np.where(n > 0, best, 0.0)
-                if len(parser.languages) > 1:
-                    second = np.take_along_axis(rates, order[:, 1:2], 1)[:, 0]
-                    scores = 1 - best / np.where(second > 0, second, 1)
-                else:
-                    scores = np.ones(len(texts))
-                scores = np.where(n > 0, np.clip(scores, 0, 1), 0.0)
-                langs = [parser.languages[k] if m else UNKNOWN for k, m in zip(order[:, 0], n, strict=True)]
+            langs, scores, bits, n = _judge(parser, lookup, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(bits, pa.float64()), pa.array(n, pa.int64())],
                 names=["doc_id", "lang_pred", "score", "bits", "n_letters"])
 
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
+
+
+def keep_explained(docs: DataFrame, samples: dict[str, str], max_bits: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and needs at
+    most ``max_bits`` bits a character in its best language."""
+    parser = Parser(samples)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = parser.lookup()
+        for batch in chunks(batches, text_col):
+            langs, _, bits, _ = _judge(parser, lookup, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([k != UNKNOWN and b <= max_bits for k, b in zip(langs, bits.tolist(), strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
