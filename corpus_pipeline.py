@@ -55,8 +55,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often and as far as the mix takes them."""
     rows = _numbered(docs)
-    taken = mixing.mix(rows.select("__row", "text", "source"), id_col="__row").filter("taken > 0")
-    uses = taken.select(F.col("doc_id").alias("__row"), F.explode(
+    taken = mixing.mix(rows.select("__row", "doc_id", "text", "source"), row_col="__row").filter("taken > 0")
+    uses = taken.select(F.col("row").alias("__row"), F.explode(
         F.when(F.col("taken") > F.col("size"), F.array(F.col("size"), F.col("taken") - F.col("size"))).otherwise(F.array("taken"))
     ).alias("__words"), F.col("size").alias("__size"))
     used = rows.join(uses, "__row")

@@ -84,9 +84,9 @@ def source_targets(sources: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED) -> DataFrame:
+        row_col: str | None = None, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, source, source_size,
-    target, taken``.
+    target, taken``, and ``row_col`` as ``row`` if given.
 
     ``taken`` counts the words of the document that the mix holds, repeats
     included (0 to twice ``size``).  Null and empty texts have size 0 and
@@ -96,8 +96,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Other columns of ``docs`` are ignored, whatever their names.
     """
     doc = F.col(f"`{id_col}`")
+    carried = [F.col(f"`{row_col}`").alias("row")] if row_col else []
     rows = materialize(docs.select(
-        doc.alias("doc_id"), word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("source"),
+        *carried, doc.alias("doc_id"), word_count(F.col(f"`{text_col}`")).alias("size"), F.col(f"`{source_col}`").alias("source"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc.cast("string"), F.lit("null")))).alias("_h"),
     ), "mix_rows")
     words = rows.agg(F.sum("size")).first()[0] or 0
@@ -125,5 +126,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     on = F.col("r.source").eqNullSafe(F.col("q.source")) & (F.col("r._shard") == F.col("q._shard"))
     reach = lambda to: F.greatest(F.least(to - F.col("_start"), F.col("size")), F.lit(0))
     return laid.alias("r").join(quotas.alias("q"), on).select(
-        "doc_id", "size", "r.source", "source_size", "target",
+        *(["row"] if row_col else []), "doc_id", "size", "r.source", "source_size", "target",
         (reach(F.col("_words")) + reach(F.col("_words") - F.col("_cell"))).cast("long").alias("taken"))
