@@ -28,11 +28,22 @@ from quarry.sources.writers import materialize
 MAX_BITS = 10.0
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until they are no columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with the place of each row in its file, which is the same in
     every reading and tells rows apart that repeat an id.  A table that was not
     read from files is written first."""
-    place = F.struct("_metadata.file_path", "_metadata.row_index").alias("__row")
+    place = F.struct("_metadata.file_path", "_metadata.row_index").alias(name)
     try:
         return docs.select("*", place)
     except AnalysisException:
@@ -48,23 +59,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    (name,) = _fresh(docs, "gone")
+    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often and as far as the mix takes them."""
-    rows = _numbered(docs)
-    taken = mixing.mix(rows.select("__row", "doc_id", "text", "source"), row_col="__row").filter("taken > 0")
-    uses = taken.select(F.col("row").alias("__row"), F.explode(
+    row, words, whole = _fresh(docs, "row", "words", "whole")
+    rows = _numbered(docs, row)
+    taken = mixing.mix(rows.select(row, "doc_id", "text", "source"), row_col=row).filter("taken > 0")
+    uses = taken.select(F.col("row").alias(row), F.explode(
         F.when(F.col("taken") > F.col("size"), F.array(F.col("size"), F.col("taken") - F.col("size"))).otherwise(F.array("taken"))
-    ).alias("__words"), F.col("size").alias("__size"))
-    used = rows.join(uses, "__row")
-    # The first n words with the white space between them: n words, each with
-    # what stands before it.  The count is bounded, so no repeat is nested.
+    ).alias(words), F.col("size").alias(whole))
+    used = rows.join(uses, row)
+    # The first n words with what stands before each of them.
     places = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
-    head = F.array_join(F.slice(places, F.lit(1), F.col("__words").cast("int")), "")
-    out = used.withColumn("text", F.when(F.col("__words") < F.col("__size"), head).otherwise(F.col("text")))
+    head = F.array_join(F.slice(places, F.lit(1), F.col(words).cast("int")), "")
+    out = used.withColumn("text", F.when(F.col(words) < F.col(whole), head).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -125,7 +125,7 @@ class Parser:
             parts.append(t)
             self.roots.append(base * width)
             base += n
-        table = np.concatenate(parts).ravel()
+        table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int64)
         self.table = table.astype(np.int32) if len(table) < 2**30 else table
 
     def lookup(self) -> np.ndarray:

@@ -20,7 +20,7 @@ def odd_docs(spark):
         (7, "123 456 !!!", "fr", "a", 11, "x", 7, "r", 1),
         (8, "le chat est sur la table et le chien dort", "fr", "b", 41, "x", 7, "r", 1),
         (None, "le chat est sur la chaise et le chien mange", "fr", None, 43, "x", 7, "r", 1),
-        (9, "under the MIT license▁ naïve 日本語 \U0001f44d  two  spaces", None, "c", 50, "x", 7, "r", 1),
+        (9, "under the MIT license, ▁ naïve 日本語 \U0001f44d  two  spaces", None, "c", 50, "x", 7, "r", 1),
     ]
     return spark.createDataFrame(rows, DOC_SCHEMA)
 

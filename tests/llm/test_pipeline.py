@@ -5,10 +5,11 @@ import re
 import duckdb
 import pandas as pd
 import sentencepiece
-from llm.test_documents import brute_components
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 import corpus_pipeline
 from conftest import SF_SMALL
+from test_documents import brute_components
 from quarry.llm import ORACLE
 from quarry.llm.queries import PIECE_MODEL
 
