@@ -31,12 +31,11 @@ from .arrow import chunks
 SPACE = "▁"
 BPE, UNIGRAM = 2, 1
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS = 400_000   # distinct words remembered by a worker
-CACHE_UNITS = 600_000   # distinct parts of words remembered by a worker
+CACHE_WORDS = 150_000   # distinct words after which a worker starts to forget
 BATCH_WORDS = 8192      # words that advance together
 _BASES = (np.uint64(1099511628211), np.uint64(6364136223846793005))  # of two hashes: one is probed, the other confirms
-_LENGTH, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-TEXT_BYTES = 8 << 20    # of the texts whose distinct words are encoded together
+_LENGTH, _MASK, _SPREAD = 0x9E3779B97F4A7C15, (1 << 64) - 1, np.uint64(0xD6E8FEB86659FD93)
+TEXT_BYTES = 4 << 20    # of the texts whose distinct words are encoded together
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -102,6 +101,49 @@ class Model:
                         for p, t in zip(self.pieces, self.types, strict=True)]
 
 
+class KeyTable:
+    """64-bit keys to their order of arrival, by open addressing; probes and
+    insertions are vectorised."""
+
+    def __init__(self, bits: int = 17):
+        self.bits, self.keys, self.n = bits, np.zeros(1 << 10, np.uint64), 0
+        self.slots = np.full(1 << bits, -1, np.int32)
+
+    def _start(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, -1 if it is not known."""
+        at = self._start(keys)
+        out = self.slots[at]
+        todo = np.flatnonzero(out >= 0)
+        todo = todo[self.keys[out[todo]] != keys[todo]]
+        while len(todo):
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            out[todo] = self.slots[at[todo]]
+            todo = todo[out[todo] >= 0]
+            todo = todo[self.keys[out[todo]] != keys[todo]]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Append distinct keys that are not known yet."""
+        if self.n + len(keys) > len(self.keys):
+            self.keys = np.concatenate([self.keys, np.zeros(self.n + 2 * len(keys), np.uint64)])
+        self.keys[self.n:self.n + len(keys)] = keys
+        first, self.n = self.n, self.n + len(keys)
+        if 2 * self.n > len(self.slots):
+            self.bits = max(self.bits + 1, (2 * self.n).bit_length())
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+            first = 0
+        number = np.arange(first, self.n, dtype=np.int32)
+        at = self._start(self.keys[number])
+        while len(number):
+            free = np.flatnonzero(self.slots[at] < 0)
+            self.slots[at[free]] = number[free]  # of several for one slot the last is in
+            lost = self.slots[at] != number
+            number, at = number[lost], (at[lost] + 1) & ((1 << self.bits) - 1)
+
+
 class Encoder:
     """Words to piece ids; keeps what it has learned about words and pairs."""
 
@@ -121,14 +163,18 @@ class Encoder:
             keys, check = (self._prefixes(self._points(group), base)[:, n] for base in _BASES)
             found += [(k + n * _LENGTH & _MASK, c, own[p]) for k, c, p in zip(keys.tolist(), check.tolist(), group, strict=True)]
         found.sort()
-        self.keys = np.array([k for k, _, _ in found], np.uint64)
+        self.table = KeyTable()
+        self.table.add(np.array([k for k, _, _ in found], np.uint64))
         self.check = np.array([c for _, c, _ in found], np.uint64)
         self.ids = np.array([i for _, _, i in found], np.int64)
         self.score = np.array(model.scores + [min(model.scores, default=0.0) - 10.0])
         self.unknown = len(model.pieces)  # any character that is no piece
-        self.pair_keys, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.pairs, self.pair_ok = KeyTable(), np.zeros(0, bool)
+        # word (without its mark) -> ids; rest of a cut word -> ids; the last
+        # generation of each serves once more before it is forgotten
         self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.run_ids: dict[int, list[int]] = {}
 
     @staticmethod
@@ -191,22 +237,18 @@ class Encoder:
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the merges leave pieces a, b side by side."""
         free = (a == self.unknown) | (b == self.unknown)
-        keys = a * (self.unknown + 1) + b
-        at = np.searchsorted(self.pair_keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.pair_keys):
-            known = self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] == keys
-        if new := set(keys[~known & ~free].tolist()):
-            fresh = np.array(sorted(new), np.int64)
+        keys = (a * (self.unknown + 1) + b).astype(np.uint64)
+        at = self.pairs.find(keys)
+        if new := set(keys[(at < 0) & ~free].tolist()):
             pieces = self.m.pieces
-            ok = np.array([self.merges(x + y) == [x, y] for k in fresh.tolist()
-                           for x, y in ((pieces[k // (self.unknown + 1)], pieces[k % (self.unknown + 1)]),)])
-            where = np.searchsorted(self.pair_keys, fresh)
-            self.pair_keys, self.pair_ok = np.insert(self.pair_keys, where, fresh), np.insert(self.pair_ok, where, ok)
-            at = np.searchsorted(self.pair_keys, keys)
-        if not len(self.pair_keys):
-            return free
-        return free | self.pair_ok[np.minimum(at, len(self.pair_keys) - 1)]
+            ok = [self.merges(x + y) == [x, y] for k in new
+                  for x, y in ((pieces[k // (self.unknown + 1)], pieces[k % (self.unknown + 1)]),)]
+            self.pairs.add(np.array(list(new), np.uint64))
+            self.pair_ok = np.concatenate([self.pair_ok, np.array(ok)])
+            at = self.pairs.find(keys)
+        ok = free.copy()
+        ok[~free] = self.pair_ok[at[~free]]
+        return ok
 
     def _viterbi(self, words: Sequence[str]) -> list[bytes]:
         """Piece ids (int32) of words of one length."""
@@ -222,9 +264,10 @@ class Encoder:
         for i in range(1, length + 1):
             sizes = np.arange(1, min(i, self.longest) + 1)
             h = one[:, i, None] - one[:, i - sizes] * powers[0][sizes] + salt[sizes]
-            at = np.minimum(np.searchsorted(self.keys, h.ravel()), len(self.keys) - 1)
-            row, col = np.divmod(np.flatnonzero(self.keys[at] == h.ravel()), len(sizes))
-            at, size = at[row * len(sizes) + col], sizes[col]
+            at = self.table.find(h.ravel())
+            flat = np.flatnonzero(at >= 0)
+            row, col = np.divmod(flat, len(sizes))
+            at, size = at[flat], sizes[col]
             good = (two[row, i] - two[row, i - size] * powers[1][size] == self.check[at]) & (best[row, i - size] > -np.inf)
             row, size, cand = row[good], size[good], self.ids[at[good]]
             lone = best[:, i - 1] > -np.inf  # a character that is no piece is one unknown
@@ -290,23 +333,41 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode the words not known yet, their parts by length."""
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words = {}
-        if len(self.units) > CACHE_UNITS:
-            self.units = {}
-        cut = {w: self._cut(SPACE + w) for w in words if w not in self.words}
-        by_length: dict[int, set[str]] = {}
-        for parts in cut.values():
-            for part in parts:
-                if part not in self.units:
-                    by_length.setdefault(len(part), set()).add(part)
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.old, self.tails = {}, self.words, {}
+        known, old = self.words, self.old
+        cut: dict[str, list[str]] = {}
+        heads, tails = set(), set()
+        for w in words:
+            if w in known:
+                continue
+            if w in old:
+                known[w] = old[w]
+            elif w.isalpha():  # most of these can't be cut
+                heads.add(w)
+            else:
+                parts = self._cut(SPACE + w)
+                cut[w] = parts
+                if parts[0] != SPACE:
+                    heads.add(parts[0][1:])
+                tails.update(p for p in parts[parts[0] != SPACE:] if p not in self.tails)
+        heads = {w for w in heads if w not in known}
+        by_length: dict[int, list[str]] = {}
+        for group, mark in ((heads, SPACE), (tails, "")):
+            for w in group:
+                by_length.setdefault(len(w) + len(mark), []).append(mark + w)
         for length, group in by_length.items():
-            todo = list(group)
             size = max(1, min(BATCH_WORDS, (1 << 20) // (length + 1)))
-            for i in range(0, len(todo), size):
-                self.units.update(zip(todo[i:i + size], self._viterbi(todo[i:i + size]), strict=True))
+            for i in range(0, len(group), size):
+                part = group[i:i + size]
+                for w, ids in zip(part, self._viterbi(part), strict=True):
+                    if w[0] == SPACE and len(w) > 1:
+                        known[w[1:]] = ids
+                    else:
+                        self.tails[w] = ids
         for w, parts in cut.items():
-            self.words[w] = b"".join([self.units[p] for p in parts])
+            head = [] if parts[0] == SPACE else [known[parts[0][1:]]]
+            known[w] = b"".join(head + [self.tails[p] for p in parts[len(head):]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian int32 ids of each text."""
@@ -371,12 +432,18 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
             offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in found])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(
                 pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")),
-                mask=pa.array([t is None for t in texts]))
+                mask=pa.array([t is None for t in texts], pa.bool_()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), lists], names=["doc_id", "text", "ids"])
 
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def decode(coded: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
     """``coded`` without ``ids_col``, plus ``decoded``: the text of the ids
     without the dummy prefix; bytes that are no UTF-8 become the replacement
@@ -387,7 +454,7 @@ def decode(coded: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(model)
         surface = np.array(m.surface, object)
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(ids_col)
             texts = []
             for i in range(len(lists)):
