@@ -52,12 +52,14 @@ def _numbered(docs: DataFrame, name: str) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language was recognised."""
+    prepare(spark)
     samples = language_id.language_samples(docs.select("doc_id", "text", "lang"))
     return language_id.keep_explained(docs, samples, MAX_BITS)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    prepare(spark)
     groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
     (name,) = _fresh(docs, "gone")
     gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
@@ -66,6 +68,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often and as far as the mix takes them."""
+    prepare(spark)
     row, words, whole = _fresh(docs, "row", "words", "whole")
     rows = _numbered(docs, row)
     taken = mixing.mix(rows.select(row, "doc_id", "text", "source"), row_col=row).filter("taken > 0")
@@ -84,6 +87,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_ids, ids``: the coded documents."""
+    prepare(spark)
     coded = pieces.encode(docs.select("doc_id", "text"), read_file(PIECE_MODEL))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
 

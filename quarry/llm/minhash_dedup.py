@@ -6,16 +6,13 @@ union-find groups.
    one class from here on, so groups of copies cost one row.
 2. Classes that share a band key are a bucket.  Instead of all its pairs, a
    bucket offers each member paired with one *leader*: the member that shares
-   the most buckets, which is the text the others were copied from.  A second
-   round offers the members that did not end in their leader's component a
-   leader outside of it.
+   the most buckets, which is the text the others were copied from.
 3. Pairs are confirmed by the sizes of the intersection and union of the full
    sets, recomputed from the texts; confirmed links make components.
-4. Buckets that still hold members of several components are compared in
-   blocks of members, so that no link between candidates is lost: pairs of
-   different components are confirmed on full sets inside the task.  Their
-   number depends on how many unlike texts collide, not on the size of a group
-   of copies.
+4. In a bucket that still holds members of several components, those outside
+   of the largest one are compared with all the others, so that no link between
+   candidates is lost.  One product of 0/1 matrices gives all the shared counts
+   of a bucket; a large bucket is dealt out in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -34,7 +31,7 @@ from .arrow import chunks
 from .components import components
 
 SIMILAR = 75      # per cent of the union that must be shared
-BLOCK = 64        # members of a block in step 4
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1 << 20   # of a block in step 4
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,13 +78,13 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR
 
 
-def _leader_pairs(members: DataFrame, allowed: Column, weight: Column) -> DataFrame:
-    """``a, b``: members of ``key`` with the leader among the ``allowed``;
-    members of the leader's component, and sizes that rule a link out, go."""
-    leaders = members.filter(allowed).groupBy("key").agg(
-        F.max(F.struct(weight.alias("w"), (-F.col("id")).alias("i"), F.col("n").alias("n"), F.col("comp").alias("c"))).alias("l"))
+def _leader_pairs(members: DataFrame) -> DataFrame:
+    """``a, b``: members of ``key`` with its leader, the one of most weight;
+    sizes that rule a link out go."""
+    leaders = members.groupBy("key").agg(
+        F.max(F.struct("w", (-F.col("id")).alias("i"), F.col("n").alias("n"))).alias("l"))
     return members.join(leaders, "key").filter(
-        (F.col("comp") != F.col("l.c")) & _sizes_fit(F.col("n"), F.col("l.n"))
+        (F.col("id") != -F.col("l.i")) & _sizes_fit(F.col("n"), F.col("l.n"))
     ).select(F.col("id").alias("a"), (-F.col("l.i")).alias("b")).distinct()
 
 
@@ -98,41 +95,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         _confirm, "a long, b long"), "links")
 
 
-def _with_components(members: DataFrame, comps: DataFrame) -> DataFrame:
-    return members.drop("comp").join(comps, "id", "left").withColumn(
-        "comp", F.coalesce("component", "id")).drop("component")
-
-
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of the keys that hold more than one component."""
+def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``key, id, n, comp`` of the keys that hold more than one component."""
+    members = members.join(comps, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
     keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     return members.join(keys, "key", "left_semi")
 
 
-def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links between members of different components in a pair of blocks."""
-    pdf = pdf.drop_duplicates("id").sort_values("n", ignore_index=True)
-    n, comp, block = pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["block"].to_numpy()
-    ids, sets = pdf["id"].to_numpy(), [np.frombuffer(s, np.uint64) for s in pdf["set"]]
-    one_block = len(set(block.tolist())) == 1
-    first = np.searchsorted(n * 100, n * SIMILAR)  # smaller sets can't be similar
-    out = []
-    for j in range(len(ids)):
-        near = np.arange(first[j], j)
-        near = near[(comp[near] != comp[j]) & (one_block | (block[near] != block[j]))]
-        out += [(ids[i], ids[j]) for i in near.tolist() if similar(sets[i], sets[j])]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _bucket_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of different components, in one block or between
+    two."""
+    pdf = pdf.drop_duplicates("id", ignore_index=True)
+    n, ids, block = pdf["n"].to_numpy(), pdf["id"].to_numpy(), pdf["block"].to_numpy()
+    comp = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
+    if (block == block[0]).all():
+        rows, cols = np.flatnonzero(comp != np.bincount(comp).argmax()), np.arange(len(ids))
+    else:
+        rows, cols = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    # shingles that only one member holds are shared with none
+    member = np.repeat(np.arange(len(ids)), [len(x) // 8 for x in pdf["set"]])
+    _, place, seen = np.unique(np.frombuffer(b"".join(pdf["set"]), np.uint64), return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1
+    member, place = member[seen[place] > 1], number[place[seen[place] > 1]]
+    order = np.argsort(place, kind="stable")
+    member, place = member[order], place[order]
+    shared = np.zeros((len(rows), len(cols)), np.float32)
+    width = max(64, (1 << 22) // len(ids))
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        a, b = np.searchsorted(place, [start, start + width])
+        held = np.zeros((len(ids), width), np.float32)
+        held[member[a:b], place[a:b] - start] = 1
+        shared += held[rows] @ held[cols].T
+    alike = (100 * shared >= SIMILAR * (n[rows][:, None] + n[cols] - shared)) & (comp[rows][:, None] != comp[cols])
+    r, c = np.nonzero(alike)
+    return pd.DataFrame({"a": ids[rows[r]], "b": ids[cols[c]]}, dtype="int64")
 
 
 def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Step 4: all links between members of one key and several components."""
-    sizes = members.groupBy("key").agg((F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = dealt.withColumn("other", F.explode(others)).select(
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.join(members.groupBy("key").agg(blocks.alias("blocks")), "key").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "comp")
     return materialize(dealt.join(sets, "id").groupBy("key", "lo", "hi").applyInPandas(
-        _block_links, "a long, b long").distinct(), "links")
+        _bucket_links, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,27 +163,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
     members = materialize(banded.join(shared, "key"), "minhash_members")
     weights = members.groupBy("id").agg(F.sum("cnt").alias("w"))
-    members = members.drop("cnt").join(weights, "id").withColumn("comp", F.col("id"))
-    members = materialize(members, "minhash_weighted")
+    members = materialize(members.drop("cnt").join(weights, "id"), "minhash_weighted")
 
     wanted = weights.select(F.col("id").alias("doc_id"))
     sets = materialize(
         docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, set binary")
         .select(F.col("doc_id").alias("id"), "set"), "minhash_sets")
 
-    links = _confirmed(_leader_pairs(members, F.lit(True), F.col("w")), sets)
+    links = _confirmed(_leader_pairs(members), sets)
     comps = components(links)
-    mixed = materialize(_mixed(_with_components(members, comps)), "minhash_mixed")
+    mixed = materialize(_mixed(members, comps), "minhash_mixed")
     if not mixed.isEmpty():
-        first = mixed.groupBy("key").agg(F.max(F.struct("w", -F.col("id"), "comp"))["comp"].alias("led"))
-        outside = mixed.join(first, "key")
-        more = _confirmed(_leader_pairs(outside, F.col("comp") != F.col("led"), F.col("w")), sets)
-        links = links.unionByName(more)
-        comps = components(links)
-        mixed = materialize(_mixed(_with_components(mixed, comps)), "minhash_mixed")
-        if not mixed.isEmpty():
-            links = links.unionByName(_rest_links(mixed, sets))
-            comps = components(links)
+        comps = components(links.unionByName(_rest_links(mixed, sets)))
 
     # classes that share an id (rows that repeat a doc_id) meet by the id
     named = classes.select("key", "id").join(comps, "id", "left").select(

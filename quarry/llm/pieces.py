@@ -31,7 +31,7 @@ from .arrow import chunks
 SPACE = "▁"
 BPE, UNIGRAM = 2, 1
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS = 150_000   # distinct words after which a worker starts to forget
+CACHE_WORDS = 60_000    # distinct words after which a worker starts to forget
 BATCH_WORDS = 8192      # words that advance together
 _BASES = (np.uint64(1099511628211), np.uint64(6364136223846793005))  # of two hashes: one is probed, the other confirms
 _LENGTH, _MASK, _SPREAD = 0x9E3779B97F4A7C15, (1 << 64) - 1, np.uint64(0xD6E8FEB86659FD93)
