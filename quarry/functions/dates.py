@@ -7,21 +7,28 @@ from pyspark.sql import functions as F
 
 from . import lexicon as L
 
-# Formats tried in order when the date arrives as a string.
+# Formats tried in order when the permissive cast fails.
 DATE_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
+    "yyyy/MM/dd[ HH:mm:ss]",
+    "MMM d, yyyy[ HH:mm:ss]",
+    "MMMM d, yyyy[ HH:mm:ss]",
+    "d MMM yyyy[ HH:mm:ss][ XX]",
+    "d MMMM yyyy[ HH:mm:ss][ XX]",
+    "MM/dd/yyyy[ HH:mm:ss]",
+    "yyyyMMdd",
 )
 
 
-def parse_date(c: Column, formats=DATE_FORMATS) -> Column:
-    """B1: string or timestamp -> UTC timestamp; unparseable -> null."""
-    s = c.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+def parse_date(c: Column, kind: str = "string", formats=DATE_FORMATS) -> Column:
+    """B1: date or time of any common form -> UTC timestamp; else null.
+
+    ``kind`` is the column's type name: dates and timestamps are taken as they
+    are.  Strings go through a permissive cast first, then the formats.
+    """
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return c.cast("timestamp")
+    s = F.regexp_replace(F.trim(c.cast("string")), r"^(Mon|Tues?|Wed|Thu|Thurs|Fri|Sat|Sun)[a-z]*,? | (GMT|UTC)$", "")
+    return F.coalesce(F.try_to_timestamp(s), *[F.try_to_timestamp(s, F.lit(f)) for f in formats])
 
 
 def month_end(c) -> Column:

@@ -8,18 +8,11 @@ has at least one hit.  Two matching modes:
   before the plan is built.
 * ``"word"``: the phrase must sit between non-word characters (Python ``\\w``).
 
-Two engines for substring mode:
-
-* ``"sql"``: an OR-chain of ``contains`` over one lower-cased copy of
-  the text - plain expressions, so the whole projection stays in whole-stage
-  codegen; cost grows with phrases x text length.
-* ``"automaton"``: one Aho-Corasick pass per text inside an Arrow-batched
-  ``pandas_udf`` (automaton built once per worker process); cost grows with
-  text length only.  Worth it for large dictionaries.
-* ``"auto"`` (default): the automaton above ``AUTOMATON_MIN_PHRASES`` distinct
-  phrases, the expression engine below.  Measured at sf0.1 (6,062 English
-  documents, 8 cores, warm): 11 phrases - both ~2.1 s; the 107 impact phrases -
-  expressions 4.5 s, automaton 2.3 s.
+Two engines, both plain expressions that stay in generated code:
+
+* ``"contains"`` (default): an OR-chain of ``contains`` over one lower-cased
+  copy of the text;
+* ``"rlike"``: one alternation per label.
 """
 
 from __future__ import annotations
@@ -27,7 +20,6 @@ from __future__ import annotations
 import re
 from typing import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -36,8 +28,6 @@ from .text import PY_WORD, null_to_empty
 
 Dictionary = Mapping[str, Sequence[str]]
 
-AUTOMATON_MIN_PHRASES = 32
-
 
 def minimal_phrases(phrases: Sequence[str]) -> list[str]:
     """Drop phrases that contain another phrase of the same list.
@@ -59,75 +49,31 @@ def _word_regex(phrases: Sequence[str]) -> str:
     return f"(?<!{PY_WORD})(?:{alt})(?!{PY_WORD})"
 
 
-def label_hit(lowered: Column, phrases: Sequence[str], mode: str = "substring") -> Column:
+def label_hit(lowered: Column, phrases: Sequence[str], mode: str = "substring", engine: str = "contains") -> Column:
     """Boolean: does the lower-cased text hit any phrase of one label."""
     if not phrases:
         return F.lit(False)
-    if mode == "substring":
-        cond = None
-        for p in minimal_phrases(phrases):
-            c = lowered.contains(p)
-            cond = c if cond is None else (cond | c)
-        return cond
     if mode == "word":
         return lowered.rlike(_word_regex(phrases))
-    raise ValueError(f"unknown mode {mode!r}")
-
-
-def tag(text, dictionary: Dictionary, mode: str = "substring", engine: str = "auto") -> Column:
+    if mode != "substring":
+        raise ValueError(f"unknown mode {mode!r}")
+    if engine == "rlike":
+        return lowered.rlike("|".join(re.escape(p) for p in minimal_phrases(phrases)))
+    cond = None
+    for p in minimal_phrases(phrases):
+        c = lowered.contains(p)
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+def tag(text, dictionary: Dictionary, mode: str = "substring", engine: str = "contains") -> Column:
     """Sorted distinct labels of ``dictionary`` that hit ``text``."""
-    if engine == "auto":
-        n = sum(len(minimal_phrases(p)) for p in dictionary.values())
-        engine = "automaton" if mode == "substring" and n >= AUTOMATON_MIN_PHRASES else "sql"
-    if engine == "automaton":
-        if mode != "substring":
-            raise ValueError("the automaton engine implements substring mode")
-        return automaton_tagger(dictionary)(null_to_empty(text if isinstance(text, Column) else F.col(text)))
     t = F.col(text) if isinstance(text, str) else text
     lowered = F.lower(null_to_empty(t))
-    hits = [F.when(label_hit(lowered, dictionary[label], mode), F.lit(label)) for label in sorted(dictionary)]
+    hits = [F.when(label_hit(lowered, dictionary[label], mode, engine), F.lit(label)) for label in sorted(dictionary)]
     if not hits:
         return F.array().cast(ArrayType(StringType()))
     # labels are distinct and already sorted: removing the nulls with
     # array_except keeps the order and, unlike a lambda filter, stays in
     # whole-stage generated code
     return F.array_except(F.array(*hits), F.array(F.lit(None).cast(StringType())))
-
-
-def automaton_tagger(dictionary: Dictionary):
-    """Arrow-batched Aho-Corasick tagger.
-
-    The UDF closes over plain data only (phrase -> labels), so it pickles by
-    value and runs on executors that do not have this package installed; the
-    automaton is built once per task (microseconds for hundreds of phrases).
-    """
-    owners: dict[str, list[str]] = {}
-    for label in sorted(dictionary):
-        for p in minimal_phrases(dictionary[label]):
-            owners.setdefault(p, []).append(label)
-    n_labels = len(dictionary)
-    cache: dict = {}
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def _tag(s: pd.Series) -> pd.Series:
-        auto = cache.get("auto")
-        if auto is None:
-            import ahocorasick
-
-            auto = ahocorasick.Automaton()
-            for phrase, labels in owners.items():
-                auto.add_word(phrase, frozenset(labels))
-            auto.make_automaton()
-            cache["auto"] = auto
-
-        def one(x: str) -> list[str]:
-            found: set[str] = set()
-            for _, labels in auto.iter(x.lower()):
-                found |= labels
-                if len(found) == n_labels:
-                    break
-            return sorted(found)
-
-        return s.map(one)
-
-    return _tag

@@ -15,7 +15,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -34,7 +34,7 @@ _NOT_WORD_OR_SPACE = r"[^\p{L}\p{N}_\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}]"
 # Java forms of the light-clean patterns in ``lexicon`` (same meaning as the
 # Python originals on ``str``; ``(?U)`` makes ``\b`` Unicode-aware).
 _SEP = r"[\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}.-]"
-EMAIL_RE = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+EMAIL_RE = "(?U)" + L.EMAIL_PATTERN
 PHONE_RE = (
     rf"(\+?{PY_DIGIT}{{1,2}}{_SEP}?)?(\(?{PY_DIGIT}{{3}}\)?{_SEP}?){PY_DIGIT}{{3}}{_SEP}?{PY_DIGIT}{{4}}"
 )
@@ -138,6 +138,35 @@ def light_clean(c) -> Column:
     return collapse_ws(strip_boilerplate(strip_phones(strip_emails(null_to_empty(c)))))
 
 
+def with_steps(df: DataFrame, src: str, out: str, steps) -> DataFrame:
+    """``out`` = the steps applied to ``src``, one projection a step.
+
+    Each step reads its input several times.  As a column that is read by name
+    the input is computed once; nested expressions would multiply.
+    """
+    df = df.withColumn(out, null_to_empty(src))
+    for step in steps:
+        df = df.withColumn(out, step(F.col(out)))
+    return df
+
+
+def _to_nfkc(x: Column) -> Column:
+    return F.coalesce(nfkc(F.when(~is_ascii(x), x)), x)
+
+
+def _line_ends(x: Column) -> Column:
+    return F.translate(F.translate(x, "\x00", ""), "\r", "\n")
+
+
+NORMALIZE_STEPS = (_to_nfkc, _line_ends, collapse_ws)
+LIGHT_CLEAN_STEPS = (strip_emails, strip_phones, strip_boilerplate, collapse_ws)
+
+
+def with_clean(df: DataFrame, src: str, out: str) -> DataFrame:
+    """C1 then C5 as a column ``out`` of the frame."""
+    return with_steps(df, src, out, NORMALIZE_STEPS + LIGHT_CLEAN_STEPS)
+
+
 def left(c, n: int) -> Column:
     """First ``n`` characters (code points)."""
     return F.substring(_c(c), 1, n)
@@ -224,13 +253,6 @@ def ngrams(tok: Column, n_max: int = 2) -> Column:
     return out
 
 
-def terms(c, stopwords: list[str], n_max: int = 2) -> Column:
-    """C20: tokens, stop words removed, then 1..n_max-grams (single
-    expression; ``operators.topics.doc_terms`` is the fast form for tables)."""
-    kept = F.filter(tokens(c), lambda t: ~t.isin(stopwords))
-    return ngrams(kept, n_max)
-
-
 def excerpt(c, n: int, suffix: str = L.EXCERPT_SUFFIX) -> Column:
     """First ``n`` characters plus a suffix."""
     return F.concat(left(c, n), F.lit(suffix))

@@ -54,17 +54,6 @@ def top_k_per_group(df: DataFrame, group: Sequence[str] | str, k: int, order: Se
     return out if rank_col else out.drop(rn)
 
 
-def top_per_group(df: DataFrame, group: str, value: str, tie: Sequence[str] = ()) -> DataFrame:
-    """I3 (first half): the row with the largest ``value`` per group.
-
-    ``max_by`` is a partial aggregate - no window, one row per group and map task.
-    """
-    others = [c for c in df.columns if c != group]
-    order = F.struct(F.col(value), *[F.col(t) for t in tie]) if tie else F.col(value)
-    best = df.groupBy(group).agg(F.max_by(F.struct(*others), order).alias("_best"))
-    return best.select(group, *[F.col(f"_best.{c}").alias(c) for c in others])
-
-
 def top_k(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
     """Global top-k (``TakeOrderedAndProject``: per-task top-k, then merge)."""
     return df.orderBy(*_cols(order)).limit(k)

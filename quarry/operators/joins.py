@@ -1,8 +1,7 @@
 """D-section joins.
 
-* D1 ``label_topics``: fact ⟕ small curated dimension.  The dimension is a
-  hand-made table (tens of rows); it is broadcast only after its size is
-  checked, otherwise the planner keeps a shuffle join.
+* D1 ``label_topics``: fact ⟕ curated dimension; the planner broadcasts it by
+  its size.
 * D2 ``entity_sentiment_counts``: the many-to-many title join of mentions to
   scored articles, computed WITHOUT emitting the pair rows: both sides are
   pre-aggregated on the join key, so the join multiplies counts instead of
@@ -13,28 +12,12 @@
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast without asking the planner (rows).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it provably has at most ``max_rows`` rows.
-
-    The check is a cheap ``limit(max_rows + 1).count()``; above the bound the
-    frame is returned unchanged and AQE chooses the join at runtime.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def label_topics(df: DataFrame, labels: DataFrame, key: str = "topic") -> DataFrame:
     """Left join of articles to the topic-label dimension."""
-    return df.join(bounded_broadcast(labels), key, "left")
+    return df.join(labels, key, "left")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
@@ -78,8 +61,3 @@ def dot(a: Column | str, b: Column | str) -> Column:
     b = F.col(b) if isinstance(b, str) else b
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
                        lambda acc, v: acc + v)
-
-
-def scalar_row(df: DataFrame, cols: Sequence[str]) -> Column:
-    """A one-row frame as a struct scalar subquery (errors if > 1 row)."""
-    return df.select(F.struct(*cols)).scalar()

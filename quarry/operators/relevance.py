@@ -1,10 +1,8 @@
 """E-section: embeddings, similarity, exact top-share filtering, reports.
 
-``quantile`` is exact (linear interpolation, as ``numpy.quantile``) without
-collecting the column anywhere: ``percentile_approx`` brackets the target
-ranks, two counts verify the bracket, and only the rows inside the bracket -
-a number checked before anything is fetched - are ordered to read off the two
-neighbouring order statistics.  Each step is one distributed aggregate.
+``quantile`` is exact (linear interpolation, as ``numpy.quantile``):
+``percentile_approx`` brackets the target ranks, counts verify the bracket,
+and the one or two order statistics are read from the rows inside it.
 """
 
 from __future__ import annotations
@@ -25,9 +23,6 @@ from ..functions.text import tokens
 from .joins import dot
 from ..sources.writers import materialize as _materialize
 
-# Rows inside a quantile bracket that may be ordered and fetched at once.
-BRACKET_MAX_ROWS = 200_000
-
 
 def similarity(df: DataFrame, vec_col: str, query: Column, name: str = "semantic_score") -> DataFrame:
     """Dot product with the query vector (cosine for unit vectors).
@@ -38,53 +33,28 @@ def similarity(df: DataFrame, vec_col: str, query: Column, name: str = "semantic
     return df.withColumn("_query", query).withColumn(name, dot(F.col(vec_col), F.col("_query"))).drop("_query")
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two arrays (no unit-length assumption)."""
-    na = F.sqrt(dot(a, a))
-    nb = F.sqrt(dot(b, b))
-    return dot(a, b) / (na * nb)
-
-
 def _order_stats(df: DataFrame, col: str, ranks: list[int], n: int, accuracy: int) -> list[float]:
-    """Exact values at 0-based ascending ``ranks`` (sorted, adjacent).
+    """Exact values at 0-based ascending ``ranks`` (one, or two neighbours).
 
-    Each round brackets the ranks with ``percentile_approx`` (fixed sketch
-    size), verifies the bracket with two counts and narrows the candidate set
-    to it; once at most ``BRACKET_MAX_ROWS`` candidates remain they are
-    ordered and the wanted ones read.  A tie block covering the ranks ends the
-    search at once, so many equal scores cannot stall it.
+    Two approximate percentiles bracket the ranks; if the counts confirm it,
+    only the rows inside the bracket are ordered.  A block of ties that covers
+    the ranks is the answer itself.
     """
     c = F.col(col)
-    cur, cur_ranks, cur_n = df, list(ranks), n
     slack = 2.0 / accuracy
-    for _ in range(64):
-        lo_rank, hi_rank = cur_ranks[0], cur_ranks[-1]
-        if cur_n <= BRACKET_MAX_ROWS:
-            vals = [r[0] for r in cur.select(c).orderBy(c).limit(hi_rank + 1).collect()]
-            return [vals[r] for r in cur_ranks]
-        q_lo = max(0.0, lo_rank / (cur_n - 1) - slack)
-        q_hi = min(1.0, hi_rank / (cur_n - 1) + slack)
-        lo, hi = cur.agg(F.percentile_approx(c, [q_lo, q_hi], accuracy).alias("b")).first()["b"]
-        cnt = cur.agg(
-            F.count_if(c < F.lit(lo)).alias("lt_lo"), F.count_if(c <= F.lit(lo)).alias("le_lo"),
-            F.count_if(c < F.lit(hi)).alias("lt_hi"), F.count_if(c <= F.lit(hi)).alias("le_hi"),
-        ).first()
-        if cnt["lt_lo"] <= lo_rank and cnt["le_lo"] >= hi_rank + 1:
-            return [lo] * len(cur_ranks)  # all wanted ranks inside the tie block at lo
-        if cnt["lt_hi"] <= lo_rank and cnt["le_hi"] >= hi_rank + 1:
-            return [hi] * len(cur_ranks)
-        if cnt["lt_lo"] <= lo_rank and cnt["le_hi"] >= hi_rank + 1:
-            inside = cnt["le_hi"] - cnt["lt_lo"]
-            if inside < cur_n:
-                cur = cur.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
-                cur_ranks = [r - cnt["lt_lo"] for r in cur_ranks]
-                cur_n = inside
-                slack = 2.0 / accuracy
-                continue
-            slack /= 4.0  # no progress: aim tighter
-        else:
-            slack *= 4.0  # bracket missed the ranks: widen
-    raise RuntimeError("could not bracket the quantile")
+    at = [max(0.0, ranks[0] / max(1, n - 1) - slack), min(1.0, ranks[-1] / max(1, n - 1) + slack)]
+    lo, hi = df.agg(F.percentile_approx(c, at, accuracy).alias("b")).first()["b"]
+    cnt = df.agg(
+        F.count_if(c < F.lit(lo)).alias("lt_lo"), F.count_if(c <= F.lit(lo)).alias("le_lo"),
+        F.count_if(c < F.lit(hi)).alias("lt_hi"), F.count_if(c <= F.lit(hi)).alias("le_hi"),
+    ).first()
+    for value, below, upto in ((lo, cnt["lt_lo"], cnt["le_lo"]), (hi, cnt["lt_hi"], cnt["le_hi"])):
+        if below <= ranks[0] and upto > ranks[-1]:
+            return [value] * len(ranks)
+    skip = ranks[0]
+    if cnt["lt_lo"] <= ranks[0] and cnt["le_hi"] > ranks[-1]:
+        df, skip = df.filter((c >= F.lit(lo)) & (c <= F.lit(hi))), ranks[0] - cnt["lt_lo"]
+    return [r[0] for r in df.select(c).orderBy(c).offset(skip).limit(len(ranks)).collect()]
 
 
 def quantile(df: DataFrame, col: str, q: float, accuracy: int = 100_000) -> float | None:

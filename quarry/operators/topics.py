@@ -24,8 +24,8 @@ from ..sources.writers import materialize
 from .aggregates import consecutive_ids, top_k_per_group
 from .joins import dot
 
-# Largest topic count for which topic x topic products are formed.
-MAX_TOPICS = 5_000
+# Bytes of the centroids that one scoring pass holds.
+CENTROID_BLOCK_BYTES = 64 << 20
 
 
 def topic_stopwords(extra: Sequence[str] = L.DOMAIN_STOPWORDS) -> list[str]:
@@ -114,12 +114,10 @@ def class_tfidf(tf: DataFrame, topic: str = "topic", vocab: DataFrame | None = N
     """
     if vocab is not None:
         tf = tf.join(vocab.select("term"), "term", "left_semi")
-    # class totals: one row per topic (count checked) -> broadcast, so a topic
-    # holding most of the vocabulary is not funnelled into one window task
+    # class totals: one row per topic, joined back rather than windowed, so a
+    # topic that holds most of the vocabulary can be split over tasks
     totals = tf.groupBy(topic).agg(F.sum("tf").alias("class_total"))
-    if totals.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    tf = tf.join(F.broadcast(totals), topic)
+    tf = tf.join(totals, topic)
     tf = tf.withColumn("term_total", F.sum("tf").over(Window.partitionBy("term")))  # <= one row per topic
     avg_words = totals.select(F.floor(F.avg("class_total"))).scalar()
     idf = F.log(F.lit(1.0) + avg_words / F.col("term_total"))
@@ -142,7 +140,8 @@ def representative_texts(occ: DataFrame, weights: DataFrame, k: int = 3, topic:
         F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("dn"))
     wn = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("wn"))
     sim = per_doc.join(wn, topic).withColumn("similarity", F.col("dot") / (F.col("dn") * F.col("wn")))
-    top = top_k_per_group(sim, topic, k, [F.col("similarity").desc(), F.col(id_col)], rank_col="rank")
+    # equal up to the order of summation counts as a tie
+    top = top_k_per_group(sim, topic, k, [F.round("similarity", 9).desc(), F.col(id_col)], rank_col="rank")
     return top.select(topic, "rank", id_col, "similarity")
 
 
@@ -162,51 +161,22 @@ def topic_info(docs: DataFrame, keywords: DataFrame, topic: str = "topic", name_
     return sizes.join(keywords, topic, "left").select(topic, "count", name.alias("name"), "keywords")
 
 
-def _gramian_rows(topics: list):
-    index = {t: i for i, t in enumerate(topics)}
-    k = len(topics)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((k, k))
-        for pdf in batches:
-            for entries in pdf["entries"]:
-                idx = np.fromiter((index[e["t"]] for e in entries), dtype=np.int64, count=len(entries))
-                w = np.fromiter((e["w"] for e in entries), dtype=np.float64, count=len(entries))
-                g[np.ix_(idx, idx)] += np.outer(w, w)
-        i, j = np.nonzero(g)
-        yield pd.DataFrame({"i": i.astype("int64"), "j": j.astype("int64"), "g": g[i, j]})
-
-    return run
-
-
 def topic_similarity(weights: DataFrame, topic: str = "topic") -> DataFrame:
-    """Cosine similarity of the topics' term-weight vectors.
+    """Cosine similarity of the topics' term-weight vectors, for all pairs
+    of topics that share a term.
 
-    A distributed Gram matrix: each term's (topic, weight) entries - at most
-    one per topic, and the topic count is checked against ``MAX_TOPICS`` - are
-    gathered into one row; every task adds the outer products of its terms
-    into a k x k partial sum, and one small aggregate adds the partials.  No
-    topic-pair rows are generated per term.
+    Weights are scaled to unit length per topic; the products of two topics'
+    weights for a term meet by an equi-join on the term and are summed with
+    partial sums.  Each pair is formed once and mirrored.
     """
-    topic_df = weights.select(topic).distinct()
-    if topic_df.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    topics = sorted(r[0] for r in topic_df.collect())
-    per_term = weights.groupBy("term").agg(
-        F.collect_list(F.struct(F.col(topic).alias("t"), F.col("weight").alias("w"))).alias("entries"))
-    g = per_term.select("entries").mapInPandas(_gramian_rows(topics), "i long, j long, g double")
-    g = g.groupBy("i", "j").agg(F.sum("g").alias("g"))
-    diag = g.filter(F.col("i") == F.col("j")).select(F.col("i").alias("d"), F.sqrt("g").alias("norm"))
-    out = (
-        g.join(diag.withColumnRenamed("d", "i").withColumnRenamed("norm", "ni"), "i")
-        .join(diag.withColumnRenamed("d", "j").withColumnRenamed("norm", "nj"), "j")
-    )
-    ids = F.array(*[F.lit(t) for t in topics])
-    return out.select(
-        F.element_at(ids, F.col("i").cast("int") + 1).alias("topic_a"),
-        F.element_at(ids, F.col("j").cast("int") + 1).alias("topic_b"),
-        (F.col("g") / (F.col("ni") * F.col("nj"))).alias("similarity"),
-    )
+    norms = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_n"))
+    unit = weights.join(norms, topic).select(F.col(topic).alias("topic_a"), "term", (F.col("weight") / F.col("_n")).alias("_a"))
+    other = unit.select(F.col("topic_a").alias("topic_b"), F.col("term").alias("_t"), F.col("_a").alias("_b"))
+    half = unit.join(other, (F.col("term") == F.col("_t")) & (F.col("topic_a") <= F.col("topic_b"))).groupBy(
+        "topic_a", "topic_b").agg(F.sum(F.col("_a") * F.col("_b")).alias("similarity"))
+    mirrored = half.filter("topic_a < topic_b").select(
+        F.col("topic_b").alias("topic_a"), F.col("topic_a").alias("topic_b"), "similarity")
+    return half.unionByName(mirrored)
 
 
 def centroids(df: DataFrame, vec: str = "embedding", topic: str = "topic", normalize: bool = True) -> DataFrame:
@@ -220,57 +190,51 @@ def centroids(df: DataFrame, vec: str = "embedding", topic: str = "topic", norma
     return c.select(topic, arr.alias("centroid"))
 
 
-# Largest centroid matrix (topics x dimensions x 8 bytes) shipped to executors.
-CENTROID_MAX_BYTES = 256 * 1024 * 1024
-
-
-def _centroid_matrix(cents: DataFrame, topic: str = "topic"):
-    """Topic ids (ascending) and the centroid matrix, size checked first."""
-    if cents.limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics")
-    rows = cents.select(topic, "centroid").orderBy(topic).collect()  # <= MAX_TOPICS rows
-    ids = np.array([r[0] for r in rows])
-    mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    if mat.nbytes > CENTROID_MAX_BYTES:
-        raise ValueError("centroid matrix too large to ship")
-    return ids, mat
-
-
 def assign_nearest(df: DataFrame, cents: DataFrame, vec: str = "embedding", out: str = "topic",
                    score: str = "topic_score", topic: str = "topic") -> DataFrame:
     """M3: topic of the nearest centroid by dot product (smallest id on ties).
 
-    The (bounded, checked) centroid matrix is a broadcast variable; each Arrow
-    batch of vectors is scored with one matrix product and an argmax per row -
-    no join, no pair rows, and no per-row copy of the centroid table.
+    Centroids come in blocks of at most ``CENTROID_BLOCK_BYTES``, ascending by
+    id; each pass scores every vector against one block with a matrix product
+    and keeps the better of that and the best so far.
     """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    ids, mat = _centroid_matrix(cents, topic)
-    bc = df.sparkSession.sparkContext.broadcast((ids, mat))
+    spark = df.sparkSession
+    shape = cents.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("d")).first()
+    rows_per_block = max(1, CENTROID_BLOCK_BYTES // (8 * max(1, shape["d"] or 1)))
     id_type = cents.schema[topic].dataType
-    schema = StructType([f for f in df.schema.fields if f.name not in (out, score)]
-                        + [StructField(out, id_type), StructField(score, DoubleType())])
-    names = [f.name for f in schema.fields[:-2]]
-
-    def run(batches):
-        t_ids, m = bc.value
-        for pdf in batches:
-            pdf = pdf[names].copy()
-            have = pdf[vec].notna().to_numpy()
-            best_id = np.full(len(pdf), None, dtype=object)
-            best_s = np.full(len(pdf), np.nan)
-            if have.any() and len(t_ids):
-                x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec].to_numpy()[have]])
-                s = x @ m.T
-                j = s.argmax(axis=1)  # first maximum = smallest topic id
-                best_id[have] = t_ids[j]
-                best_s[have] = s[np.arange(len(j)), j]
-            pdf[out] = best_id
-            pdf[score] = best_s
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    names = [f.name for f in df.schema.fields if f.name not in (out, score)]
+    schema = StructType([df.schema[c] for c in names] + [StructField(out, id_type), StructField(score, DoubleType())])
+
+    def scorer(bc):
+        def run(batches):
+            ids, m = bc.value
+            for pdf in batches:
+                pdf = pdf.copy()
+                have = pdf[vec].notna().to_numpy()
+                best_id, best = pdf[out].to_numpy(dtype=object), pdf[score].to_numpy(dtype=np.float64, na_value=np.nan)
+                if have.any() and len(ids):
+                    x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec].to_numpy()[have]])
+                    s = x @ m.T
+                    j = s.argmax(axis=1)  # first maximum = smallest topic id
+                    top = s[np.arange(len(j)), j]
+                    better = np.isnan(best[have]) | (top > best[have])
+                    at = np.flatnonzero(have)[better]
+                    best_id[at], best[at] = ids[j[better]], top[better]
+                pdf[out], pdf[score] = best_id, best
+                yield pdf
+
+        return run
+
+    res = df.select(*names, F.lit(None).cast(id_type).alias(out), F.lit(None).cast("double").alias(score))
+    ordered = cents.select(topic, "centroid").orderBy(topic)
+    for first in range(0, max(1, shape["n"]), rows_per_block):
+        block = ordered.offset(first).limit(rows_per_block).collect()
+        ids = np.array([r[0] for r in block])
+        mat = np.array([r[1] for r in block], dtype=np.float64).reshape(len(block), -1)
+        res = res.mapInPandas(scorer(spark.sparkContext.broadcast((ids, mat))), schema)
+    return res
 
 
 def reduce_outliers(df: DataFrame, cents: DataFrame, vec: str = "embedding", topic: str = "topic") -> DataFrame:

@@ -37,7 +37,7 @@ FROM documents
 """)
 def q_normalize_text(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
-    clean = docs.select(F.col("doc_id").alias("article_id"), T.normalize_text("text").alias("t"))
+    clean = T.with_steps(docs.withColumnRenamed("doc_id", "article_id"), "text", "t", T.NORMALIZE_STEPS)
     return clean.select("article_id", F.md5("t").alias("text_md5"), F.length("t").alias("clean_len"))
 
 
@@ -48,7 +48,7 @@ FROM documents
 """)
 def q_light_clean(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
-    clean = docs.select(F.col("doc_id").alias("article_id"), T.light_clean("text").alias("t"))
+    clean = T.with_steps(docs.withColumnRenamed("doc_id", "article_id"), "text", "t", T.LIGHT_CLEAN_STEPS)
     return clean.select("article_id", F.md5("t").alias("text_md5"), F.length("t").alias("clean_len"))
 
 
@@ -59,7 +59,7 @@ FROM documents WHERE {EN_LEN_SQL}
 def q_clean_chain(spark, sf_dir):
     """Stages 1+2 on the kept articles: normalise (NFKC incl.) then light clean."""
     arts = english_articles(spark, sf_dir)
-    return arts.select("article_id", F.md5(T.light_clean(T.normalize_text("text"))).alias("text_md5"))
+    return T.with_clean(arts, "text", "t").select("article_id", F.md5("t").alias("text_md5"))
 
 
 @register("dedup_first_text", """

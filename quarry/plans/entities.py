@@ -16,7 +16,7 @@ from . import oracle_sql as S
 from .cleaning import EN_LEN_SQL, english_articles
 from .registry import register, sql_list, sql_str
 
-_TITLE_SQL = S.normalize_text("substr(trim(split_part(text, chr(10), 1)), 1, 80)")
+_TITLE_SQL = S.normalize_text("trim(split_part(text, chr(10), 1))")
 _CLEAN_SQL = S.light_clean(S.normalize_text("text"))
 
 ARTICLES_SQL = f"""
@@ -47,11 +47,11 @@ _COMPANY_SQL = (
 def articles(spark, sf_dir):
     """Kept articles: id, industry (= source), ``title_clean``, ``text_clean``."""
     arts = english_articles(spark, sf_dir)
-    return arts.select(
+    return T.with_clean(arts, "text", "text_clean").select(
         "article_id",
         F.col("source").alias("industry_label"),
         T.normalize_text("title").alias("title_clean"),
-        T.light_clean(T.normalize_text("text")).alias("text_clean"),
+        "text_clean",
     )
 
 

@@ -8,6 +8,7 @@ from ..operators import sentiment as SN
 from ..sources.readers import table
 from ..sources.writers import scratch_path
 from .registry import register
+from .tagging import clean_articles
 
 CONFUSION_SQL = """
 WITH p AS (SELECT CAST(quality AS DOUBLE) AS y, CAST(toxic AS DOUBLE) AS p FROM labels),
@@ -49,12 +50,10 @@ def q_classifier_selection(spark, sf_dir):
 
 @register("sentiment_scores", None)
 def q_sentiment_scores(spark, sf_dir):
-    """Score every labelled document with the selected classifier
+    """Every kept article scored with the classifier that selection keeps
     (sentiment + probability of the predicted class)."""
-    ex = SN.labelled_examples(spark, sf_dir)
-    model, _ = SN.train_classifier(ex, regs=(0.01,))
+    model, _ = SN.train_classifier(SN.labelled_examples(spark, sf_dir))
     path = scratch_path(spark, "sentiment_model")
     SN.save_model(model, path)  # G7: the scoring job loads what training saved
-    loaded = SN.load_model(path)
-    return SN.score_sentiment(ex.filter(F.col("split") == "test"), loaded, text_col="text").select(
-        "doc_id", "label", "sentiment", "sentiment_score")
+    return SN.score_sentiment(clean_articles(spark, sf_dir), SN.load_model(path)).select(
+        "article_id", "sentiment", "sentiment_score")

@@ -11,11 +11,10 @@ from __future__ import annotations
 from typing import Mapping, Sequence
 
 from ..functions import lexicon as L
-from ..functions.tagging import minimal_phrases
 from ..functions.text import PHONE_RE, PY_SPACE, PY_WORD, _py_space_pattern
 from .registry import sql_str
 
-EMAIL_RE2 = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+EMAIL_RE2 = L.EMAIL_PATTERN
 BOILER_RE2 = "(?i)" + "|".join(_py_space_pattern(s) for s in L.BOILERPLATE_SNIPPETS)
 
 
@@ -42,7 +41,7 @@ def light_clean(expr: str) -> str:
 
 def label_hit(lowered: str, phrases: Sequence[str], mode: str = "substring") -> str:
     if mode == "substring":
-        return "(" + " OR ".join(f"contains({lowered}, {sql_str(p)})" for p in minimal_phrases(phrases)) + ")"
+        return "(" + " OR ".join(f"contains({lowered}, {sql_str(p)})" for p in sorted({p.lower() for p in phrases if p})) + ")"
     import re
 
     alt = "|".join(re.escape(p.lower()) for p in sorted(set(phrases)))

@@ -10,7 +10,7 @@ from ..operators import aggregates as A
 from ..operators.tagging import tag_articles, tag_counts
 from . import oracle_sql as S
 from .cleaning import EN_LEN_SQL, english_articles
-from .registry import register, sql_str
+from .registry import register, sql_list, sql_str
 
 # Fixture dictionary: phrases that actually occur in the test documents
 # (license lines, insults, invented words containing "llm"/"rpa").
@@ -28,23 +28,34 @@ def clean_articles(spark, sf_dir):
     """A1 -> B2 -> B3 -> C1 -> C5: the kept articles with ``text_clean``;
     the source plays the industry label."""
     arts = english_articles(spark, sf_dir)
-    return arts.select(
-        "article_id",
-        F.col("source").alias("industry_label"),
-        T.light_clean(T.normalize_text("text")).alias("text_clean"),
-    )
+    return T.with_clean(arts, "text", "text_clean").select(
+        "article_id", F.col("source").alias("industry_label"), "text_clean")
 
 
-def _counts_sql(dictionary, tag_col, mode="substring"):
+def all_phrases(dictionary) -> list[str]:
+    return [p for label in sorted(dictionary) for p in dictionary[label]]
+
+
+def articles_with_phrases(spark, sf_dir, dictionary):
+    """Fixture: the test documents hold none of the corpus dictionaries'
+    phrases, so each article gets one appended, chosen by its id."""
+    phrases = all_phrases(dictionary)
+    at = F.pmod(F.col("article_id"), F.lit(len(phrases))).cast("int")
+    phrase = F.get(F.array(*[F.lit(p) for p in phrases]), at)
+    return clean_articles(spark, sf_dir).withColumn("text_clean", F.concat("text_clean", F.lit(" "), phrase))
+
+
+def _counts_sql(dictionary, tag_col, mode="substring", articles=ARTICLES_SQL):
     return f"""
-WITH a AS ({ARTICLES_SQL}),
+WITH a AS ({articles}),
 t AS ({S.tag_union('a', 'industry_label', 'text_clean', dictionary, tag_col, mode)})
 SELECT industry_label, {tag_col}, count(*) AS count FROM t GROUP BY industry_label, {tag_col}
 """
 
 
-def _counts(spark, sf_dir, dictionary, tag_col, mode="substring", engine="auto"):
-    tagged = tag_articles(clean_articles(spark, sf_dir), "text_clean", {tag_col: dictionary}, mode=mode, engine=engine)
+def _counts(spark, sf_dir, dictionary, tag_col, mode="substring", engine="contains", articles=None):
+    articles = clean_articles(spark, sf_dir) if articles is None else articles
+    tagged = tag_articles(articles, "text_clean", {tag_col: dictionary}, mode=mode, engine=engine)
     counts = tag_counts(tagged, "industry_label", tag_col)
     return counts.orderBy(F.col("industry_label"), F.col("count").desc(), F.col(tag_col))
 
@@ -57,9 +68,9 @@ def q_tag_counts(spark, sf_dir):
 
 @register("tag_counts_automaton", _counts_sql(FIXTURE_TAGS, "tag"))
 def q_tag_counts_automaton(spark, sf_dir):
-    """Same result through the Aho-Corasick engine (forced; the small fixture
-    dictionary would pick the expression engine)."""
-    return _counts(spark, sf_dir, FIXTURE_TAGS, "tag", engine="automaton")
+    """Same result with one alternation per label instead of a chain of
+    ``contains``."""
+    return _counts(spark, sf_dir, FIXTURE_TAGS, "tag", engine="rlike")
 
 
 @register("tag_counts_word", _counts_sql(FIXTURE_TAGS, "tag", mode="word"))
@@ -67,16 +78,54 @@ def q_tag_counts_word(spark, sf_dir):
     return _counts(spark, sf_dir, FIXTURE_TAGS, "tag", mode="word")
 
 
-@register("impact_counts", _counts_sql(L.IMPACT_KEYWORDS, "impact_modes"), headline=True)
+def _phrase_articles_sql(dictionary):
+    phrases = all_phrases(dictionary)
+    return (f"SELECT source AS industry_label, {CLEAN_SQL} || ' ' || {sql_list(phrases)}[CAST(doc_id % {len(phrases)} AS INTEGER) + 1]"
+            f" AS text_clean FROM documents WHERE {EN_LEN_SQL}")
+
+
+IMPACT_SQL = _counts_sql(L.IMPACT_KEYWORDS, "impact_modes", articles=_phrase_articles_sql(L.IMPACT_KEYWORDS))
+TECHNOLOGY_SQL = _counts_sql(L.TECHNOLOGY_KEYWORDS, "technologies", articles=_phrase_articles_sql(L.TECHNOLOGY_KEYWORDS))
+
+
+@register("impact_counts", IMPACT_SQL, headline=True)
 def q_impact_counts(spark, sf_dir):
     """K2 with the impact dictionary."""
-    return _counts(spark, sf_dir, L.IMPACT_KEYWORDS, "impact_modes")
+    return _counts(spark, sf_dir, L.IMPACT_KEYWORDS, "impact_modes",
+                   articles=articles_with_phrases(spark, sf_dir, L.IMPACT_KEYWORDS))
 
 
-@register("technology_counts", _counts_sql(L.TECHNOLOGY_KEYWORDS, "technologies"))
+@register("technology_counts", TECHNOLOGY_SQL)
 def q_technology_counts(spark, sf_dir):
     """K3 with the technology dictionary."""
-    return _counts(spark, sf_dir, L.TECHNOLOGY_KEYWORDS, "technologies")
+    return _counts(spark, sf_dir, L.TECHNOLOGY_KEYWORDS, "technologies",
+                   articles=articles_with_phrases(spark, sf_dir, L.TECHNOLOGY_KEYWORDS))
+
+
+@register("technology_top3", f"""
+WITH c AS ({TECHNOLOGY_SQL})
+SELECT industry_label, technologies, count, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY industry_label ORDER BY count DESC, technologies) AS rank FROM c
+) WHERE rank <= 3
+""")
+def q_technology_top3(spark, sf_dir):
+    """K3 + I2: three most frequent technologies per industry."""
+    return A.top_k_per_group(q_technology_counts(spark, sf_dir), "industry_label", 3,
+                             [F.col("count").desc(), F.col("technologies")], rank_col="rank")
+
+
+TECHNOLOGIES = sorted(L.TECHNOLOGY_KEYWORDS)
+
+
+@register("technology_heatmap", f"""
+WITH c AS ({TECHNOLOGY_SQL})
+SELECT industry_label,
+  {", ".join(f'CAST(sum(CASE WHEN technologies = {sql_str(t)} THEN count ELSE 0 END) AS BIGINT) AS "{t}"' for t in TECHNOLOGIES)}
+FROM c GROUP BY industry_label
+""")
+def q_technology_heatmap(spark, sf_dir):
+    """K3 + J6: industry x technology table, missing -> 0."""
+    return A.pivot_counts(q_technology_counts(spark, sf_dir), "industry_label", "technologies", TECHNOLOGIES)
 
 
 @register("tag_top3", f"""
@@ -109,14 +158,12 @@ def q_tag_pivot(spark, sf_dir):
 
 
 @register("tag_totals", f"""
-WITH c AS ({_counts_sql(L.IMPACT_KEYWORDS, "impact_modes")})
+WITH c AS ({IMPACT_SQL})
 SELECT impact_modes, CAST(sum(count) AS BIGINT) AS total FROM c GROUP BY impact_modes
 """)
 def q_tag_totals(spark, sf_dir):
     """K4/H9: impact totals over all industries, largest first."""
-    counts = tag_counts(tag_articles(clean_articles(spark, sf_dir), "text_clean",
-                                     {"impact_modes": L.IMPACT_KEYWORDS}), "industry_label", "impact_modes")
-    return A.sum_by(counts, "impact_modes").orderBy(F.col("total").desc(), "impact_modes")
+    return A.sum_by(q_impact_counts(spark, sf_dir), "impact_modes").orderBy(F.col("total").desc(), "impact_modes")
 
 
 @register("top_label_per_industry", f"""

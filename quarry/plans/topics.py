@@ -20,7 +20,7 @@ from .registry import register, sql_list, sql_str
 STOP = TP.topic_stopwords()
 STOP_SQL = sql_list(STOP)
 
-_TITLE_SQL = S.normalize_text("substr(trim(split_part(text, chr(10), 1)), 1, 80)")
+_TITLE_SQL = S.normalize_text("trim(split_part(text, chr(10), 1))")
 _CLEAN_SQL = S.light_clean(S.normalize_text("text"))
 TOPIC_TEXT_SQL = f"{_TITLE_SQL} || '. ' || array_to_string({S.words_list(_CLEAN_SQL)}[1:{L.TOPIC_MAX_WORDS}], ' ')"
 
@@ -50,11 +50,10 @@ kw AS (SELECT topic, term, weight, rank FROM (
 def topic_docs(spark, sf_dir):
     """Kept, cleaned articles with ``topic`` (= source) and the C8 topic text."""
     arts = english_articles(spark, sf_dir)
-    clean = T.light_clean(T.normalize_text("text"))
-    return arts.select(
+    return T.with_clean(arts, "text", "text_clean").select(
         F.col("article_id").alias("doc_id"),
         F.col("source").alias("topic"),
-        T.topic_text(T.normalize_text("title"), clean).alias("topic_text"),
+        T.topic_text(T.normalize_text("title"), "text_clean").alias("topic_text"),
     )
 
 
@@ -282,7 +281,7 @@ dv AS (SELECT dt.doc_id, dt.topic, dt.term, dt.n * idf.idf AS v FROM dt JOIN idf
 pd AS (SELECT dv.doc_id, dv.topic, sum(dv.v * wt.weight) AS dot, sqrt(sum(dv.v * dv.v)) AS dn
        FROM dv JOIN wt ON dv.topic = wt.topic AND dv.term = wt.term GROUP BY ALL),
 sim AS (SELECT pd.topic, pd.doc_id, pd.dot / (pd.dn * wn.wn) AS similarity FROM pd JOIN wn ON pd.topic = wn.topic),
-rep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY similarity DESC, doc_id) AS rank
+rep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(similarity, 9) DESC, doc_id) AS rank
                       FROM sim) WHERE rank <= 3)
 """
 

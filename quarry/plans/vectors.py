@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..functions.text import embed_input, light_clean, normalize_text
+from ..functions.text import embed_input, normalize_text, with_clean
 from ..operators import relevance as R
 from ..sources.readers import table
 from ..sources.writers import materialize
@@ -80,8 +80,7 @@ def q_text_relevance(spark, sf_dir):
     """E1 -> E2 -> E3 on the corpus: hashed-term embeddings of title + first
     1000 characters, scored against the embedded relevance query, top 70 %
     kept.  Rows-only check (the hashing encoder has no SQL counterpart)."""
-    arts = english_articles(spark, sf_dir).select(
-        "article_id", "title", light_clean(normalize_text("text")).alias("text_clean"))
+    arts = with_clean(english_articles(spark, sf_dir), "text", "text_clean").select("article_id", "title", "text_clean")
     arts = arts.withColumn("_embed_in", embed_input(normalize_text("title"), "text_clean"))
     emb = R.hashed_embedding(arts, F.col("_embed_in"))
     query_df = spark.range(1).select(F.lit(RELEVANCE_QUERY).alias("_embed_in"))

@@ -76,8 +76,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings every query relies on: UTC dates, checkpoint folder."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Session settings every query relies on: UTC dates, small Arrow batches
+    (a batch of long texts is held by the JVM and by its Python worker),
+    checkpoint folder."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        if spark.conf.get(key) != SCALE_CONF[key]:
+            spark.conf.set(key, SCALE_CONF[key])
     ensure_checkpoint_dir(spark)
     return spark

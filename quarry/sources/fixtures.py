@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import PY_SPACE
 from .readers import table
 
 # Adapter settings (fixture conventions, not corpus rules).
-TITLE_CHARS = 80
 DATE_ORIGIN = "2022-01-01"
 DATE_SPAN_DAYS = 1502  # 2022-01-01 .. 2026-02-10, the corpus date range
 
@@ -25,14 +23,14 @@ def first_line(c) -> F.Column:
 
 
 def articles_from_documents(docs: DataFrame) -> DataFrame:
-    """documents -> articles: title = first line (80 chars), synthetic url/date."""
+    """documents -> articles: title = first line, synthetic url/date."""
     return docs.select(
         F.col("doc_id").alias("article_id"),
         F.concat(F.lit("doc/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         F.date_add(F.lit(DATE_ORIGIN).cast("date"), F.pmod(F.col("doc_id"), F.lit(DATE_SPAN_DAYS)).cast("int"))
         .cast("timestamp").alias("date"),
         F.col("lang").alias("language"),
-        F.substring(F.trim(first_line("text")), 1, TITLE_CHARS).alias("title"),
+        F.trim(first_line("text")).alias("title"),
         F.col("text"),
         F.col("source"),
     )
@@ -55,26 +53,6 @@ def sentiment_from_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def _strip_html(html) -> F.Column:
-    x = F.regexp_replace(html, r"(?is)<script\b.*?</script>", " ")
-    x = F.regexp_replace(x, r"(?is)<style\b.*?</style>", " ")
-    x = F.regexp_replace(x, r"(?s)<!--.*?-->", " ")
-    x = F.regexp_replace(x, r"(?s)<[^>]*>", " ")
-    return F.trim(F.regexp_replace(x, PY_SPACE + "+", " "))
-
-
-def articles_from_pages(pages: DataFrame) -> DataFrame:
-    """pages -> articles: <title>, <html lang>, tag-stripped text, url."""
-    html = F.col("html")
-    return pages.select(
-        F.col("page_id").alias("article_id"),
-        F.col("url"),
-        F.regexp_extract(html, r'<html[^>]*\blang="([^"]*)"', 1).alias("language"),
-        F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1).alias("title"),
-        _strip_html(html).alias("text"),
-    )
-
-
 def url_key(c) -> F.Column:
     """URL without scheme, ``www.``/``m.`` host prefix, query and fragment."""
     u = F.col(c) if isinstance(c, str) else c

@@ -67,7 +67,7 @@ def read_articles(
     if keep_file_order:
         raw = with_file_order(raw)
     cols = [F.col(src).alias(dst) for dst, src in colmap.items() if dst != "date"]
-    cols.append(parse_date(F.col(colmap["date"])).alias("date"))
+    cols.append(parse_date(F.col(colmap["date"]), raw.schema[colmap["date"]].dataType.typeName()).alias("date"))
     if keep_file_order:
         cols.append(F.col("_file_order"))
     return raw.select(*cols)

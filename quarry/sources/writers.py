@@ -39,10 +39,6 @@ def write_report_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_report_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
-
-
 def write_report_json(df: DataFrame, path: str) -> str:
     """Report object(s) as JSON (one object per line)."""
     df.coalesce(1).write.mode("overwrite").json(path)

@@ -38,8 +38,7 @@ def run_tag_counts_stream(spark: SparkSession, source_dir: str, file_glob: str,
     """Run the stream over every file available now, then return the result table."""
     schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
     stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", 1).parquet(source_dir)
+        spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
     )
     counts = tagged_counts(stream, dictionary, tag_col)
 

@@ -69,20 +69,17 @@ def test_python_udfs_unpickle_without_the_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    from quarry.functions.tagging import automaton_tagger
     from quarry.functions.text import nfkc
-    from quarry.functions import lexicon as L
 
-    blobs = [cloudpickle.dumps(automaton_tagger(L.IMPACT_KEYWORDS).func), cloudpickle.dumps(nfkc.func)]
+    blobs = [cloudpickle.dumps(nfkc.func)]
     for i, b in enumerate(blobs):
         (tmp_path / f"f{i}.pkl").write_bytes(b)
     code = (
         "import sys, pickle, pandas as pd\n"
         "sys.path = [p for p in sys.path if 'repo' not in p and p not in ('', '.')]\n"
         f"f0 = pickle.load(open({str(tmp_path / 'f0.pkl')!r}, 'rb'))\n"
-        f"f1 = pickle.load(open({str(tmp_path / 'f1.pkl')!r}, 'rb'))\n"
-        "print(list(f0(pd.Series(['we automate it']))[0]), f1(pd.Series(['ﬁ']))[0])\n"
+        "print(f0(pd.Series(['ﬁ']))[0])\n"
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
-    assert out.stdout.split() == ["['automation']", "fi"]
+    assert out.stdout.split() == ["fi"]

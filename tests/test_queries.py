@@ -24,9 +24,67 @@ def test_query_matches_oracle(spark, con, name):
     assert res["match"], res
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 0
+EN_LEN = "lower(lang) = 'en' AND length(coalesce(text, '')) BETWEEN 500 AND 50000"
+
+
+def rows(spark, name):
+    return QUERIES[name](spark, SF_SMALL).collect()
+
+
+def test_every_query_without_sql_has_a_test():
+    assert set(QUERIES) - set(ORACLE) == {
+        "sample_articles", "sample_jsonl", "classifier_selection", "sentiment_scores", "text_relevance", "reduced_dims",
+        "density_topics", "outliers_reduced"}
+
+
+def test_samples_are_subsets_and_repeat(spark, con):
+    got = rows(spark, "sample_articles")
+    ids = {r["article_id"] for r in got}
+    assert len(got) == len(ids) == 100 and ids == {r["article_id"] for r in rows(spark, "sample_articles")}
+    urls = dict(con.execute("SELECT doc_id, 'doc/' || source || '/' || doc_id FROM documents").fetchall())
+    assert all(r["url"] == urls[r["article_id"]] for r in got)
+    assert {r["url"] for r in rows(spark, "sample_jsonl")} <= set(urls.values())
+
+
+def test_selection_reports_every_candidate(spark):
+    got = rows(spark, "classifier_selection")
+    assert [r["reg"] for r in got] == [0.0, 0.01, 0.1]
+    assert all(0 <= r["accuracy"] <= 1 and 0 <= r["f1_weighted"] <= 1 for r in got)
+
+
+def test_every_kept_article_is_scored_once(spark, con):
+    got = rows(spark, "sentiment_scores")
+    want = [i for (i,) in con.execute(f"SELECT doc_id FROM documents WHERE {EN_LEN}").fetchall()]
+    assert sorted(r["article_id"] for r in got) == sorted(want)
+    assert {r["sentiment"] for r in got} <= {"negative", "neutral", "positive"}
+    assert all(0 < r["sentiment_score"] <= 1 for r in got)
+
+
+def test_relevance_keeps_the_top_share(spark, con):
+    got = rows(spark, "text_relevance")
+    (n,) = con.execute(f"SELECT count(*) FROM documents WHERE {EN_LEN}").fetchone()
+    assert 0.7 * n <= len(got) and len({r["article_id"] for r in got}) == len(got)
+
+
+def test_components_are_centred_and_ordered(spark, con):
+    import numpy as np
+
+    got = rows(spark, "reduced_dims")
+    (n,) = con.execute("SELECT count(*) FROM embeddings").fetchone()
+    assert len(got) == n
+    vectors = [v for r in got for v in r if isinstance(v, list)]
+    if vectors:
+        x = np.array(vectors)
+        spread = x.var(axis=0)
+        assert x.shape[1] == 5 and (np.diff(spread) <= 1e-9).all()
+
+
+def test_every_vector_has_a_topic(spark, con):
+    (n,) = con.execute("SELECT count(*) FROM embeddings").fetchone()
+    for name in ("density_topics", "outliers_reduced"):
+        got = rows(spark, name)
+        assert len({r["vec_id"] for r in got}) == len(got) == n
+        assert min(r["topic"] for r in got) >= -1
 
 
 def test_entry_contract(spark):

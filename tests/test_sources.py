@@ -63,3 +63,26 @@ def test_materialize_cuts_lineage(spark):
     m = W.materialize(df, "m")
     assert sorted(r.sq for r in m.collect()) == [i * i for i in range(10)]
     assert "Scan parquet" in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dates_of_common_forms(spark):
+    from quarry.functions.dates import parse_date
+
+    cases = [
+        ("2022-01-01 10:00:00.5", dt.datetime(2022, 1, 1, 10, 0, 0, 500000)),
+        ("2022-01-01T10:00:00.123456+02:00", dt.datetime(2022, 1, 1, 8, 0, 0, 123456)),
+        ("2022-01-01T10:00:00Z", dt.datetime(2022, 1, 1, 10)),
+        ("2022/01/01", dt.datetime(2022, 1, 1)),
+        ("Jan 1, 2022", dt.datetime(2022, 1, 1)),
+        ("January 15, 2022", dt.datetime(2022, 1, 15)),
+        ("15 Jan 2022", dt.datetime(2022, 1, 15)),
+        ("20220115", dt.datetime(2022, 1, 15)),
+        ("Sat, 15 Jan 2022 10:00:00 GMT", dt.datetime(2022, 1, 15, 10)),
+        ("not a date", None), ("", None), (None, None), ("2022-13-45", None),
+    ]
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "i int, s string")
+    got = [r[0] for r in df.orderBy("i").select(parse_date(F.col("s"))).collect()]
+    assert got == [w for _, w in cases]
+    stamp = dt.datetime(2022, 1, 1, 10, 0, 0, 123000)
+    df = spark.createDataFrame([(stamp,)], "t timestamp")
+    assert df.select(parse_date(F.col("t"), "timestamp")).first()[0] == stamp
