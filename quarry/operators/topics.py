@@ -154,6 +154,12 @@ def topic_keywords(weights: DataFrame, n: int = L.TOP_N_WORDS, topic: str = "top
     return agg.select(topic, words.alias("words"), F.array_join(words, ", ").alias("keywords"))
 
 
+def example_docs(rep: DataFrame, topic: str = "topic", id_col: str = "doc_id") -> DataFrame:
+    """M7: the representatives of each topic, best first, joined by `` | ``."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", F.col(id_col).cast("string").alias("id"))))
+    return rep.groupBy(topic).agg(F.array_join(F.transform(ordered, lambda r: r["id"]), " | ").alias("representative_docs"))
+
+
 def topic_info(docs: DataFrame, keywords: DataFrame, topic: str = "topic", name_words: int = 4) -> DataFrame:
     """M7: topic id, size, ``<id>_<w1>_..._<w4>`` name and keyword string."""
     sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("count"))
@@ -266,24 +272,23 @@ def _cell(vec: Column, dims: int, eps: float) -> Column:
     return F.array(*[F.floor(vec[i] / F.lit(eps)).cast("long") for i in range(dims)])
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: int = 3) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Min-label propagation over an undirected graph until no label changes.
 
     ``nodes``: column ``node``; ``edges``: ``src``, ``dst`` (both directions
     present).  Every round is one join + one aggregate; the label table is
-    written to the checkpoint folder every few rounds to keep the lineage short.  Returns
+    written to the checkpoint folder, so that no round is computed twice.  Returns
     ``node, component`` with the component labelled by its smallest node.
     """
     labels = nodes.select("node", F.col("node").alias("component"))
-    rounds = 0
     while True:
-        rounds += 1
         via = edges.join(labels.withColumnRenamed("node", "dst"), "dst").select(
             F.col("src").alias("node"), "component")
         new = labels.unionByName(via).groupBy("node").agg(F.min("component").alias("component"))
+        new = materialize(new, "components")
         changed = new.join(labels.withColumnRenamed("component", "_old"), "node").filter(
             F.col("component") < F.col("_old")).limit(1).count()
-        labels = materialize(new, "components") if rounds % checkpoint_every == 0 or not changed else new
+        labels = new
         if not changed:
             return labels
 

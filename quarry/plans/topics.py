@@ -47,6 +47,19 @@ kw AS (SELECT topic, term, weight, rank FROM (
 """
 
 
+REP_SQL = """
+dt AS (SELECT doc_id, topic, term, count(*) AS n FROM occ GROUP BY ALL),
+idf AS (SELECT DISTINCT term, ln(1 + (SELECT a FROM aw) / term_total) AS idf FROM tot),
+wn AS (SELECT topic, sqrt(sum(weight * weight)) AS wn FROM wt GROUP BY topic),
+dv AS (SELECT dt.doc_id, dt.topic, dt.term, dt.n * idf.idf AS v FROM dt JOIN idf ON dt.term = idf.term),
+pd AS (SELECT dv.doc_id, dv.topic, sum(dv.v * wt.weight) AS dot, sqrt(sum(dv.v * dv.v)) AS dn
+       FROM dv JOIN wt ON dv.topic = wt.topic AND dv.term = wt.term GROUP BY ALL),
+sim AS (SELECT pd.topic, pd.doc_id, pd.dot / (pd.dn * wn.wn) AS similarity FROM pd JOIN wn ON pd.topic = wn.topic),
+rep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(similarity, 9) DESC, doc_id) AS rank
+                      FROM sim) WHERE rank <= 3)
+"""
+
+
 def topic_docs(spark, sf_dir):
     """Kept, cleaned articles with ``topic`` (= source) and the C8 topic text."""
     arts = english_articles(spark, sf_dir)
@@ -131,18 +144,22 @@ def q_ctfidf_terms(spark, sf_dir):
 
 
 @register("topic_info", f"""
-WITH {OCC_SQL}, {WEIGHTS_SQL},
+WITH {OCC_SQL}, {WEIGHTS_SQL}, {REP_SQL},
+ex AS (SELECT topic, string_agg(CAST(doc_id AS VARCHAR), ' | ' ORDER BY rank) AS representative_docs FROM rep GROUP BY topic),
 words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
 sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic)
 SELECT s.topic, s.count,
        s.topic || '_' || array_to_string(w.words[1:4], '_') AS name,
-       array_to_string(w.words, ', ') AS keywords
-FROM sizes s LEFT JOIN words w ON s.topic = w.topic
+       array_to_string(w.words, ', ') AS keywords, ex.representative_docs
+FROM sizes s LEFT JOIN words w ON s.topic = w.topic LEFT JOIN ex ON s.topic = ex.topic
 """)
 def q_topic_info(spark, sf_dir):
-    """M7: per topic its size, ``<id>_<w1>_<w2>_<w3>_<w4>`` name and keywords."""
-    kw = TP.topic_keywords(weights(spark, sf_dir), L.TOP_N_WORDS)
-    return TP.topic_info(topic_docs(spark, sf_dir), kw)
+    """M7: per topic its size, ``<id>_<w1>_<w2>_<w3>_<w4>`` name, keywords and
+    the ids of its three representative documents."""
+    w = weights(spark, sf_dir)
+    info = TP.topic_info(topic_docs(spark, sf_dir), TP.topic_keywords(w, L.TOP_N_WORDS))
+    examples = TP.example_docs(TP.representative_texts(occurrences(spark, sf_dir), w, 3))
+    return info.join(examples, "topic", "left")
 
 
 @register("topic_similarity", f"""
@@ -273,19 +290,6 @@ def q_outliers_reduced(spark, sf_dir):
 
 # --- text topic representatives and dashboard extracts --------------------
 
-REP_SQL = """
-dt AS (SELECT doc_id, topic, term, count(*) AS n FROM occ GROUP BY ALL),
-idf AS (SELECT DISTINCT term, ln(1 + (SELECT a FROM aw) / term_total) AS idf FROM tot),
-wn AS (SELECT topic, sqrt(sum(weight * weight)) AS wn FROM wt GROUP BY topic),
-dv AS (SELECT dt.doc_id, dt.topic, dt.term, dt.n * idf.idf AS v FROM dt JOIN idf ON dt.term = idf.term),
-pd AS (SELECT dv.doc_id, dv.topic, sum(dv.v * wt.weight) AS dot, sqrt(sum(dv.v * dv.v)) AS dn
-       FROM dv JOIN wt ON dv.topic = wt.topic AND dv.term = wt.term GROUP BY ALL),
-sim AS (SELECT pd.topic, pd.doc_id, pd.dot / (pd.dn * wn.wn) AS similarity FROM pd JOIN wn ON pd.topic = wn.topic),
-rep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(similarity, 9) DESC, doc_id) AS rank
-                      FROM sim) WHERE rank <= 3)
-"""
-
-
 @register("representative_texts", f"""
 WITH {OCC_SQL}, {WEIGHTS_SQL}, {REP_SQL}
 SELECT topic, rank, doc_id, round(similarity, 6) AS similarity FROM rep
@@ -335,15 +339,20 @@ def q_dashboard_topics(spark, sf_dir):
 
 @register("headline_stats", f"""
 WITH d AS (SELECT source AS topic FROM documents WHERE {EN_LEN_SQL}),
+labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES}),
 s AS (SELECT topic, count(*) AS topic_size FROM d GROUP BY topic)
-SELECT CAST(sum(topic_size) AS BIGINT) AS total_articles, count(*) AS topics, count(DISTINCT topic) AS industries
-FROM s
+SELECT CAST(sum(topic_size) AS BIGINT) AS total_articles, count(*) AS topics,
+       count(DISTINCT l.industry_label) AS industries
+FROM s LEFT JOIN labels_dim l ON CAST(substr(s.topic, 4) AS INTEGER) = l.topic
 """)
 def q_headline_stats(spark, sf_dir):
     """Total curated articles, number of topics, industries covered."""
-    sizes = topic_docs(spark, sf_dir).groupBy("topic").agg(F.count(F.lit(1)).alias("topic_size"))
-    return sizes.agg(F.sum("topic_size").alias("total_articles"), F.count(F.lit(1)).alias("topics"),
-                     F.count_distinct("topic").alias("industries"))
+    sizes = english_articles(spark, sf_dir).groupBy(F.col("source").alias("topic")).agg(F.count(F.lit(1)).alias("topic_size"))
+    # source N plays topic N, whose industry is in the curated label table
+    labels = topic_label_table(spark).select(F.concat(F.lit("src"), F.col("topic").cast("string")).alias("topic"), "industry_label")
+    return sizes.join(labels, "topic", "left").agg(
+        F.sum("topic_size").alias("total_articles"), F.count(F.lit(1)).alias("topics"),
+        F.count_distinct("industry_label").alias("industries"))
 
 
 @register("topic_table", f"""

@@ -33,9 +33,10 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
-def write_report_csv(df: DataFrame, path: str) -> str:
-    """A5: small report as one CSV file with a header; quotes doubled."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_report_csv(df: DataFrame, path: str, single: bool = True) -> str:
+    """A5: report as CSV with a header; quotes doubled.  ``single``: one file,
+    for reports whose size does not follow the data; else one per task."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

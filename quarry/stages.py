@@ -80,9 +80,9 @@ def stage_relevance(spark: SparkSession, in_path: str, out_dir: str, make_encode
     df = spark.read.parquet(in_path).withColumn("_in", T.embed_input("title_clean", "text_clean"))
     emb = _embed(df, "_in", make_encoder)
     qv = _embed(spark.createDataFrame([(query,)], "_in string"), "_in", make_encoder).select("embedding").scalar()
-    scored = R.similarity(emb, "embedding", qv).drop("_in", "embedding")
-    kept, threshold = R.keep_top_share(scored, "semantic_score", share)
-    report = R.filter_report(W.materialize(scored, "scores_report"), "semantic_score", threshold, share,
+    scored = W.materialize(R.similarity(emb, "embedding", qv).drop("_in", "embedding"), "scores")
+    kept, threshold = R.keep_top_share(scored, "semantic_score", share, materialize=False)
+    report = R.filter_report(scored, "semantic_score", threshold, share,
                              max_chars_used=L.EMBED_MAX_CHARS)
     return {
         "relevant": W.write_stage(kept, _p(out_dir, "relevant")),
@@ -127,7 +127,7 @@ def stage_entities(spark: SparkSession, in_path: str, out_dir: str, make_extract
     ments = extract_entities(df, keep=keep) if make_extractor is None else extract_with(df, make_extractor, keep=keep)
     path = W.write_stage(ments.filter(F.col("entity_label") == "ORG"), _p(out_dir, "entities"))
     counts = company_counts(spark.read.parquet(path))
-    return {"entities": path, "company_counts": W.write_report_csv(counts, _p(out_dir, "company_counts"))}
+    return {"entities": path, "company_counts": W.write_report_csv(counts, _p(out_dir, "company_counts"), single=False)}
 
 
 def stage_tagging(spark: SparkSession, in_path: str, out_dir: str) -> dict:
@@ -174,7 +174,7 @@ def stage_sentiment(spark: SparkSession, articles_path: str, entities_path: str,
         "topic_sentiment": W.write_report_csv(topic.orderBy("topic_name", F.col("count").desc(), "sentiment"),
                                               _p(out_dir, "topic_sentiment")),
         "entity_sentiment": W.write_report_csv(entity.orderBy(F.col("count").desc(), "entity_text", "sentiment"),
-                                               _p(out_dir, "entity_sentiment")),
+                                               _p(out_dir, "entity_sentiment"), single=False),
         "sentiment_over_time": W.write_stage(month, _p(out_dir, "sentiment_over_time")),
         "dashboard_series": W.write_report_json(
             A.add_share(A.count_by(s.withColumn("date", D.month_label("date")), "date", "sentiment"), "date")
