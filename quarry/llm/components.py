@@ -60,20 +60,35 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(union_find(*(np.concatenate(x) for x in zip(*held, strict=True))))
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of a task -> every id with the least id of its component."""
+    parts = [(batch.column("a").to_numpy(), batch.column("b").to_numpy()) for batch in batches]
+    if parts:
+        found = union_find(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["id", "component"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``a, b`` (long) -> ``id, component``: the least id that can be reached,
     for every id that differs from it.
 
     Tasks first reduce their own links by union-find.  Then large-star and
-    small-star rounds hang every id under the least neighbour until nothing
-    changes; each round is written to the shared folder, so a lost executor
-    costs one round.
+    small-star rounds hang every id under the least neighbour, until nothing
+    changes or the links that are left fit in one union-find (FOREST_LINKS,
+    whatever the input).  Each round is written to the shared folder, so a lost
+    executor costs one round.
     """
     edges = materialize(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         .mapInArrow(_forest, "a long, b long"), "forest")
     state = None
     while True:
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now[0] <= FOREST_LINKS:
+            return materialize(edges.coalesce(1).mapInArrow(_whole, "id long, component long"), "components")
+        if now == state:
+            return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        state = now
         # large star: every larger neighbour goes to the least neighbour
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -83,7 +98,3 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
         edges = materialize(small.filter("a <> b").distinct(), "star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        state = now

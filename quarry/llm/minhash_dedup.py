@@ -96,9 +96,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``key, id, n, comp`` of the keys that hold more than one component."""
+    """``key, id, n, comp`` of the keys that hold more than one component.  Of
+    two members one is the leader: that pair has been confirmed or refused."""
     members = members.join(comps, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")
+                                     ).filter("lo < hi and m > 2").select("key")
     return members.join(keys, "key", "left_semi")
 
 

@@ -495,7 +495,9 @@ def test_shingles_match_words():
     assert [len(s) for s in sets] == [len(s) for s in word_sets(list(enumerate(sample))).values()]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("limit", [1 << 18, 16])
+def test_components(spark, monkeypatch, limit):
+    monkeypatch.setattr(components, "FOREST_LINKS", limit)  # 16: star rounds to the end
     rng = random.Random(9)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1300)]
     got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
