@@ -157,7 +157,8 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
     divides, the ``k`` other rows with the largest inner product found (all, if
     there are at most ``k``), nearest first, ties to the smaller id.
 
-    ``score`` is the inner product of the original vectors in doubles.  Rows
+    ``score`` is the inner product of the original vectors in doubles, to 13
+    decimal places.  Rows
     with a null id or vector, a zero vector, no component, or a null or
     non-finite one take no part.  Vectors shorter than the longest count as
     padded with zeros.  Rows that repeat an id count once.  Tables below SAMPLE
@@ -178,11 +179,12 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
                                              names=["vec_id", "vec"])
 
     def product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return q.astype(np.float64) @ x.T.astype(np.float64)
+        # equal up to the order of summation counts as a tie
+        return np.round(q.astype(np.float64) @ x.T.astype(np.float64), 13)
 
     packed = materialize(rows.mapInArrow(raw, "vec_id long, vec binary"), "ann_vectors")
-    picked = V.sample(packed, SAMPLE, dim, dtype)
-    model, parts, probes = fit(picked, n, k) if len(picked) else (None, 1, 1)
+    known = V.sample(packed, SAMPLE, dim, dtype)
+    model, parts, probes = fit(known[1].astype(np.float64), n, k) if len(known[0]) else (None, 1, 1)
     if n <= max(SAMPLE // 8, (k + 1) * parts):
         probes = parts
 
@@ -207,4 +209,4 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
             for block in number[cells == part]:
                 yield block, go
 
-    return V.search(blocks, k, route, product, dtype)
+    return V.search(blocks, k, route, product, dtype, known)

@@ -4,8 +4,8 @@ One extra component makes all vectors equally long (norm M), so that
 ``|q - x|^2 = |q|^2 + M^2 - 2 <q, x>`` and the largest inner product is the
 smallest distance.  Every vector is keyed by its nearest pivot and its distance
 to it; sorted by that key, a block of rows is an annulus around a pivot.  A
-query starts in its own annulus, which gives a score that the k-th best has to
-reach, and expands to exactly those annuli that the triangle inequality does
+query starts in its own annulus and in the sample, which give a score that the
+k-th best has to reach, and expands to exactly those annuli that the triangle inequality does
 not rule out: ``|q - x| >= | |q - p| - |x - p| |``.
 
 The pivots come from a bounded sample; they affect speed, never results.
@@ -89,8 +89,8 @@ def top_products(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id",
             return q.astype(np.float64) @ x.T.astype(np.float64)
         return (q.astype(np.int64) @ x.T.astype(np.int64)).astype(np.float64)
 
-    picked = V.sample(rows, SAMPLE, dim, dtype)
-    pivots = fit_pivots(lifted(picked), PIVOTS) if len(picked) else np.zeros((1, dim + 1))
+    known = V.sample(rows, SAMPLE, dim, dtype)
+    pivots = fit_pivots(lifted(known[1]), PIVOTS) if len(known[0]) else np.zeros((1, dim + 1))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,5 +121,5 @@ def top_products(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id",
             if len(go):
                 yield number[j], go
 
-    found = V.search(blocks, k, route, product, dtype)
+    found = V.search(blocks, k, route, product, dtype, known)
     return found.withColumn("score", F.col("score").cast("long"))
