@@ -155,7 +155,8 @@ def fit(x: np.ndarray, n_rows: int, k: int) -> tuple[Classifier, int, int]:
 def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id ``every``
     divides, the ``k`` other rows with the largest inner product found (all, if
-    there are at most ``k``), nearest first, ties to the smaller id.
+    there are at most ``k``), nearest first, ties to the smaller id.  Candidates
+    are the rows of the probed parts and the sample.
 
     ``score`` is the inner product of the original vectors in doubles, to 13
     decimal places.  Rows
@@ -185,7 +186,7 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
     packed = materialize(rows.mapInArrow(raw, "vec_id long, vec binary"), "ann_vectors")
     known = V.sample(packed, SAMPLE, dim, dtype)
     model, parts, probes = fit(known[1].astype(np.float64), n, k) if len(known[0]) else (None, 1, 1)
-    if n <= max(SAMPLE // 8, (k + 1) * parts):
+    if n <= max(SAMPLE // 8, (k + 1) * parts) or len(known[0]) <= k:
         probes = parts
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,4 +210,4 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
             for block in number[cells == part]:
                 yield block, go
 
-    return V.search(blocks, k, route, product, dtype, known)
+    return V.search(blocks, k, route, product, dtype, known, approximate=True)

@@ -1,6 +1,7 @@
 """Vector searches against brute force."""
 
 import numpy as np
+import pytest
 
 from conftest import SF_MID
 from quarry.llm import QUERIES, learned_partitions, pivot_index, vector_blocks
@@ -48,6 +49,40 @@ def test_routing_keeps_recall_on_clusters():
     assert np.mean([np.isin(home[n], o).mean() for n, o in zip(near, order, strict=True)]) >= 0.9
 
 
+def clustered(n, centres, seed):
+    rng = np.random.default_rng(seed)
+    return rng.standard_normal((centres, 16))[rng.integers(0, centres, n)] + 0.3 * rng.standard_normal((n, 16))
+
+
+def hub(n):
+    """A third are copies of one longer vector."""
+    x = clustered(n, 30, 6)
+    x[::3] = 3 * x[0]
+    return x
+
+
+@pytest.mark.parametrize("x", [hub(6000), clustered(1000, 20, 7), clustered(4000, 60, 8)], ids=["hub", "clusters", "more clusters"])
+def test_all_queries_have_k_rows(spark, x):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    ranks, hits = {}, 0
+    found = learned_partitions.nearest(df, 20, 20).collect()
+    for r in found:
+        ranks.setdefault(r["query_id"], []).append(r["rank"])
+    assert {q: sorted(r) for q, r in ranks.items()} == {q: list(range(1, 21)) for q in range(0, len(x), 20)}
+    for q in ranks:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        level = np.sort(scores)[-20]
+        hits += sum(scores[r["vec_id"]] >= level - 1e-9 for r in found if r["query_id"] == q)
+    assert hits / (20 * len(ranks)) >= 0.9
+
+
+def test_blocks_without_queries(spark):
+    x = clustered(700, 12, 9).tolist()
+    df = spark.createDataFrame([(20 * i + (i > 0), v) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert sorted((r["query_id"], r["rank"]) for r in learned_partitions.nearest(df, 20, 20).collect()) == [(0, k) for k in range(1, 21)]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1000, 16))
