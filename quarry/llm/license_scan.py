@@ -48,33 +48,61 @@ BASE_PHRASES = [
     ("cc by nc", "cc-by-nc"),
 ]
 
-# Licence names as word patterns; the keyword gates the forms below.
-# (label, keyword, name pattern, SPDX identifier as words)
+
+def _major(n: int) -> str:
+    """Version n or n.0 as words."""
+    return rf"(?:v |version )?(?:v{n}|{n})(?: 0)?"
+
+
+def _gnu(label: str, name: str, version: int, minor: str, spdx: str) -> list[tuple]:
+    """Abbreviation and version, one row for each way to join them."""
+    rows = [(label, name, rf"(?:gnu )?{name} (?:v |version )?(?:v{version}|{version}){minor}", spdx),
+            (label, f"{name}{version}", rf"(?:gnu )?{name}{version}{minor}", None),
+            (label, f"{name}v{version}", rf"(?:gnu )?{name}v{version}{minor}", None)]
+    return rows + [(label, f"{name}{v}", rf"(?:gnu )?{name}{v} (?:v{version}|{version}){minor}", None) for v in ("v", "version")]
+
+
+_CC = r"(?: [1234] [05](?: international| unported| generic)?)?"
+
+# Licence names as word patterns; the keywords, words that every string of the
+# pattern holds, gate the forms below.
+# (label, keywords, name pattern, SPDX identifier as words or None)
 NAMES = [
     ("mit", "mit", r"mit(?: x11| expat)?", "mit"),
-    ("apache-2", "apache", r"apache(?: software)?(?: license)? (?:version )?2(?: 0)?", "apache 2 0"),
-    ("apache-1.1", "apache", r"apache(?: software)?(?: license)? (?:version )?1 1", "apache 1 1"),
+    ("apache-2", "apache", rf"apache(?: software)?(?: license)? {_major(2)}", "apache 2 0"),
+    ("apache-1.1", "apache", r"apache(?: software)?(?: license)? (?:v |version )?(?:v1|1) 1", "apache 1 1"),
     ("apache", "apache", r"apache(?: software)?", "apache"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl ?(?:v |version )?(?:v2|2)(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl ?(?:v |version )?(?:v3|3)(?: 0)?", "gpl 3 0(?: only| or later)?"),
-    ("gpl-2", "gplv2", r"(?:gnu )?gplv2", "gplv2"),
-    ("gpl-3", "gplv3", r"(?:gnu )?gplv3", "gplv3"),
+    *_gnu("gpl-2", "gpl", 2, "(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    *_gnu("gpl-3", "gpl", 3, "(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("gpl-2", "gplv2", None, "gplv2"),
+    ("gpl-3", "gplv3", None, "gplv3"),
+    ("gpl", "gpl", r"(?:gnu )?gpl", None),
     ("gpl", "general", r"(?:gnu )?general public", "gpl"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?(?:v |version )?(?:v2|2) 1", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl ?(?:v |version )?(?:v3|3)(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    *_gnu("lgpl-2.1", "lgpl", 2, " 1", "lgpl 2 1(?: only| or later)?"),
+    *_gnu("lgpl-3", "lgpl", 3, "(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl", None),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public", "lgpl"),
-    ("agpl-3", "agpl", r"(?:gnu )?agpl ?(?:v |version )?(?:v3|3)(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    *_gnu("agpl-3", "agpl", 3, "(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("agpl", "agpl", r"(?:gnu )?agpl", None),
     ("agpl", "affero", r"(?:gnu )?affero general public", "agpl"),
     ("bsd-2", "bsd", r"(?:simplified |freebsd )?(?:bsd 2 clause|2 clause bsd)", "bsd 2 clause"),
     ("bsd-3", "bsd", r"(?:new |modified |revised )?(?:bsd 3 clause|3 clause bsd)", "bsd 3 clause"),
     ("bsd-4", "bsd", r"(?:original )?(?:bsd 4 clause|4 clause bsd)", "bsd 4 clause"),
-    ("bsd-0", "bsd", r"(?:zero clause bsd|0bsd|bsd zero clause)", "0bsd"),
+    ("bsd-0", "bsd", r"(?:zero clause bsd|bsd zero clause)", "0bsd"),
+    ("bsd-0", "0bsd", r"0bsd", None),
     ("bsd", "bsd", r"bsd(?: style)?", "bsd"),
-    ("mpl-1.1", "mozilla", r"mozilla public(?: license)? (?:version )?1 1", "mpl 1 1"),
-    ("mpl-2", "mozilla", r"mozilla public(?: license)? (?:version )?2(?: 0)?", "mpl 2 0"),
+    ("mpl-1.1", "mozilla", r"mozilla public(?: license)? (?:v |version )?(?:v1|1) 1", "mpl 1 1"),
+    ("mpl-2", "mozilla", rf"mozilla public(?: license)? {_major(2)}", "mpl 2 0"),
+    ("mpl", "mozilla", r"mozilla public", None),
+    ("mpl-1.1", "mpl", r"mpl (?:v |version )?(?:v1|1) 1", None),
+    ("mpl-2", "mpl", rf"mpl {_major(2)}", None),
     ("mpl", "mpl", r"mpl(?: 2 0| 1 1)?", "mpl"),
-    ("epl-1", "eclipse", r"eclipse public(?: license)? (?:v |version )?(?:v1|1)(?: 0)?", "epl 1 0"),
-    ("epl-2", "eclipse", r"eclipse public(?: license)? (?:v |version )?(?:v2|2)(?: 0)?", "epl 2 0"),
+    ("epl-1", "eclipse", rf"eclipse public(?: license)? {_major(1)}", "epl 1 0"),
+    ("epl-2", "eclipse", rf"eclipse public(?: license)? {_major(2)}", "epl 2 0"),
+    ("epl", "eclipse", r"eclipse public", None),
+    ("epl-1", "epl", rf"epl {_major(1)}", None),
+    ("epl-2", "epl", rf"epl {_major(2)}", None),
+    ("epl", "epl", r"epl", None),
     ("edl", "eclipse", r"eclipse distribution", "edl 1 0"),
     ("cddl", "cddl", r"cddl(?: 1 [01])?", "cddl 1 [01]"),
     ("cddl", "distribution", r"common development and distribution", "cddl"),
@@ -105,16 +133,18 @@ NAMES = [
     ("upl", "universal", r"universal permissive", "upl 1 0"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation", "gfdl 1 [123]"),
     ("cc0", "cc0", r"cc0(?: 1 0)?", "cc0 1 0"),
-    ("cc-by", "cc", r"cc by(?: [1234] 0)?", "cc by [1234] 0"),
-    ("cc-by-sa", "cc", r"cc by sa(?: [1234] 0)?", "cc by sa [1234] 0"),
-    ("cc-by-nd", "cc", r"cc by nd(?: [1234] 0)?", "cc by nd [1234] 0"),
-    ("cc-by-nc", "cc", r"cc by nc(?: [1234] 0)?", "cc by nc [1234] 0"),
-    ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1234] 0)?", "cc by nc sa [1234] 0"),
-    ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1234] 0)?", "cc by nc nd [1234] 0"),
-    ("cc-by", "attribution", r"creative commons attribution(?: [1234] 0)?", "cc by"),
-    ("cc-by-sa", "sharealike", r"creative commons attribution share ?alike(?: [1234] 0)?", "cc by sa"),
-    ("cc-by-nc", "noncommercial", r"creative commons attribution non ?commercial(?: [1234] 0)?", "cc by nc"),
-    ("cc-by-nd", "noderivatives", r"creative commons attribution no ?deriv(?:ative)?s(?: [1234] 0)?", "cc by nd"),
+    ("cc-by", "cc", rf"cc by{_CC}", "cc by [1234] [05]"),
+    ("cc-by-sa", "cc", rf"cc by sa{_CC}", "cc by sa [1234] [05]"),
+    ("cc-by-nd", "cc", rf"cc by nd{_CC}", "cc by nd [1234] [05]"),
+    ("cc-by-nc", "cc", rf"cc by nc{_CC}", "cc by nc [1234] [05]"),
+    ("cc-by-nc-sa", "cc", rf"cc by nc sa{_CC}", "cc by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "cc", rf"cc by nc nd{_CC}", "cc by nc nd [1234] [05]"),
+    ("cc-by", "creative commons attribution", rf"creative commons attribution{_CC}", "cc by"),
+    ("cc-by-sa", "creative commons attribution", rf"creative commons attribution share ?alike{_CC}", "cc by sa"),
+    ("cc-by-nc", "creative commons attribution", rf"creative commons attribution non ?commercial{_CC}", "cc by nc"),
+    ("cc-by-nd", "creative commons attribution", rf"creative commons attribution no ?deriv(?:ative)?s{_CC}", "cc by nd"),
+    ("cc-by-nc-sa", "creative commons attribution", rf"creative commons attribution non ?commercial share ?alike{_CC}", "cc by nc sa"),
+    ("cc-by-nc-nd", "creative commons attribution", rf"creative commons attribution non ?commercial no ?deriv(?:ative)?s{_CC}", "cc by nc nd"),
 ]
 
 # Forms in which a name is stated: (form, priority, extra keywords, pattern).
@@ -128,7 +158,24 @@ FORMS = [
     ("named", 60, (), "{n} licen[cs]e"),
 ]
 
-# Sentences of licence texts: (label, keywords, pattern).
+# Names that hold the word licence before the version: (label, keywords, pattern).
+# They stand in the forms "under" and "named" as they are.
+VERSIONED = [(label, keys, rf"{name} licen[cs]e {version}") for label, keys, name, version in [
+    ("apache-2", "apache", "apache(?: software)?", _major(2)),
+    ("apache-1.1", "apache", "apache(?: software)?", "(?:v |version )?(?:v1|1) 1"),
+    ("gpl-2", "general public", "(?:gnu )?general public", _major(2)),
+    ("gpl-3", "general public", "(?:gnu )?general public", _major(3)),
+    ("lgpl-2.1", "lesser general public", "(?:gnu )?lesser general public", "(?:v |version )?(?:v2|2) 1"),
+    ("lgpl-3", "lesser general public", "(?:gnu )?lesser general public", _major(3)),
+    ("agpl-3", "affero general public", "(?:gnu )?affero general public", _major(3)),
+    ("mpl-1.1", "mozilla public", "mozilla public", "(?:v |version )?(?:v1|1) 1"),
+    ("mpl-2", "mozilla public", "mozilla public", _major(2)),
+    ("epl-1", "eclipse public", "eclipse public", _major(1)),
+    ("epl-2", "eclipse public", "eclipse public", _major(2)),
+]]
+
+# Sentences of licence texts: (label, keywords, pattern).  "apache" tells the
+# first of apache-2 from other licences that hold it.
 TEXTS = [
     ("mit", ("granted", "charge"), r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", ("sublicense",), r"use copy modify merge publish distribute sublicense and or sell copies"),
@@ -146,22 +193,32 @@ TEXTS = [
     ("public-domain", ("domain",), r"(?:in|into|to) the public domain"),
     ("wtfpl", ("fuck",), r"do what the fuck you want to public license"),
     ("proprietary", ("reserved",), r"all rights reserved"),
-    ("cc-by", ("creativecommons",), r"creativecommons org licenses by [1234] 0"),
-    ("cc-by-sa", ("creativecommons",), r"creativecommons org licenses by sa [1234] 0"),
-    ("cc-by-nc", ("creativecommons",), r"creativecommons org licenses by nc [1234] 0"),
-    ("cc-by-nc-sa", ("creativecommons",), r"creativecommons org licenses by nc sa [1234] 0"),
-    ("cc-by-nc-nd", ("creativecommons",), r"creativecommons org licenses by nc nd [1234] 0"),
+    ("cc-by", ("creativecommons",), r"creativecommons org licenses by [1234] [05]"),
+    ("cc-by-sa", ("creativecommons",), r"creativecommons org licenses by sa [1234] [05]"),
+    ("cc-by-nd", ("creativecommons",), r"creativecommons org licenses by nd [1234] [05]"),
+    ("cc-by-nc", ("creativecommons",), r"creativecommons org licenses by nc [1234] [05]"),
+    ("cc-by-nc-sa", ("creativecommons",), r"creativecommons org licenses by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", ("creativecommons",), r"creativecommons org licenses by nc nd [1234] [05]"),
     ("cc0", ("creativecommons",), r"creativecommons org publicdomain zero 1 0"),
 ]
 
 
 def default_rules() -> list[Rule]:
-    """The base phrases, then every name in every form, then the sentences."""
+    """The base phrases, then every name in every form, then the versioned
+    names, then the sentences."""
     out = [Rule(f"base:{p}", label, 70, frozenset(p.split()), p, True) for p, label in BASE_PHRASES]
     for label, key, name, spdx in NAMES:
         for form, priority, extra, pattern in FORMS:
-            keys = frozenset(extra) if form == "spdx" else frozenset((key, *extra))
+            if (spdx if form == "spdx" else name) is None:
+                continue
+            keys = frozenset(extra) if form == "spdx" else frozenset((*key.split(), *extra))
             out.append(Rule(f"{form}:{label}:{key}", label, priority, keys, pattern.format(n=f"(?:{name})", s=spdx)))
+    for label, keys, name in VERSIONED:
+        for form, priority, extra, before in (("under", 80, ("under",), "under (?:the )?(?:terms of (?:the )?)?"), ("named", 60, (), "")):
+            for verb in ("", "licensed ", "released ", "distributed ") if extra else ("",):
+                prio = {"licensed ": 90, "released ": 85, "distributed ": 85}.get(verb, priority)
+                words = frozenset((*keys.split(), *extra, *verb.split()))
+                out.append(Rule(f"{verb.strip() or form}-version:{label}", label, prio, words, f"{verb}{before}{name}"))
     out += [Rule(f"text:{label}:{i}", label, 95, frozenset(keys), p) for i, (label, keys, p) in enumerate(TEXTS)]
     return out
 

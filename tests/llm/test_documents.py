@@ -403,6 +403,67 @@ def test_rules_and_suppression():
     assert n == 7 and ("released", 1, 5, True) in spans and ("named", 4, 5, False) in spans and ("base", 2, 5, False) in spans
 
 
+def spelled(parsed):
+    """All strings of a pattern's tree; a repeat stands its least and most times, any other character class is "x"."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            some = [chr(arg)]
+        elif op == "IN":
+            some = ["x"] if str(arg[0][0]) == "NEGATE" else [chr(v) for _, v in arg]
+        elif op == "NOT_LITERAL":
+            some = ["x"]
+        elif op == "BRANCH":
+            some = [x for branch in arg[1] for x in spelled(branch)]
+        elif op == "SUBPATTERN":
+            some = spelled(arg[3])
+        else:
+            assert op == "MAX_REPEAT", op
+            low, high, inner = arg[0], min(int(arg[1]), max(1, int(arg[0])) + 1) if int(arg[1]) > 1 else int(arg[1]), spelled(arg[2])
+            some = [x * low for x in inner[:1]] + [x * high for x in inner] if high > low else [x * low for x in inner]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_rules_pass_their_own_keywords():
+    import re._parser
+
+    rules = license_scan.default_rules()
+    scanner = license_scan.Scanner(rules)
+    for i, r in enumerate(rules):
+        words = spelled(re._parser.parse(r.pattern))
+        if r.pattern.startswith("you may not use this file"):  # gated by the licence's name, see TEXTS
+            words = [w + " apache" for w in words]
+        for text in words:
+            assert r.keywords <= set(text.split()), (r.name, text)
+        for text in words[::max(1, len(words) // 8)]:
+            assert i in {d[0] for d in scanner.scan(text.encode())[1]}, (r.name, text)
+
+
+@pytest.mark.parametrize("text, label", [
+    ("Licensed under Creative Commons Attribution Share Alike 3.0", "cc-by-sa"),
+    ("Licensed under Creative Commons Attribution-NonCommercial 4.0", "cc-by-nc"),
+    ("Licensed under Creative Commons Attribution Non Commercial 4.0", "cc-by-nc"),
+    ("Licensed under Creative Commons Attribution NoDerivs 3.0", "cc-by-nd"),
+    ("the Creative Commons Attribution Non-Commercial Share Alike 2.5 Generic License", "cc-by-nc-sa"),
+    ("the Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("0BSD license", "bsd-0"), ("GPL2 license", "gpl-2"), ("LGPLv3 license", "lgpl-3"), ("AGPLv3 license", "agpl-3"),
+    ("licensed under LGPLv2.1", "lgpl-2.1"), ("GPL license", "gpl"),
+    ("subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("under the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("the Mozilla Public License", "mpl"), ("licensed under the Eclipse Public License", "epl"),
+    ("released under the Eclipse Public License v2.0", "epl-2"),
+    ("licensed under the GNU General Public License version 3", "gpl-3"),
+    ("distributed under the GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
+    ("Apache License 2.0", "apache-2"),
+])
+def test_licence_names(text, label):
+    rules = license_scan.default_rules()
+    found = license_scan.Scanner(rules).scan(text.encode())[1]
+    assert {rules[i].label for i, _, _, keep in found if keep} == {label}
+
+
 def test_licences_of_odd_rows(spark, odd_docs, no_docs):
     rows = {r["doc_id"]: r for r in license_scan.scan_licenses(odd_docs).collect()}
     assert rows[3]["n_words"] == rows[4]["n_words"] == 0 and rows[3]["detections"] == []
