@@ -3,8 +3,9 @@
 For each language a suffix automaton is built over a bounded sample of its
 labelled text.  A text is parsed against it: the longest match from the
 current place is one phrase, then the parse starts again behind it.  The fewer
-phrases a language needs per character (normalised by the logarithm of its
-sample's length), the better it explains the text; the fewest win.
+phrases a language needs per character, the better it explains the text; the
+fewest win.  A phrase counts as log2 of a full sample's length in bits, for all
+languages alike: one with little text gains nothing by cheap phrases.
 
 Parsing is vectorised: texts are cut in segments of SEGMENT letters (a phrase
 ends at a cut, for all languages alike) and all segments of a chunk advance
@@ -19,16 +20,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from .arrow import chunks
 
 SEGMENT = 256
-# Bounds on the labelled sample of each language: documents, characters read of
-# each, and characters kept in all.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 64, 2000, 20_000
+# Bounds on the labelled sample of each language: characters read of each
+# document, and characters kept in all.
+SAMPLE_DOC_CHARS, SAMPLE_CHARS = 2000, 20_000
 UNKNOWN = "und"
 
 
@@ -107,7 +108,7 @@ class Parser:
         self.other, self.pad = len(alphabet) + 1, len(alphabet) + 2
         self.width = width = len(alphabet) + 3
         self.alphabet = np.array([ord(c) for c in alphabet], np.uint32)
-        self.weight = np.array([math.log2(max(2, len(samples[k]))) for k in self.languages])
+        self.weight = np.full(len(self.languages), math.log2(SAMPLE_CHARS))
         parts, self.roots, base = [], [], 0
         for lang in self.languages:
             step = suffix_automaton([code[c] for c in samples[lang]])
@@ -177,18 +178,45 @@ def bucket(id_col: Column) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5))
 
 
+def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ``lang, h, text``: each language's distinct texts, the least
+    hashes first, until they fill SAMPLE_CHARS."""
+    found: dict[str, dict[str, str]] = {}
+    last: dict[str, str] = {}  # the hash that fills a language's sample
+    for batch in batches:
+        for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text")), strict=True):
+            own = found.setdefault(lang, {})
+            if h in own or h > last.get(lang, h):
+                continue
+            text = squeeze(text).strip()
+            if text:
+                own[h] = text
+        for lang, own in found.items():
+            size = 0
+            for h in sorted(own):
+                if size >= SAMPLE_CHARS:
+                    del own[h]
+                    continue
+                size += len(own[h]) + 1
+                if size >= SAMPLE_CHARS:
+                    last[lang] = h
+    rows = [(lang, h, text) for lang, own in found.items() for h, text in own.items()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["lang", "h", "text"])
+
+
 def language_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
-    """Sample of each label from the rows that may be learned from: the first
-    SAMPLE_DOCS distinct texts by hash, SAMPLE_DOC_CHARS characters each,
-    SAMPLE_CHARS in all."""
+    """Sample of each label from the rows that may be learned from: distinct
+    texts in the order of their hash, SAMPLE_DOC_CHARS characters each, until
+    they fill SAMPLE_CHARS."""
     text = F.col(f"`{text_col}`")
     rows = docs.filter((bucket(F.col(f"`{id_col}`")) != 0) & F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")).select(
-        F.col(f"`{lang_col}`").alias("lang"), F.md5(text.cast("binary")).alias("h"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.md5(text.cast("binary")).alias("h"),
         F.substring(text, 1, SAMPLE_DOC_CHARS).alias("text"))
-    first = Window.partitionBy("lang").orderBy("h")
-    best = rows.withColumn("r", F.dense_rank().over(first)).filter(F.col("r") <= SAMPLE_DOCS).dropDuplicates(["lang", "h"])
+    kind = "lang string, h string, text string"
+    # What is first of all is first in its task: each sends on a sample's length.
+    best = rows.mapInArrow(_first_texts, kind).repartition("lang").mapInArrow(_first_texts, kind)
     found: dict[str, list] = {}
-    for r in best.select("lang", "h", "text").collect():  # SAMPLE_DOCS rows a language
+    for r in best.collect():  # SAMPLE_CHARS a language
         found.setdefault(r["lang"], []).append((r["h"], r["text"]))
     return {lang: squeeze(" ".join(t for _, t in sorted(rows)))[:SAMPLE_CHARS] for lang, rows in found.items()}
 
@@ -212,7 +240,7 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     """One row per row of ``docs``: ``doc_id, lang_pred, score, bits, n_letters``.
 
     ``bits`` is the winner's rate: bits per character for coding the text as
-    phrases of its sample.  It nears log2 of the sample's length (14.3) for a
+    phrases of its sample.  It nears log2 of SAMPLE_CHARS (14.3) for a
     text that the language does not explain at all; 0 for ``und``.
 
     ``score`` is the winner's lead: 1 - its rate / the runner-up's rate, 0 at a

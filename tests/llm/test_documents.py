@@ -1,7 +1,9 @@
 """Operators on documents against brute force, libraries and edge cases."""
 
+import hashlib
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import duckdb
@@ -369,6 +371,27 @@ def test_languages_of_odd_rows(spark, odd_docs, no_docs):
     assert language_id.identify(no_docs, {}).count() == 0
 
 
+def test_label_with_little_text_wins_nothing(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
+    rare = next(i for i in range(10**6, 10**6 + 50) if zlib.crc32(str(i).encode()) % 5)
+    more = docs.unionByName(spark.createDataFrame([(rare, "ok", "xx")], "doc_id long, text string, lang string"))
+    samples = language_id.language_samples(more)
+    assert samples["xx"] == "ok"
+    lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    held = [r for r in language_id.identify(docs, samples).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) > 0.97
+
+
+def test_samples_of_short_texts_are_filled(spark):
+    """Also if copies come first and texts lie in several tasks."""
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(60)), "en") for i in range(3000)] + [(i, "copied text", "en") for i in range(3000, 4000)]
+    got = language_id.language_samples(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7))
+    first = sorted({hashlib.md5(t.encode()).hexdigest(): t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5}.items())
+    assert got == {"en": language_id.squeeze(" ".join(t.strip() for _, t in first))[:language_id.SAMPLE_CHARS]}
+    assert len(got["en"]) == language_id.SAMPLE_CHARS
+
+
 # --- licences ---------------------------------------------------------------
 
 
