@@ -2,7 +2,7 @@
 predecessor kept.
 
 1. language ID: texts without a letter, and texts that no learned language
-   explains (more than MAX_BITS bits a character), go;
+   explains (bits a character above the bound of its own labelled texts), go;
 2. near-dedup: the document with the least id of each group stays;
 3. mix: each document appears with as many words as the mix takes of it, as a
    whole row for each full use and a row with its first words for the rest;
@@ -23,8 +23,9 @@ from quarry.llm.queries import PIECE_MODEL, read_file
 from quarry.session import prepare
 from quarry.sources.writers import materialize
 
-# A text in a language (or script) that was not learned needs about
-# log2(sample length) = 14.3 bits a character; prose needs 2 to 6.
+# Bound for languages with too few labelled texts to set their own.  A text in a
+# script that was not learned needs about 14.3 bits a character, one in another
+# language of a learned script 5 to 9, and one in a learned language 2 to 5.
 MAX_BITS = 10.0
 
 
@@ -53,8 +54,9 @@ def _numbered(docs: DataFrame, name: str) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language was recognised."""
     prepare(spark)
-    samples = language_id.language_samples(docs.select("doc_id", "text", "lang"))
-    return language_id.keep_explained(docs, samples, MAX_BITS)
+    labelled = docs.select("doc_id", "text", "lang")
+    samples = language_id.language_samples(labelled)
+    return language_id.keep_explained(docs, samples, language_id.bounds(labelled, samples, MAX_BITS))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ SEGMENT = 256
 # document, and characters kept in all.
 SAMPLE_DOC_CHARS, SAMPLE_CHARS = 2000, 20_000
 UNKNOWN = "und"
+# A language's bound on bits a character: see bounds() and _excess().
+QUANTILE, MARGIN, MIN_HELD, SLACK = 0.99, 2.0, 20, 4
 
 
 @lru_cache(maxsize=1)
@@ -267,15 +269,47 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
 
 
-def keep_explained(docs: DataFrame, samples: dict[str, str], max_bits: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a letter and needs at
-    most ``max_bits`` bits a character in its best language."""
+def _excess(bits: np.ndarray, n_letters: np.ndarray) -> np.ndarray:
+    """Bits a character above what SLACK phrases cost: a short text may hold
+    few words, and none of them be in the sample."""
+    return bits - SLACK * math.log2(SAMPLE_CHARS) / np.maximum(n_letters, 1)
+
+
+def bounds(docs: DataFrame, samples: dict[str, str], max_bits: float, id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang") -> dict[str, float]:
+    """For each language, the excess that its own texts keep below: MARGIN above
+    the QUANTILE of the labelled texts that were held out of the samples, each
+    text once; ``max_bits`` at most, and for languages with less than MIN_HELD
+    such texts."""
+    text = F.col(f"`{text_col}`")
+    held = docs.filter((bucket(F.col(f"`{id_col}`")) == 0) & F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")).select(
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.md5(text.cast("binary")).alias("h"), text.alias("text"))
+    parser = Parser(samples)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = parser.lookup()
+        for batch in chunks(batches, "text"):
+            langs, _, bits, n = _judge(parser, lookup, batch.column("text").to_pylist())
+            own = pa.array([a == b for a, b in zip(langs, batch.column("lang").to_pylist(), strict=True)], pa.bool_())
+            out = pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(_excess(bits, n), pa.float64())],
+                                             names=["lang", "h", "excess"])
+            yield out.filter(own)
+
+    once = held.mapInArrow(run, "lang string, h string, excess double").groupBy("lang", "h").agg(F.max("excess").alias("excess"))
+    found = once.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("excess", QUANTILE, 10_000).alias("q")).collect()
+    return dict.fromkeys(samples, max_bits) | {r["lang"]: min(max_bits, r["q"] + MARGIN) for r in found if r["n"] >= MIN_HELD}
+
+
+def keep_explained(docs: DataFrame, samples: dict[str, str], bound: dict[str, float], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and in its
+    best language an excess of at most that language's bound."""
     parser = Parser(samples)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = parser.lookup()
         for batch in chunks(batches, text_col):
-            langs, _, bits, _ = _judge(parser, lookup, batch.column(text_col).to_pylist())
-            yield batch.filter(pa.array([k != UNKNOWN and b <= max_bits for k, b in zip(langs, bits.tolist(), strict=True)], pa.bool_()))
+            langs, _, bits, n = _judge(parser, lookup, batch.column(text_col).to_pylist())
+            excess = _excess(bits, n).tolist()
+            yield batch.filter(pa.array([k != UNKNOWN and x <= bound[k] for k, x in zip(langs, excess, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

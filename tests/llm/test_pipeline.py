@@ -52,6 +52,24 @@ def test_language_stage_rejects_and_keeps(spark, odd_docs):
     assert not {3, 4, 5, 7} & set(kept) and kept.count(1) == 2 and {6, 8} <= set(kept)
 
 
+FOREIGN = [
+    "Litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił dziś piękność twą w całej ozdobie",
+    "Mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan saa'ani sanelemahan sukuvirttä suoltamahan lajivirttä laulamahan",
+    "Korkma sönmez bu şafaklarda yüzen al sancak sönmeden yurdumun üstünde tüten en son ocak o benim milletimin yıldızıdır parlayacak",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van az emberek ésszel és lelkiismerettel bírván egymással szemben",
+    "Мой дядя самых честных правил когда не в шутку занемог он уважать себя заставил и лучше выдумать не мог",
+    "the thing and that for the and of the thing Мой дядя самых честных правил когда не в шутку занемог он",
+]
+
+
+def test_language_stage_decides_by_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    foreign = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(FOREIGN)], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs.unionByName(foreign), "").select("doc_id").collect()}
+    assert not [t for i, t in enumerate(FOREIGN) if -1 - i in kept]
+    assert {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"])} == kept
+
+
 def test_dedup_stage_keeps_one_of_each_group(spark, odd_docs):
     kept = [r["doc_id"] for r in corpus_pipeline.dedup_stage(spark, odd_docs, SF_SMALL).collect()]
     assert 2 not in kept and {1, 3, 4, 5, 6, 7, 8, 9, None} == set(kept)
