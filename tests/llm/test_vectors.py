@@ -35,6 +35,22 @@ def test_recall_and_scores(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def test_query_on_a_table_that_is_not_searched_whole(spark):
+    sf = "/root/testdata/sf0.1"
+    ids, x = vectors(sf)
+    assert len(ids) > learned_partitions.SAMPLE // 8
+    found = {}
+    for r in QUERIES["op1_learned_partitions"](spark, sf).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert {q: sorted(by_rank) for q, by_rank in found.items()} == {i: list(range(1, 21)) for i in ids.tolist() if i % 20 == 0}
+    hits = 0
+    for q, by_rank in found.items():
+        scores = x @ x[ids == q][0]
+        scores[ids == q] = -np.inf
+        hits += len(set(ids[np.lexsort((ids, -scores))[:20]].tolist()) & set(by_rank.values()))
+    assert hits / (20 * len(found)) >= 0.9
+
+
 def test_routing_keeps_recall_on_clusters():
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((40, 32))
