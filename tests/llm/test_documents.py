@@ -30,8 +30,8 @@ def test_oracle(spark, name):
     assert compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, duck(SF_SMALL))["match"]
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_one_query_an_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 # --- sharding ---------------------------------------------------------------
