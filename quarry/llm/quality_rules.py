@@ -32,6 +32,7 @@ PRIOR = 100             # documents that the language's quantiles count for in a
 MEASURES = {"symbols": (40, False), "dup_lines": (80, False), "repeats": (100, False), "word_length": (100, True)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
+_SPACES = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
 
 
@@ -40,6 +41,20 @@ def _bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _without(text: Column, chars: str) -> Column:
+    for c in chars:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
+def _window_starts(items: Column) -> Column:
+    return F.sequence(F.lit(0), F.size(items) - WINDOW)
+
+
+def _window(items: Column, i: Column) -> list[Column]:
+    return [F.get(items, i + k) for k in range(WINDOW)]
+
+
 def _repeated_words(words: Column) -> Column:
     """Words that lie in windows found twice or more (windows compared as text)."""
     def covered(ordered: Column) -> Column:
@@ -52,9 +67,8 @@ def _repeated_words(words: Column) -> Column:
             F.sequence(F.lit(0), F.size(p) - 1), F.lit(0),
             lambda acc, k: acc + F.least(F.lit(WINDOW), F.get(p, k + 1) - F.get(p, k))))
 
-    at = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
     return _bound(F.sort_array(F.transform(
-        at, lambda i: F.struct(F.array_join(F.slice(words, i, F.lit(WINDOW)), " ").alias("w"), i.alias("i")))), covered)
+        _window_starts(words), lambda i: F.struct(F.concat_ws(" ", *_window(words, i)).alias("w"), i.alias("i")))), covered)
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -67,15 +81,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     split = rows.select(
         "*", F.array_remove(F.split("text", _SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    no_windows = F.array().cast("array<bigint>")
+    split = split.withColumn("coded", F.transform("words", lambda w: F.xxhash64(w)))
     # equal windows have equal hashes, so distinct hashes rule repeats out; only
     # texts with an equal hash are looked at word for word
-    hashes = F.when(F.size("words") >= WINDOW, _bound(F.col("words"), lambda w: F.transform(
-        F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(WINDOW)))))).otherwise(no_windows)
+    hashes = F.when(F.size("coded") >= WINDOW, _bound(F.col("coded"), lambda c: F.transform(
+        _window_starts(c), lambda i: F.xxhash64(*_window(c, i))))).otherwise(F.array().cast("array<bigint>"))
     counted = split.select(
         "doc_id", "lang", "source", "words", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", _SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(_without(F.col("text"), _SPACES)).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(_without(F.col("text"), _SYMBOLS))).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), hashes.alias("hashes"))
     repeats = F.when(F.size(F.array_distinct("hashes")) == F.size("hashes"), F.lit(0)).otherwise(_bound(F.col("words"), _repeated_words))
