@@ -27,7 +27,7 @@ MIN_WORDS = 10          # base rules: fixed
 MAX_REPEATED = 20       # percent of words in repeated windows
 WINDOW = 5              # words of a window
 FENCE = 3               # quartile distances beyond the quartile
-PRIOR = 100             # documents that the language's quantiles count for in a source's
+PRIOR = 20              # documents that the language's quantiles count for in a source's
 #: Measure -> (room beyond the fence, whether low values fail too).
 MEASURES = {"symbols": (40, False), "dup_lines": (80, False), "repeats": (100, False), "word_length": (100, True)}
 
