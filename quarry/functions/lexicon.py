@@ -204,3 +204,10 @@ EXCERPT_SUFFIX = "..."
 SUMMARY_DOC_CHARS = 500
 DASHBOARD_KEYWORDS = 4
 DASHBOARD_TOP = 10
+
+# Fixed value: relevance query text of the analysed workflow.
+RELEVANCE_QUERY = (
+    "Articles discussing how artificial intelligence impacts industries, companies, "
+    "workforce, productivity, adoption, automation, regulation, business "
+    "transformation, and enterprise deployment."
+)

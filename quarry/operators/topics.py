@@ -268,10 +268,6 @@ def reduce_dims(df: DataFrame, vec: str = "embedding", k: int = L.REDUCED_DIMS,
     return model.transform(v).withColumn(out, vector_to_array("_p")).drop("_v", "_p")
 
 
-def _cell(vec: Column, dims: int, eps: float) -> Column:
-    return F.array(*[F.floor(vec[i] / F.lit(eps)).cast("long") for i in range(dims)])
-
-
 def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Min-label propagation over an undirected graph until no label changes.
 
@@ -291,46 +287,3 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         labels = new
         if not changed:
             return labels
-
-
-def density_topics(df: DataFrame, vec: str = "reduced", dims: int = L.REDUCED_DIMS, eps: float = 0.5,
-                   min_samples: int = L.MIN_SAMPLES, min_cluster_size: int = L.MIN_CLUSTER_SIZE,
-                   id_col: str = "vec_id", out: str = "topic") -> DataFrame:
-    """M2: grid density clustering with noise (-1).
-
-    Space is cut into cubes of side ``eps``; a cube holding at least
-    ``min_samples`` points is dense.  Dense cubes that touch (any of the
-    3^d - 1 neighbours) form clusters via connected components; points of a
-    non-dense cube touching a dense one join that cluster (smallest label),
-    the rest are noise.  Clusters under ``min_cluster_size`` points become
-    noise; the others are numbered 0, 1, ... by size (largest first), as
-    topic ids are.  Only cube-level tables move between stages: the number
-    of cubes, not of points, drives the graph work.
-    """
-    import itertools
-
-    pts = df.select(id_col, _cell(F.col(vec), dims, eps).alias("cell"))
-    cells = materialize(pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells")
-    dense = cells.filter(F.col("n") >= min_samples).select("cell")
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims) if any(o)]
-    off_col = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets])
-
-    def neighbours(frame: DataFrame) -> DataFrame:
-        return frame.select("cell", F.explode(off_col).alias("_off")).select(
-            "cell", F.zip_with("cell", "_off", lambda a, b: a + b).alias("nb"))
-
-    edges = neighbours(dense).join(dense.withColumnRenamed("cell", "nb"), "nb").select(
-        F.col("cell").alias("src"), F.col("nb").alias("dst"))
-    comps = connected_components(edges, dense.withColumnRenamed("cell", "node"))
-    comps = comps.withColumnRenamed("node", "cell")
-    # border cubes: non-dense cubes next to a dense one take the smallest adjacent component
-    sparse = cells.filter(F.col("n") < min_samples).select("cell")
-    border = neighbours(sparse).join(comps.withColumnRenamed("cell", "nb"), "nb").groupBy("cell").agg(
-        F.min("component").alias("component"))
-    cell_comp = comps.unionByName(border)
-    sizes = cells.join(cell_comp, "cell").groupBy("component").agg(F.sum("n").alias("size"))
-    kept = sizes.filter(F.col("size") >= min_cluster_size)
-    ranked = consecutive_ids(kept, [F.col("size").desc(), F.col("component")], out)
-    ranked = ranked.withColumn(out, F.col(out).cast("int"))
-    cell_topic = cell_comp.join(ranked.select("component", out), "component").select("cell", out)
-    return pts.join(cell_topic, "cell", "left").select(id_col, F.coalesce(F.col(out), F.lit(-1)).alias(out))

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
+from ..operators import density as DN
 from ..operators import topics as TP
 from ..operators.filters import keep_curated
 from ..operators.joins import label_topics
+from ..operators.text_vectors import fit_text_vectors, text_vectors
 from ..sources.readers import table
 from ..sources.writers import materialize
 from . import oracle_sql as S
@@ -249,18 +251,26 @@ def q_topic_join_keep(spark, sf_dir):
 
 # --- topic fit on vectors: reduce -> density clusters -> outliers ---------
 
-DENSITY_EPS = 0.18
+# The test tables have a fiftieth of the corpus: smaller clusters for documents.
+DOC_MIN_SAMPLES, DOC_MIN_CLUSTER_SIZE = 10, 60
 
 
 def fitted_topics(spark, sf_dir):
-    """M1 -> M2: 5-dimensional principal components, then grid density
-    clusters with the published minimum sizes (noise = -1)."""
+    """M1 -> M2: 5-dimensional principal components, then density clusters with
+    the published minimum sizes (noise = -1)."""
     emb = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     red = materialize(TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
-    topics = TP.density_topics(red, "reduced", L.REDUCED_DIMS, DENSITY_EPS, L.MIN_SAMPLES, L.MIN_CLUSTER_SIZE)
+    topics = DN.density_clusters(red, "reduced", L.MIN_SAMPLES, L.MIN_CLUSTER_SIZE)
     return red.join(topics, "vec_id")
 
 
+def document_vectors(spark, sf_dir):
+    """E1 -> M1: ``doc_id, reduced`` of every document, whatever its language."""
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    emb = text_vectors(docs, "text", fit_text_vectors(docs, "text"))
+    return materialize(TP.reduce_dims(emb.select("doc_id", "embedding"), "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
+
+
 @register("reduced_dims", None)
 def q_reduced_dims(spark, sf_dir):
     """M1: principal components of the vectors (rows-only check: component
@@ -276,6 +286,23 @@ def q_density_topics(spark, sf_dir):
     return fitted_topics(spark, sf_dir).select("vec_id", "topic")
 
 
+@register("document_topics", None)
+def q_document_topics(spark, sf_dir):
+    """E1 -> M1 -> M2 on the texts: topic and membership strength of every
+    document (the four languages have unlike words, so topics exist here)."""
+    return DN.density_clusters(document_vectors(spark, sf_dir), "reduced", DOC_MIN_SAMPLES, DOC_MIN_CLUSTER_SIZE, "doc_id").select(
+        "doc_id", "topic", F.round("strength", 6).alias("strength"))
+
+
+@register("unseen_topics", None)
+def q_unseen_topics(spark, sf_dir):
+    """M3: clusters fitted on documents of even id; all others attached to them."""
+    red = document_vectors(spark, sf_dir)
+    fit = DN.fit_density(red.filter("doc_id % 2 = 0"), "reduced", DOC_MIN_SAMPLES, DOC_MIN_CLUSTER_SIZE // 2, "doc_id")
+    return DN.attach_to_clusters(red.filter("doc_id % 2 <> 0"), fit, "reduced", DOC_MIN_SAMPLES, "doc_id").select(
+        "doc_id", "topic", F.round("strength", 6).alias("strength"))
+
+
 @register("outliers_reduced", None)
 def q_outliers_reduced(spark, sf_dir):
     """M9: noise vectors moved to the nearest topic centroid (in the original

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions.text import embed_input, normalize_text, with_clean
 from ..operators import relevance as R
+from ..operators.text_vectors import fit_text_vectors, text_vectors
 from ..sources.readers import table
 from ..sources.writers import materialize
 from .cleaning import english_articles
@@ -67,24 +68,15 @@ def q_score_stats(spark, sf_dir):
     return st.select(*[F.round(c, 6).alias(c) for c in ("min", "mean", "max")])
 
 
-# Relevance query text of the analysed workflow (fixed value).
-RELEVANCE_QUERY = (
-    "Articles discussing how artificial intelligence impacts industries, companies, "
-    "workforce, productivity, adoption, automation, regulation, business "
-    "transformation, and enterprise deployment."
-)
-
-
 @register("text_relevance", None)
 def q_text_relevance(spark, sf_dir):
-    """E1 -> E2 -> E3 on the corpus: hashed-term embeddings of title + first
-    1000 characters, scored against the embedded relevance query, top 70 %
-    kept.  Rows-only check (the hashing encoder has no SQL counterpart)."""
+    """E1 -> E2 -> E3 on the corpus: vectors fitted on title + first 1000
+    characters, scored against the relevance query's vector, top 70 % kept.
+    Rows-only check (the fit has no SQL counterpart)."""
     arts = with_clean(english_articles(spark, sf_dir), "text", "text_clean").select("article_id", "title", "text_clean")
-    arts = arts.withColumn("_embed_in", embed_input(normalize_text("title"), "text_clean"))
-    emb = R.hashed_embedding(arts, F.col("_embed_in"))
-    query_df = spark.range(1).select(F.lit(RELEVANCE_QUERY).alias("_embed_in"))
-    qv = R.hashed_embedding(query_df, F.col("_embed_in"), out="q").select("q").scalar()
-    scored = R.similarity(emb, "embedding", qv).select("article_id", "title", "semantic_score")
+    arts = materialize(arts.select("article_id", "title", embed_input(normalize_text("title"), "text_clean").alias("_in")), "embed_input")
+    model = fit_text_vectors(arts, "_in")
+    query = text_vectors(spark.range(1).select(F.lit(L.RELEVANCE_QUERY).alias("_in")), "_in", model).select("embedding").scalar()
+    scored = R.similarity(text_vectors(arts, "_in", model), "embedding", query).select("article_id", "title", "semantic_score")
     kept, _ = R.keep_top_share(scored, "semantic_score")
     return kept

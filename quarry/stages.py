@@ -27,19 +27,14 @@ from .operators import filters as FL
 from .operators import relevance as R
 from .operators import sentiment as SN
 from .operators import topics as TP
+from .operators.density import density_clusters
 from .operators.entities import company_counts, extract_entities, extract_with
 from .operators.joins import entity_sentiment_counts, label_topics
 from .operators.tagging import tag_articles, tag_counts
+from .operators.text_vectors import fit_text_vectors, text_vectors
 from .sources import writers as W
 from .sources.readers import read_articles, read_labels, read_training
 
-RELEVANCE_QUERY = (
-    "Articles discussing how artificial intelligence impacts industries, companies, "
-    "workforce, productivity, adoption, automation, regulation, business "
-    "transformation, and enterprise deployment."
-)
-
-
 def _p(out_dir: str, name: str) -> str:
     return os.path.join(out_dir, name)
 
@@ -63,24 +58,27 @@ def stage_clean(spark: SparkSession, raw_path: str, out_dir: str, colmap: Mappin
 def stage_light_clean(spark: SparkSession, in_path: str, out_dir: str) -> dict:
     """2: e-mails, phone numbers, boilerplate phrases out of the text."""
     df = spark.read.parquet(in_path)
-    return {"light_clean": W.write_stage(df.withColumn("text_clean", T.light_clean("text_clean")),
+    return {"light_clean": W.write_stage(T.with_steps(df, "text_clean", "text_clean", T.LIGHT_CLEAN_STEPS),
                                          _p(out_dir, "light_clean"))}
 
 
-def _embed(df: DataFrame, text: str, make_encoder, dim: int = 1024) -> DataFrame:
-    if make_encoder is None:
-        return R.hashed_embedding(df, F.col(text), dim)
-    return R.embed_with(df, text, make_encoder)
+def _encoder(df: DataFrame, text: str, make_encoder) -> Callable[[DataFrame], DataFrame]:
+    """Frame -> frame with ``embedding``: the caller's encoder, else vectors
+    fitted on the texts of ``df``."""
+    if make_encoder is not None:
+        return lambda frame: R.embed_with(frame, text, make_encoder)
+    model = fit_text_vectors(df, text)
+    return lambda frame: text_vectors(frame, text, model)
 
 
 def stage_relevance(spark: SparkSession, in_path: str, out_dir: str, make_encoder=None,
-                    query: str = RELEVANCE_QUERY, share: float = L.KEEP_TOP_SHARE) -> dict:
+                    query: str = L.RELEVANCE_QUERY, share: float = L.KEEP_TOP_SHARE) -> dict:
     """3: embed title + first 1000 characters, score against the query,
     keep the top share (exact quantile, ties kept), report."""
     df = spark.read.parquet(in_path).withColumn("_in", T.embed_input("title_clean", "text_clean"))
-    emb = _embed(df, "_in", make_encoder)
-    qv = _embed(spark.createDataFrame([(query,)], "_in string"), "_in", make_encoder).select("embedding").scalar()
-    scored = W.materialize(R.similarity(emb, "embedding", qv).drop("_in", "embedding"), "scores")
+    encode = _encoder(df, "_in", make_encoder)
+    qv = encode(spark.createDataFrame([(query,)], "_in string")).select("embedding").scalar()
+    scored = W.materialize(R.similarity(encode(df), "embedding", qv).drop("_in", "embedding"), "scores")
     kept, threshold = R.keep_top_share(scored, "semantic_score", share, materialize=False)
     report = R.filter_report(scored, "semantic_score", threshold, share,
                              max_chars_used=L.EMBED_MAX_CHARS)
@@ -91,14 +89,13 @@ def stage_relevance(spark: SparkSession, in_path: str, out_dir: str, make_encode
 
 
 def stage_topics(spark: SparkSession, in_path: str, out_dir: str, labels_csv: str | None = None,
-                 make_encoder=None, eps: float = 0.18, min_samples: int = L.MIN_SAMPLES,
-                 min_cluster_size: int = L.MIN_CLUSTER_SIZE) -> dict:
+                 make_encoder=None, min_samples: int = L.MIN_SAMPLES, min_cluster_size: int = L.MIN_CLUSTER_SIZE) -> dict:
     """4: topic text -> embeddings -> 5 components -> density topics ->
     c-TF-IDF keywords (topic info) -> curated labels -> kept articles."""
     df = spark.read.parquet(in_path).withColumn("topic_text", T.topic_text("title_clean", "text_clean"))
-    emb = _embed(df.select("url", "topic_text"), "topic_text", make_encoder)
+    emb = _encoder(df, "topic_text", make_encoder)(df.select("url", "topic_text"))
     red = W.materialize(TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
-    topics = TP.density_topics(red, "reduced", L.REDUCED_DIMS, eps, min_samples, min_cluster_size, id_col="url")
+    topics = density_clusters(red, "reduced", min_samples, min_cluster_size, id_col="url").select("url", "topic")
     docs = W.materialize(df.join(topics, "url"), "topic_docs")
     occ = TP.doc_terms(docs, "topic_text", ["url", "topic"], TP.topic_stopwords())
     n_topics = docs.select(F.count_distinct("topic")).scalar()

@@ -17,7 +17,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import light_clean, normalize_text
+from ..functions.text import with_clean
 from ..operators.filters import filter_language, filter_length
 from ..operators.tagging import tag_articles, tag_counts
 
@@ -28,7 +28,7 @@ def tagged_counts(raw: DataFrame, dictionary: Mapping[str, Sequence[str]], tag_c
     arts = raw.select(
         F.col(group_src).alias("industry_label"), F.col(lang_col).alias("language"), F.col("text"))
     kept = filter_length(filter_language(arts))
-    clean = kept.select("industry_label", light_clean(normalize_text("text")).alias("text_clean"))
+    clean = with_clean(kept, "text", "text_clean").select("industry_label", "text_clean")
     return tag_counts(tag_articles(clean, "text_clean", {tag_col: dictionary}), "industry_label", tag_col)
 
 

@@ -22,7 +22,7 @@ def test_stages_end_to_end(spark):
     s1 = S.stage_clean(spark, raw_path, out)
     s2 = S.stage_light_clean(spark, s1["clean"], out)
     s3 = S.stage_relevance(spark, s2["light_clean"], out)
-    s4 = S.stage_topics(spark, s3["relevant"], out, eps=0.25, min_samples=3, min_cluster_size=5)
+    s4 = S.stage_topics(spark, s3["relevant"], out, min_samples=3, min_cluster_size=5)
     s5 = S.stage_entities(spark, s4["labelled"], out)
     s6 = S.stage_tagging(spark, s4["labelled"], out)
     s7 = S.stage_train(spark, train_path, os.path.join(out, "model"))
@@ -31,7 +31,7 @@ def test_stages_end_to_end(spark):
     n_clean = spark.read.parquet(s2["light_clean"]).count()
     assert n_clean == raw.filter("lower(language) = 'en' AND length(text) BETWEEN 500 AND 50000").count()
     n_rel = spark.read.parquet(s3["relevant"]).count()
-    assert n_rel >= 0.7 * n_clean
+    assert n_clean - n_rel <= int(0.3 * (n_clean - 1)) + 1  # rows below numpy's interpolated quantile
     rep = spark.read.json(s3["filter_report"]).first()
     assert rep.rows_before == n_clean and rep.rows_after == n_rel
     n_lab = spark.read.parquet(s4["labelled"]).count()
