@@ -158,8 +158,8 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
     there are at most ``k``), nearest first, ties to the smaller id.  Candidates
     are the rows of the probed parts and the sample.
 
-    ``score`` is the inner product of the original vectors in doubles, to 13
-    decimal places.  Rows
+    ``score`` is the inner product of the original vectors in doubles, added up in
+    one order for all pairs.  Rows
     with a null id or vector, a zero vector, no component, or a null or
     non-finite one take no part.  Vectors shorter than the longest count as
     padded with zeros.  Rows that repeat an id count once.  Tables below SAMPLE
@@ -180,8 +180,9 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
                                              names=["vec_id", "vec"])
 
     def product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-        # equal up to the order of summation counts as a tie
-        return np.round(q.astype(np.float64) @ x.T.astype(np.float64), 13)
+        # einsum adds up every pair in one order, so that equal vectors tie wherever
+        # they lie (a matrix product's order follows the matrices' shapes)
+        return np.einsum("ij,kj->ik", q.astype(np.float64), x.astype(np.float64))
 
     packed = materialize(rows.mapInArrow(raw, "vec_id long, vec binary"), "ann_vectors")
     known = V.sample(packed, SAMPLE, dim, dtype)

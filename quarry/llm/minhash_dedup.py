@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import consecutive_ids
 from ..sources.writers import materialize
 from . import superminhash as S
 from .arrow import chunks
@@ -39,10 +40,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         sets = S.shingle_sets(batch.column("text").to_pylist())
         keys = S.band_keys(S.signatures(sets)).ravel()
         offsets = np.arange(len(sets) + 1, dtype=np.int32) * S.BANDS
+        own = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+            *(batch.column(c) for c in own), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([S.set_key(s) for s in sets], pa.binary()),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))], names=["doc_id", "n", "key", "bands"])
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))], names=[*own, "n", "key", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,6 +55,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*(c for c in batch.schema.names if c != "text"), "set"])
 
 
+def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches, "text"):
+        sets = S.shingle_sets(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([S.set_key(s) for s in sets], pa.binary()),
+                                          pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "set"])
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sorted sets share SIMILAR per cent of their union."""
     if 100 * min(len(a), len(b)) < SIMILAR * max(len(a), len(b)) or not len(a):
@@ -144,22 +153,36 @@ def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
         _bucket_links, "a long, b long").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``
+    (and ``row``, the column ``row_col``, if one is named).
 
     Documents are linked if their sets of 5-word shingles share 75 % of the
     union; ``component_id`` is the least doc_id that links lead to, ``kept``
     whether that is the row's own.  Null and empty texts, and texts without
     words, have an empty set, are linked with nothing and are kept.  Rows that
-    repeat a doc_id count as one document.  Rows without an id take no part:
+    repeat a doc_id are documents of their own: each has the component of its own
+    text, and no link of any of them is lost.  Rows without an id take no part:
     null component, kept.  An empty table gives an empty result.  Other columns
     of ``docs`` are ignored, whatever their names.
     """
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    rows = materialize(docs.mapInArrow(_fingerprints, "doc_id long, n long, key binary, bands array<long>"), "minhash_rows")
+    carried = [] if row_col is None else [F.col(f"`{row_col}`").alias("row")]
+    docs = docs.select(*carried, F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    row = f"row {docs.schema['row'].dataType.simpleString()}, " if carried else ""
+    rows = materialize(docs.mapInArrow(_fingerprints, row + "doc_id long, n long, key binary, bands array<long>"), "minhash_rows")
     known = rows.filter("doc_id is not null and n > 0")
     classes = materialize(known.groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "minhash_classes")
+    # Texts of one repeated id are classes with one least id: they get numbers
+    # below all ids, and the least ids are put back at the end.
+    twice = materialize(classes.groupBy("id").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("id"), "minhash_twice")
+    clash = not twice.isEmpty()
+    if clash:
+        base = classes.agg(F.min("id")).first()[0] - 1
+        fresh = consecutive_ids(classes.join(twice, "id", "left_semi").select("id", "key"), ["id", "key"], "k")
+        fresh = fresh.select("key", (F.lit(base) - F.col("k")).alias("fresh"))
+        classes = materialize(classes.withColumnRenamed("id", "label").join(fresh, "key", "left").select(
+            "key", F.coalesce("fresh", "label").alias("id"), "n", "bands", "label"), "minhash_classes")
 
     banded = classes.select("id", "n", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
@@ -167,10 +190,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights = members.groupBy("id").agg(F.sum("cnt").alias("w"))
     members = materialize(members.drop("cnt").join(weights, "id"), "minhash_weighted")
 
+    texts = docs.drop("row")
     wanted = weights.select(F.col("id").alias("doc_id"))
-    sets = materialize(
-        docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, set binary")
-        .select(F.col("doc_id").alias("id"), "set"), "minhash_sets")
+    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, set binary").select(F.col("doc_id").alias("id"), "set")
+    if clash:
+        several = texts.join(twice.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(_keyed_sets, "key binary, set binary")
+        numbered = classes.filter("id <> label").select("key", "id").join(weights.select("id"), "id", "left_semi")
+        sets = sets.unionByName(several.groupBy("key").agg(F.first("set").alias("set")).join(numbered, "key").select("id", "set"))
+    sets = materialize(sets, "minhash_sets")
 
     links = _confirmed(_leader_pairs(members), sets)
     comps = components(links)
@@ -178,11 +205,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not mixed.isEmpty():
         comps = components(links.unionByName(_rest_links(mixed, sets)))
 
-    # classes that share an id (rows that repeat a doc_id) meet by the id
-    named = classes.select("key", "id").join(comps, "id", "left").select(
-        "key", F.coalesce("component", "id").alias("component_id"))
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key"))
+    named = classes.join(comps, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
+    if clash:
+        least = named.groupBy("component_id").agg(F.min("label").alias("least"))
+        named = named.join(least, "component_id").withColumn("component_id", F.col("least"))
+    named = named.select("key", "component_id")
+    out = rows.select(*rows.columns[:-3], F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key"))
     out = out.join(named, "key", "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id",
+    return out.select(*rows.columns[:-3], "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

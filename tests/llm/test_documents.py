@@ -560,6 +560,28 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert minhash_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_a_repeated_id_keep_their_own_links(spark):
+    """Ids repeat with other texts; each row has the component of its text."""
+    rng = random.Random(12)
+    base = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)) for _ in range(12)]
+    near = [b + " one more" for b in base]
+    docs = [(1, base[0]), (5, base[0]), (5, base[1]), (5, near[2]), (7, base[2]), (9, near[1]), (9, near[3]), (3, base[3]), (5, base[4]), (5, base[4])]
+    docs += [(20 + i % 3, t) for i, t in enumerate(base[5:] + near[5:])]  # two texts and more an id
+    sets = word_sets(list(enumerate(t for _, t in docs)))
+    parent = list(range(len(docs)))
+    for _ in docs:
+        for a in range(len(docs)):
+            for b in range(len(docs)):
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    parent[a] = parent[b] = min(parent[a], parent[b])
+    least = {}
+    for k, (i, _) in enumerate(docs):
+        least[parent[k]] = min(i, least.get(parent[k], i))
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, place int")
+    got = {r["row"]: (r["doc_id"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(frame, row_col="place").collect()}
+    assert got == {k: (i, least[parent[k]], i == least[parent[k]]) for k, (i, _) in enumerate(docs)}
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(2)
     for n in (2, 30, 400):

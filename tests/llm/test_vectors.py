@@ -93,6 +93,24 @@ def test_all_queries_have_k_rows(spark, x):
     assert hits / (20 * len(ranks)) >= 0.9
 
 
+@pytest.mark.parametrize("scale", [1e-8, 1e8])
+def test_scores_are_exact_at_any_scale(spark, scale):
+    x = clustered(400, 10, 11) * scale
+    x[50:90] = x[50]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in learned_partitions.nearest(df, 20, 20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, 400, 20):
+        s = np.array([sum(a * b for a, b in zip(v, x[q])) for v in x])
+        s[50:90] = s[50]
+        s[q] = -np.inf
+        order = np.lexsort((np.arange(400), -s))[:20]
+        want = [(k + 1, i) for k, i in enumerate(order.tolist())]
+        assert [g[:2] for g in sorted(got[q])] == want
+        assert np.allclose([g[2] for g in sorted(got[q])], s[order], rtol=1e-13, atol=0)
+
+
 def test_blocks_without_queries(spark):
     x = clustered(700, 12, 9).tolist()
     df = spark.createDataFrame([(20 * i + (i > 0), v) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
