@@ -3,7 +3,8 @@ predecessor kept.
 
 1. language ID: texts without a letter, and texts that no learned language
    explains (bits a character above the bound of its own labelled texts), go;
-2. near-dedup: the document with the least id of each group stays;
+2. near-dedup: the document with the least id of each group stays (rows that
+   repeat an id are documents of their own: a text goes only as a copy);
 3. mix: each document appears with as many words as the mix takes of it, as a
    whole row for each full use and a row with its first words for the rest;
 4. SentencePiece: piece ids of what is left.
@@ -60,12 +61,23 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the least id, and
+    of rows that repeat this id and belong to the group, the first by place."""
     prepare(spark)
-    groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
-    (name,) = _fresh(docs, "gone")
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1").isEmpty():
+        groups = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
+        (name,) = _fresh(docs, "gone")
+        gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(name))
+        return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    # ids that repeat: rows are told apart by their place
+    (row,) = _fresh(docs, "row")
+    rows = _numbered(docs, row)
+    groups = minhash_dedup.near_duplicates(rows.select(row, "doc_id", "text"), row_col=row)
+    alike = materialize(groups.filter("n_shingles > 0 and doc_id is not null"), "pipeline_groups")
+    first = alike.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    gone = alike.join(first, "row", "left_anti").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
