@@ -75,6 +75,16 @@ def test_dedup_stage_keeps_one_of_each_group(spark, odd_docs):
     assert 2 not in kept and {1, 3, 4, 5, 6, 7, 8, 9, None} == set(kept)
 
 
+def test_dedup_stage_loses_no_unique_text(spark):
+    """Id 5 repeats a text of id 1 and has one of its own; id 6 repeats itself."""
+    a, b, c = ("the quick brown onion sat on the mat by the old door", "le chat est sur la chaise et le chien mange encore un peu",
+               "der hund liegt auf dem teppich und die katze trinkt ihre milch")
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, c), (None, a), (8, None), (8, ""), (9, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_stage(spark, docs, SF_SMALL).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (5, b), (6, c), (None, a), (8, None), (8, "")], key=repr)
+
+
 def test_mix_stage_cuts_and_repeats(spark):
     docs = spark.createDataFrame([(1, "a  b\tc d", "en", "s", 8), (2, "e f g h", "en", "t", 7), (3, "i", "en", "u", 1)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
