@@ -1,8 +1,7 @@
 """E-section: embeddings, similarity, exact top-share filtering, reports.
 
-``quantile`` is exact (linear interpolation, as ``numpy.quantile``):
-``percentile_approx`` brackets the target ranks, counts verify the bracket,
-and the one or two order statistics are read from the rows inside it.
+``quantile`` is exact (linear interpolation, as ``numpy.quantile``): a few
+counting passes narrow the value range down to the order statistics.
 """
 
 from __future__ import annotations
@@ -33,45 +32,61 @@ def similarity(df: DataFrame, vec_col: str, query: Column, name: str = "semantic
     return df.withColumn("_query", query).withColumn(name, dot(F.col(vec_col), F.col("_query"))).drop("_query")
 
 
-def _order_stats(df: DataFrame, col: str, ranks: list[int], n: int, accuracy: int) -> list[float]:
-    """Exact values at 0-based ascending ``ranks`` (one, or two neighbours).
+# Bins of one counting pass; a pass sends the driver at most one row a bin.
+BINS = 4096
 
-    Two approximate percentiles bracket the ranks; if the counts confirm it,
-    only the rows inside the bracket are ordered.  A block of ties that covers
-    the ranks is the answer itself.
+
+def _magnitude(c: Column) -> Column:
+    """Whole number that never falls as the value grows: sign and binary
+    exponent; infinities, zero and NaN (the largest) have numbers of their own."""
+    e = F.floor(F.log2(F.abs(c))) + 2000
+    inf = F.lit(float("inf"))
+    return (F.when(F.isnan(c), 9000).when(c == inf, 8000).when(c == -inf, -8000).when(c == 0, 0)
+            .when(c > 0, e).otherwise(-e)).cast("long")
+
+
+def order_statistics(df: DataFrame, col: str, rank: int, n_bins: int = BINS) -> tuple[float, float]:
+    """The values at 0-based ``rank`` and ``rank + 1`` of a double column
+    without nulls (the second equals the first at the end of the table).
+
+    Counting passes instead of a sort: values are counted by sign and
+    exponent, then the bin of the rank is cut into ``n_bins`` equal pieces until it
+    holds one distinct value.  The values of one exponent have 52 bits, so five or six
+    passes do whatever the distribution; ties, skew and infinities cost nothing.
     """
     c = F.col(col)
-    slack = 2.0 / accuracy
-    at = [max(0.0, ranks[0] / max(1, n - 1) - slack), min(1.0, ranks[-1] / max(1, n - 1) + slack)]
-    lo, hi = df.agg(F.percentile_approx(c, at, accuracy).alias("b")).first()["b"]
-    cnt = df.agg(
-        F.count_if(c < F.lit(lo)).alias("lt_lo"), F.count_if(c <= F.lit(lo)).alias("le_lo"),
-        F.count_if(c < F.lit(hi)).alias("lt_hi"), F.count_if(c <= F.lit(hi)).alias("le_hi"),
-    ).first()
-    for value, below, upto in ((lo, cnt["lt_lo"], cnt["le_lo"]), (hi, cnt["lt_hi"], cnt["le_hi"])):
-        if below <= ranks[0] and upto > ranks[-1]:
-            return [value] * len(ranks)
-    skip = ranks[0]
-    if cnt["lt_lo"] <= ranks[0] and cnt["le_hi"] > ranks[-1]:
-        df, skip = df.filter((c >= F.lit(lo)) & (c <= F.lit(hi))), ranks[0] - cnt["lt_lo"]
-    return [r[0] for r in df.select(c).orderBy(c).offset(skip).limit(len(ranks)).collect()]
-
-
-def quantile(df: DataFrame, col: str, q: float, accuracy: int = 100_000) -> float | None:
+    lo = hi = after = None
+    below = 0
+    while True:
+        if lo is None:
+            part, key = df, _magnitude(c)
+        else:
+            part = df.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
+            key = F.least(F.floor((c - F.lit(lo)) / F.lit(hi - lo) * n_bins), F.lit(n_bins - 1))
+        bins = part.groupBy(key.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")
+                                                  ).toPandas().sort_values("bin", ignore_index=True)
+        upto = below + bins["n"].cumsum()
+        k = int((upto > rank).to_numpy().argmax())
+        if k + 1 < len(bins):
+            after = float(bins["lo"][k + 1])
+        below, lo, hi = int(upto[k] - bins["n"][k]), float(bins["lo"][k]), float(bins["hi"][k])
+        if lo == hi or math.isnan(lo):
+            return lo, lo if upto[k] > rank + 1 or after is None else after
+
+
+def quantile(df: DataFrame, col: str, q: float, n_bins: int = BINS) -> float | None:
     """Exact ``q``-quantile of a numeric column (nulls ignored), linear
     interpolation between order statistics as ``numpy.quantile``."""
-    nonnull = df.filter(F.col(col).isNotNull()).select(col)
+    nonnull = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias(col))
     n = nonnull.count()
     if n == 0:
         return None
     pos = (n - 1) * q
     k = int(math.floor(pos))
     frac = pos - k
-    ranks = [k] if k + 1 >= n or frac == 0.0 else [k, k + 1]
-    vals = _order_stats(nonnull, col, ranks, n, accuracy)
-    if len(vals) == 1:
-        return float(vals[0])
-    a, b = float(vals[0]), float(vals[1])
+    a, b = order_statistics(nonnull, col, k, n_bins)
+    if frac == 0.0 or a == b:
+        return a
     return a + (b - a) * frac if frac < 0.5 else b - (b - a) * (1 - frac)
 
 

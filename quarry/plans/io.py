@@ -8,7 +8,9 @@ what a downstream consumer of the files would see.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
@@ -67,17 +69,41 @@ def q_sample_jsonl(spark, sf_dir):
     return spark.read.json(path)
 
 
-@register("dashboard_export", ORACLE["dashboard_series"])
-def q_dashboard_export(spark, sf_dir):
-    """K8: write the four dashboard JSON tables; return the re-read series."""
-    folder = W.scratch_path(spark, "dashboard")
-    files = W.export_dashboard(
+def _export(spark, sf_dir):
+    return W.export_dashboard(
         reports.q_dashboard_series(spark, sf_dir),
         topics.topic_summary(spark, sf_dir),
         tagging.q_impact_counts(spark, sf_dir),
         tagging.q_technology_counts(spark, sf_dir),
-        folder,
+        W.scratch_path(spark, "dashboard"),
     )
+
+
+# What the rows of each dashboard file are told apart by, and their number.
+DASHBOARD_ROWS = [
+    ("sentiment_over_time", "date", "sentiment", "count"), ("topics", "final_topic", "industry", "topic_size"),
+    ("industry_impact_counts", "industry_label", "impact_modes", "count"),
+    ("industry_technology_counts", "industry_label", "technologies", "count")]
+
+
+@register("dashboard_files", " UNION ALL ".join(
+    f"SELECT '{name}' AS file, CAST({a} AS VARCHAR) AS key, CAST({b} AS VARCHAR) AS label, CAST({n} AS BIGINT) AS count FROM ({sql})"
+    for (name, a, b, n), sql in zip(DASHBOARD_ROWS, (
+        ORACLE["dashboard_series"], ORACLE["dashboard_topics"], ORACLE["impact_counts"], ORACLE["technology_counts"]))))
+def q_dashboard_files(spark, sf_dir):
+    """K8: the four dashboard JSON tables written, then every row of every file
+    read back in one long form."""
+    files = _export(spark, sf_dir)
+    parts = [spark.read.json(files[name]).select(F.lit(name).alias("file"), F.col(a).cast("string").alias("key"),
+                                                 F.col(b).cast("string").alias("label"), F.col(n).cast("long").alias("count"))
+             for name, a, b, n in DASHBOARD_ROWS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dashboard_export", ORACLE["dashboard_series"])
+def q_dashboard_export(spark, sf_dir):
+    """K8: write the four dashboard JSON tables; return the re-read series."""
+    files = _export(spark, sf_dir)
     return spark.read.json(files["sentiment_over_time"]).select("date", "sentiment", "count", "total", "pct")
 
 

@@ -36,13 +36,17 @@ def all_phrases(dictionary) -> list[str]:
     return [p for label in sorted(dictionary) for p in dictionary[label]]
 
 
-def articles_with_phrases(spark, sf_dir, dictionary):
+def with_phrases(articles, dictionary):
     """Fixture: the test documents hold none of the corpus dictionaries'
     phrases, so each article gets one appended, chosen by its id."""
     phrases = all_phrases(dictionary)
     at = F.pmod(F.col("article_id"), F.lit(len(phrases))).cast("int")
     phrase = F.get(F.array(*[F.lit(p) for p in phrases]), at)
-    return clean_articles(spark, sf_dir).withColumn("text_clean", F.concat("text_clean", F.lit(" "), phrase))
+    return articles.withColumn("text_clean", F.concat("text_clean", F.lit(" "), phrase))
+
+
+def articles_with_phrases(spark, sf_dir, dictionary):
+    return with_phrases(clean_articles(spark, sf_dir), dictionary)
 
 
 def _counts_sql(dictionary, tag_col, mode="substring", articles=ARTICLES_SQL):

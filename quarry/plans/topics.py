@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as T
 from ..operators import density as DN
+from ..operators.aggregates import distinct_values, top_k_per_group
 from ..operators import topics as TP
 from ..operators.filters import keep_curated
 from ..operators.joins import label_topics
 from ..operators.text_vectors import fit_text_vectors, text_vectors
 from ..sources.readers import table
-from ..sources.writers import materialize
+from ..sources.writers import materialize, scratch_path, write_report_csv
 from . import oracle_sql as S
+from . import tagging
 from .cleaning import EN_LEN_SQL, english_articles
 from .registry import register, sql_list, sql_str
 
@@ -72,11 +74,15 @@ def topic_docs(spark, sf_dir):
     )
 
 
+def occurrences_of(docs):
+    return TP.doc_terms(docs, "topic_text", ["doc_id", "topic"], STOP)
+
+
 def occurrences(spark, sf_dir):
-    return TP.doc_terms(topic_docs(spark, sf_dir), "topic_text", ["doc_id", "topic"], STOP)
+    return occurrences_of(topic_docs(spark, sf_dir))
 
 
-def weights(spark, sf_dir):
+def weights_of(docs):
     """c-TF-IDF over the topic-level vocabulary (the vectoriser is fitted on
     one document per topic, so min/max document frequency count topics).
 
@@ -84,13 +90,25 @@ def weights(spark, sf_dir):
     written once to the checkpoint folder; every later step reads that small
     table, never the text again.
     """
-    docs = topic_docs(spark, sf_dir)
     n_topics = docs.select(F.count_distinct("topic")).scalar()
-    tf = TP.topic_term_counts(occurrences(spark, sf_dir), "topic")
+    tf = TP.topic_term_counts(occurrences_of(docs), "topic")
     tfv = materialize(TP.restrict_to_vocabulary(tf, L.MIN_DF, L.MAX_DF, n_topics), "topic_term_counts")
     return TP.class_tfidf(tfv, "topic")
 
 
+def weights(spark, sf_dir):
+    return weights_of(topic_docs(spark, sf_dir))
+
+
+def written_docs(spark, sf_dir):
+    """``topic_docs`` and ``text_clean``, cleaned once and written, for reports
+    that read the texts more than once."""
+    arts = T.with_clean(english_articles(spark, sf_dir), "text", "text_clean")
+    return materialize(arts.select(
+        "article_id", F.col("article_id").alias("doc_id"), F.col("source").alias("topic"), "text_clean",
+        T.topic_text(T.normalize_text("title"), "text_clean").alias("topic_text")), "topic_docs")
+
+
 @register("topic_text", f"""
 SELECT doc_id, md5({TOPIC_TEXT_SQL}) AS text_md5 FROM documents WHERE {EN_LEN_SQL}
 """)
@@ -130,8 +148,6 @@ SELECT topic, term, rank, round(weight, 6) AS weight FROM kw
 def q_ctfidf_keywords(spark, sf_dir):
     """M4 (unit = topic) + M5 + M6: top-10 c-TF-IDF terms per topic."""
     w = weights(spark, sf_dir)
-    from ..operators.aggregates import top_k_per_group
-
     top = top_k_per_group(w, "topic", L.TOP_N_WORDS, [F.col("weight").desc(), F.col("term")], rank_col="rank")
     return top.select("topic", "term", "rank", F.round("weight", 6).alias("weight"))
 
@@ -158,9 +174,10 @@ FROM sizes s LEFT JOIN words w ON s.topic = w.topic LEFT JOIN ex ON s.topic = ex
 def q_topic_info(spark, sf_dir):
     """M7: per topic its size, ``<id>_<w1>_<w2>_<w3>_<w4>`` name, keywords and
     the ids of its three representative documents."""
-    w = weights(spark, sf_dir)
-    info = TP.topic_info(topic_docs(spark, sf_dir), TP.topic_keywords(w, L.TOP_N_WORDS))
-    examples = TP.example_docs(TP.representative_texts(occurrences(spark, sf_dir), w, 3))
+    docs = written_docs(spark, sf_dir)
+    w = weights_of(docs)
+    info = TP.topic_info(docs, TP.topic_keywords(w, L.TOP_N_WORDS))
+    examples = TP.example_docs(TP.representative_texts(occurrences_of(docs), w, 3))
     return info.join(examples, "topic", "left")
 
 
@@ -330,40 +347,77 @@ def q_representative_texts(spark, sf_dir):
 SUMMARY_KEYWORDS = 8
 
 
-def topic_summary(spark, sf_dir):
-    """K8 topics table: id, name, size, keywords, representative excerpt, industry."""
-    w = weights(spark, sf_dir)
-    occ = occurrences(spark, sf_dir)
-    docs = topic_docs(spark, sf_dir)
-    info = TP.topic_info(docs, TP.topic_keywords(w, L.TOP_N_WORDS))
-    kw8 = TP.topic_keywords(w, SUMMARY_KEYWORDS).select("topic", F.col("keywords").alias("kw8"))
-    rep = TP.representative_texts(occ, w, 1).select("topic", "doc_id")
-    texts = docs.select("doc_id", "topic_text")
-    rep_text = rep.join(texts, "doc_id").select("topic", T.excerpt("topic_text", L.EXCERPT_CHARS).alias("doc"))
-    return (
-        info.join(kw8, "topic", "left").join(rep_text, "topic", "left")
-        .select(F.col("topic").alias("topic_id"), F.col("name").alias("final_topic"),
-                F.col("count").alias("topic_size"), F.col("kw8").alias("keywords"),
-                F.col("doc").alias("representative_doc"), F.col("topic").alias("industry"))
-    )
+def source_labels(spark):
+    """Curated labels keyed as the sources are named: source N plays topic N."""
+    return topic_label_table(spark).select(
+        F.concat(F.lit("src"), F.col("topic").cast("string")).alias("topic"), "topic_name", "industry_label")
+
 
+def most_frequent_tag(docs, dictionary, out):
+    """(topic, ``out``): the label that most of the topic's articles carry
+    (ties: first by name)."""
+    arts = tagging.with_phrases(docs.select("article_id", "topic", "text_clean"), dictionary)
+    counts = tagging.tag_counts(tagging.tag_articles(arts, "text_clean", {out: dictionary}), "topic", out)
+    return top_k_per_group(counts, "topic", 1, [F.col("count").desc(), F.col(out)]).select("topic", out)
 
-@register("dashboard_topics", f"""
+
+def topic_summary(spark, sf_dir, excerpt=lambda c: T.excerpt(c, L.EXCERPT_CHARS)):
+    """K8 topics table: id, name, size, keywords, text of the best representative
+    (cut by ``excerpt``), curated industry, most frequent technology and impact
+    tag.  The cleaned articles are written once and read by every part."""
+    docs = written_docs(spark, sf_dir)
+    w = weights_of(docs)
+    info = TP.topic_info(docs, TP.topic_keywords(w, L.TOP_N_WORDS)).select("topic", "name", "count")
+    kw8 = TP.topic_keywords(w, SUMMARY_KEYWORDS).select("topic", "keywords")
+    rep = TP.representative_texts(occurrences_of(docs), w, 1).select("topic", "doc_id")
+    rep_text = rep.join(docs.select("doc_id", "topic_text"), "doc_id").select(
+        "topic", excerpt(F.col("topic_text")).alias("representative_doc"))
+    out = info.join(source_labels(spark).select("topic", "industry_label"), "topic", "left")
+    for part in (kw8, rep_text, most_frequent_tag(docs, L.TECHNOLOGY_KEYWORDS, "technology"),
+                 most_frequent_tag(docs, L.IMPACT_KEYWORDS, "impact_mode")):
+        out = out.join(part, "topic", "left")
+    return out.select(
+        F.col("topic").alias("topic_id"), F.col("name").alias("final_topic"), F.col("count").alias("topic_size"), "keywords",
+        "representative_doc", F.col("industry_label").alias("industry"), "technology", "impact_mode")
+
+
+def _top_tag_sql(counts_sql, tag_col):
+    return (f"SELECT industry_label AS topic, {tag_col} AS tag FROM (SELECT *, row_number() OVER (PARTITION BY industry_label "
+            f"ORDER BY count DESC, {tag_col}) AS rn FROM ({counts_sql})) WHERE rn = 1")
+
+
+def _summary_sql(doc):
+    return f"""
 WITH {OCC_SQL}, {WEIGHTS_SQL}, {REP_SQL},
+labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES}),
 words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
 sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic),
-r1 AS (SELECT rep.topic, substr(d.tt, 1, {L.EXCERPT_CHARS}) || '...' AS doc FROM rep JOIN d ON rep.doc_id = d.doc_id
-       WHERE rep.rank = 1)
+r1 AS (SELECT rep.topic, {doc} AS doc FROM rep JOIN d ON rep.doc_id = d.doc_id WHERE rep.rank = 1),
+tech AS ({_top_tag_sql(tagging.TECHNOLOGY_SQL, "technologies")}),
+imp AS ({_top_tag_sql(tagging.IMPACT_SQL, "impact_modes")})
 SELECT s.topic AS topic_id, s.topic || '_' || array_to_string(w.words[1:4], '_') AS final_topic,
        s.count AS topic_size, array_to_string(w.words[1:{SUMMARY_KEYWORDS}], ', ') AS keywords,
-       r1.doc AS representative_doc, s.topic AS industry
+       r1.doc AS representative_doc, l.industry_label AS industry, tech.tag AS technology, imp.tag AS impact_mode
 FROM sizes s LEFT JOIN words w ON s.topic = w.topic LEFT JOIN r1 ON s.topic = r1.topic
-""")
+     LEFT JOIN labels_dim l ON s.topic = 'src' || l.topic LEFT JOIN tech ON s.topic = tech.topic LEFT JOIN imp ON s.topic = imp.topic
+"""
+
+
+@register("dashboard_topics", _summary_sql(f"substr(d.tt, 1, {L.EXCERPT_CHARS}) || '{L.EXCERPT_SUFFIX}'"))
 def q_dashboard_topics(spark, sf_dir):
     """K8: the dashboard's topic table (8 keywords, 160-character excerpt)."""
     return topic_summary(spark, sf_dir)
 
 
+@register("topic_summary", _summary_sql(f"substr(d.tt, 1, {L.SUMMARY_DOC_CHARS})"))
+def q_topic_summary(spark, sf_dir):
+    """K8 + C22: the topic summary with the first 500 characters of the best
+    representative, written as a CSV report and read back."""
+    summary = topic_summary(spark, sf_dir, lambda c: T.left(c, L.SUMMARY_DOC_CHARS))
+    path = write_report_csv(summary, scratch_path(spark, "topic_summary"), single=False)
+    return spark.read.schema(summary.schema).options(header=True, escape='"', multiLine=True).csv(path)
+
+
 @register("headline_stats", f"""
 WITH d AS (SELECT source AS topic FROM documents WHERE {EN_LEN_SQL}),
 labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES}),
@@ -375,27 +429,29 @@ FROM s LEFT JOIN labels_dim l ON CAST(substr(s.topic, 4) AS INTEGER) = l.topic
 def q_headline_stats(spark, sf_dir):
     """Total curated articles, number of topics, industries covered."""
     sizes = english_articles(spark, sf_dir).groupBy(F.col("source").alias("topic")).agg(F.count(F.lit(1)).alias("topic_size"))
-    # source N plays topic N, whose industry is in the curated label table
-    labels = topic_label_table(spark).select(F.concat(F.lit("src"), F.col("topic").cast("string")).alias("topic"), "industry_label")
-    return sizes.join(labels, "topic", "left").agg(
+    return sizes.join(source_labels(spark), "topic", "left").agg(
         F.sum("topic_size").alias("total_articles"), F.count(F.lit(1)).alias("topics"),
         F.count_distinct("industry_label").alias("industries"))
 
 
 @register("topic_table", f"""
 WITH {OCC_SQL}, {WEIGHTS_SQL},
+labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES}),
 words AS (SELECT topic, list(term ORDER BY rank) AS words FROM kw GROUP BY topic),
-sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic)
-SELECT s.topic AS final_topic, array_to_string(w.words[1:4], ', ') AS tags,
-       s.topic AS industry, format('{{:,}}', s.count) AS articles
-FROM sizes s LEFT JOIN words w ON s.topic = w.topic
+sizes AS (SELECT topic, count(*) AS count FROM d GROUP BY topic),
+tech AS ({_top_tag_sql(tagging.TECHNOLOGY_SQL, "technologies")}),
+imp AS ({_top_tag_sql(tagging.IMPACT_SQL, "impact_modes")})
+SELECT s.topic AS final_topic, array_to_string(w.words[1:4], ', ') AS tags, l.industry_label AS industry,
+       tech.tag AS technology, imp.tag AS impact_mode, format('{{:,}}', s.count) AS articles
+FROM sizes s LEFT JOIN words w ON s.topic = w.topic LEFT JOIN labels_dim l ON s.topic = 'src' || l.topic
+     LEFT JOIN tech ON s.topic = tech.topic LEFT JOIN imp ON s.topic = imp.topic
 """)
 def q_topic_table(spark, sf_dir):
-    """K9 topic detail rows: first four keywords (C17), size with thousands
-    separators (C18)."""
-    info = TP.topic_info(topic_docs(spark, sf_dir), TP.topic_keywords(weights(spark, sf_dir), L.TOP_N_WORDS))
-    return info.select(F.col("topic").alias("final_topic"), T.head_of_list("keywords", 4).alias("tags"),
-                       F.col("topic").alias("industry"), T.thousands("count").alias("articles"))
+    """K9 topic detail rows: first four keywords (C17), curated industry, main
+    technology and impact, size with thousands separators (C18)."""
+    return topic_summary(spark, sf_dir).select(
+        F.col("topic_id").alias("final_topic"), T.head_of_list("keywords", 4).alias("tags"), "industry", "technology",
+        "impact_mode", T.thousands("topic_size").alias("articles"))
 
 
 @register("industry_labels", f"""
@@ -410,6 +466,4 @@ def q_industry_labels(spark, sf_dir):
     data, with the file-name-safe form of each label."""
     docs = embedding_topics(spark, sf_dir).select("topic")
     curated = keep_curated(label_topics(docs, topic_label_table(spark), "topic"))
-    from ..operators.aggregates import distinct_values
-
     return distinct_values(curated, "industry_label").withColumn("file_label", T.safe_label("industry_label"))

@@ -34,9 +34,10 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
 
 
 def write_report_csv(df: DataFrame, path: str, single: bool = True) -> str:
-    """A5: report as CSV with a header; quotes doubled.  ``single``: one file,
-    for reports whose size does not follow the data; else one per task."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A5: report as CSV with a header; quotes doubled, outer spaces kept.  ``single``:
+    one file, for reports whose size does not follow the data; else one per task."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
 

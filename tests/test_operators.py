@@ -229,4 +229,40 @@ def test_quantile_is_exact_also_in_tie_blocks(spark):
     vals = [rnd.random() for _ in range(3000)] + [0.5] * 1500
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for q in (0.0, 0.1, 0.3, 0.45, 0.5, 0.7, 0.999, 1.0):
-        assert R.quantile(df, "x", q, accuracy=100) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+        assert R.quantile(df, "x", q, n_bins=16) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+
+
+@pytest.mark.parametrize("n_bins", [2, 4096])
+def test_order_statistics_of_odd_distributions(spark, n_bins):
+    """Infinities, both zeros, subnormal and huge numbers, neighbours in the last bit, ties."""
+    one = 1.0
+    values = [float("-inf"), -1.7e308, -1e-320, -0.0, 0.0, 5e-324, one, np.nextafter(one, 2), np.nextafter(one, 2), 1e300, 1.7e308,
+              float("inf"), float("inf")] + [3.5] * 40
+    want = sorted(values)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(3)
+    for rank in [0, 1, 2, 4, 5, 6, 7, 8, 9, 30, 48, 49, 50, 51, 52]:
+        got = R.order_statistics(df, "x", rank, n_bins)
+        assert got == (want[rank], want[min(rank + 1, len(want) - 1)]), rank
+
+
+def test_quantile_ignores_nulls_and_counts_nan_as_largest(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (2.0,), (float("nan"),)], "x double")
+    assert R.quantile(df, "x", 0.5) == 2.0 and np.isnan(R.quantile(df, "x", 1.0))
+    assert R.quantile(df.filter("x is null"), "x", 0.5) is None
+
+
+def test_quantile_plan_sorts_no_rows(spark):
+    """Every counting pass is an aggregate: nothing is ordered and no limit is taken."""
+    df = spark.range(5000).selectExpr("cast(id * id as double) as x")
+    seen = []
+    collect = type(df).toPandas
+
+    def watched(frame):
+        seen.append(frame._jdf.queryExecution().executedPlan().toString())
+        return collect(frame)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "toPandas", watched)
+        assert R.quantile(df, "x", 0.25) == float(np.quantile(np.arange(5000.0) ** 2, 0.25))
+    assert 1 < len(seen) <= 7
+    assert not any(word in plan for plan in seen for word in ("TakeOrderedAndProject", "Sort ", "Window"))

@@ -86,3 +86,11 @@ def test_dates_of_common_forms(spark):
     stamp = dt.datetime(2022, 1, 1, 10, 0, 0, 123000)
     df = spark.createDataFrame([(stamp,)], "t timestamp")
     assert df.select(parse_date(F.col("t"), "timestamp")).first()[0] == stamp
+
+
+def test_csv_report_keeps_outer_spaces_quotes_and_line_breaks(spark):
+    rows = [("a", " lead and trail "), ("b", 'say "no", twice'), ("c", "two\nlines"), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    path = W.write_report_csv(df, W.scratch_path(spark, "csv"))
+    back = spark.read.schema(df.schema).options(header=True, escape='"', multiLine=True).csv(path)
+    assert sorted(map(tuple, back.collect())) == rows
