@@ -5,12 +5,16 @@ non-ASCII bytes) joined by single spaces.  A rule runs only on texts that hold
 all its keywords.  Every match is a detection; one that lies inside a detection
 of higher priority (or of equal priority, longer or earlier in rule order) is
 suppressed, so "mit license" does not count again inside "licensed under the
-mit license".
+mit license".  A detection that says less than another of the same notice (a
+name without version near one with, "all rights reserved" near any licence) is
+suppressed too; base phrases are always counted.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +43,23 @@ class Rule:
     keywords: frozenset      # words a text must hold for the pattern to be tried
     pattern: str             # over words joined by single spaces
     base: bool = False
+    identifier: str = ""     # SPDX identifier as words, for the further terms of an expression
 
 
+# Words between two detections of one notice.
+NOTICE_WORDS = 100
+
+# What a label says less than, within a notice.  "proprietary" says less than any.
+GENERAL = {
+    "apache": ("apache-1.1", "apache-2"),
+    "gpl": ("gpl-2", "gpl-3"),
+    "lgpl": ("lgpl-2", "lgpl-2.1", "lgpl-3"),
+    "agpl": ("agpl-3",),
+    "bsd": ("bsd-0", "bsd-2", "bsd-3", "bsd-4"),
+    "mpl": ("mpl-1.1", "mpl-2"),
+    "epl": ("epl-1", "epl-2"),
+}
+
 # The phrases of the contract.
 BASE_PHRASES = [
     ("under the mit license", "mit"),
@@ -85,9 +104,9 @@ NAMES = [
     *_gnu("agpl-3", "agpl", 3, "(?: 0)?", "agpl 3 0(?: only| or later)?"),
     ("agpl", "agpl", r"(?:gnu )?agpl", None),
     ("agpl", "affero", r"(?:gnu )?affero general public", "agpl"),
-    ("bsd-2", "bsd", r"(?:simplified |freebsd )?(?:bsd 2 clause|2 clause bsd)", "bsd 2 clause"),
-    ("bsd-3", "bsd", r"(?:new |modified |revised )?(?:bsd 3 clause|3 clause bsd)", "bsd 3 clause"),
-    ("bsd-4", "bsd", r"(?:original )?(?:bsd 4 clause|4 clause bsd)", "bsd 4 clause"),
+    ("bsd-2", "bsd", r"(?:simplified |freebsd )?(?:bsd 2 clause(?: simplified| freebsd)?|2 clause bsd)", "bsd 2 clause"),
+    ("bsd-3", "bsd", r"(?:new |modified |revised )?(?:bsd 3 clause(?: new or revised| new| modified| revised)?|3 clause bsd)", "bsd 3 clause"),
+    ("bsd-4", "bsd", r"(?:original )?(?:bsd 4 clause(?: original or old| original| old)?|4 clause bsd)", "bsd 4 clause"),
     ("bsd-0", "bsd", r"(?:zero clause bsd|bsd zero clause)", "0bsd"),
     ("bsd-0", "0bsd", r"0bsd", None),
     ("bsd", "bsd", r"bsd(?: style)?", "bsd"),
@@ -132,7 +151,7 @@ NAMES = [
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa", "ncsa"),
     ("upl", "universal", r"universal permissive", "upl 1 0"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation", "gfdl 1 [123]"),
-    ("cc0", "cc0", r"cc0(?: 1 0)?", "cc0 1 0"),
+    ("cc0", "cc0", r"cc0(?: 1 0(?: universal)?)?", "cc0 1 0"),
     ("cc-by", "cc", rf"cc by{_CC}", "cc by [1234] [05]"),
     ("cc-by-sa", "cc", rf"cc by sa{_CC}", "cc by sa [1234] [05]"),
     ("cc-by-nd", "cc", rf"cc by nd{_CC}", "cc by nd [1234] [05]"),
@@ -174,6 +193,49 @@ VERSIONED = [(label, keys, rf"{name} licen[cs]e {version}") for label, keys, nam
     ("epl-2", "eclipse public", "eclipse public", _major(2)),
 ]]
 
+# Creative Commons names that need no word licence beside them: (label, keywords, pattern).
+_CC_VERSION = r"[1234] [05](?: international| unported| generic)?"
+BARE = [
+    ("cc-by", "cc by", rf"cc by {_CC_VERSION}"),
+    ("cc-by-sa", "cc by sa", rf"cc by sa {_CC_VERSION}"),
+    ("cc-by-nd", "cc by nd", rf"cc by nd {_CC_VERSION}"),
+    ("cc-by-nc", "cc by nc", rf"cc by nc {_CC_VERSION}"),
+    ("cc-by-nc-sa", "cc by nc sa", rf"cc by nc sa {_CC_VERSION}"),
+    ("cc-by-nc-nd", "cc by nc nd", rf"cc by nc nd {_CC_VERSION}"),
+    ("cc-by", "creative commons attribution", rf"creative commons attribution {_CC_VERSION}"),
+    ("cc-by-sa", "creative commons attribution", rf"creative commons attribution share ?alike {_CC_VERSION}"),
+    ("cc-by-nd", "creative commons attribution", rf"creative commons attribution no ?deriv(?:ative)?s {_CC_VERSION}"),
+    ("cc-by-nc", "creative commons attribution", rf"creative commons attribution non ?commercial {_CC_VERSION}"),
+    ("cc-by-nc-sa", "creative commons attribution", rf"creative commons attribution non ?commercial share ?alike {_CC_VERSION}"),
+    ("cc-by-nc-nd", "creative commons attribution", rf"creative commons attribution non ?commercial no ?deriv(?:ative)?s {_CC_VERSION}"),
+    ("cc0", "cc0", r"(?:creative commons )?cc0 1 0(?: universal)?"),
+    ("cc0", "creative commons zero", r"creative commons zero (?:v1|1) 0(?: universal)?"),
+]
+
+# File headers that state the version after the name: (label, keywords, pattern).
+_TERMS = r"(?:(?:you can redistribute it and or modify it )?under the terms of )?(?:the )?"
+_FSF = r"as published by the free software foundation"
+_GNU_HEADER = "general published foundation"
+HEADERS = [
+    ("gpl-2", _GNU_HEADER, rf"{_TERMS}gnu general public licen[cs]e {_FSF} (?:either )?version 2(?: 0)?(?: of the licen[cs]e)?"),
+    ("gpl-3", _GNU_HEADER, rf"{_TERMS}gnu general public licen[cs]e {_FSF} (?:either )?version 3(?: 0)?(?: of the licen[cs]e)?"),
+    ("gpl-2", _GNU_HEADER, rf"{_TERMS}gnu general public licen[cs]e {_major(2)} {_FSF}"),
+    ("gpl-3", _GNU_HEADER, rf"{_TERMS}gnu general public licen[cs]e {_major(3)} {_FSF}"),
+    ("lgpl-2", _GNU_HEADER + " library",
+     rf"{_TERMS}gnu library general public licen[cs]e {_FSF} (?:either )?version 2(?: 0)?(?: of the licen[cs]e)?"),
+    ("lgpl-2.1", _GNU_HEADER + " lesser",
+     rf"{_TERMS}gnu lesser general public licen[cs]e {_FSF} (?:either )?version 2 1(?: of the licen[cs]e)?"),
+    ("lgpl-3", _GNU_HEADER + " lesser",
+     rf"{_TERMS}gnu lesser general public licen[cs]e {_FSF} (?:either )?version 3(?: 0)?(?: of the licen[cs]e)?"),
+    ("lgpl-2.1", _GNU_HEADER + " lesser", rf"{_TERMS}gnu lesser general public licen[cs]e (?:v |version )?(?:v2|2) 1 {_FSF}"),
+    ("lgpl-3", _GNU_HEADER + " lesser", rf"{_TERMS}gnu lesser general public licen[cs]e {_major(3)} {_FSF}"),
+    ("agpl-3", _GNU_HEADER + " affero",
+     rf"{_TERMS}gnu affero general public licen[cs]e {_FSF} (?:either )?version 3(?: 0)?(?: of the licen[cs]e)?"),
+    ("agpl-3", _GNU_HEADER + " affero", rf"{_TERMS}gnu affero general public licen[cs]e {_major(3)} {_FSF}"),
+    ("bsd-0", "copy fee granted", r"permission to use copy modify and or distribute this software for any purpose with or without "
+                                  r"fee is hereby granted the software is provided as is"),
+]
+
 # Sentences of licence texts: (label, keywords, pattern).  "apache" tells the
 # first of apache-2 from other licences that hold it.
 TEXTS = [
@@ -205,24 +267,32 @@ TEXTS = [
 
 def default_rules() -> list[Rule]:
     """The base phrases, then every name in every form, then the versioned
-    names, then the sentences."""
+    names, the bare names, the headers and the sentences."""
     out = [Rule(f"base:{p}", label, 70, frozenset(p.split()), p, True) for p, label in BASE_PHRASES]
     for label, key, name, spdx in NAMES:
         for form, priority, extra, pattern in FORMS:
             if (spdx if form == "spdx" else name) is None:
                 continue
             keys = frozenset(extra) if form == "spdx" else frozenset((*key.split(), *extra))
-            out.append(Rule(f"{form}:{label}:{key}", label, priority, keys, pattern.format(n=f"(?:{name})", s=spdx)))
+            out.append(Rule(f"{form}:{label}:{key}", label, priority, keys, pattern.format(n=f"(?:{name})", s=spdx),
+                            identifier=spdx if form == "spdx" else ""))
     for label, keys, name in VERSIONED:
         for form, priority, extra, before in (("under", 80, ("under",), "under (?:the )?(?:terms of (?:the )?)?"), ("named", 60, (), "")):
             for verb in ("", "licensed ", "released ", "distributed ") if extra else ("",):
                 prio = {"licensed ": 90, "released ": 85, "distributed ": 85}.get(verb, priority)
                 words = frozenset((*keys.split(), *extra, *verb.split()))
                 out.append(Rule(f"{verb.strip() or form}-version:{label}", label, prio, words, f"{verb}{before}{name}"))
+    out += [Rule(f"bare:{label}:{i}", label, 60, frozenset(keys.split()), p) for i, (label, keys, p) in enumerate(BARE)]
+    out += [Rule(f"header:{label}:{i}", label, 96, frozenset(keys.split()), p) for i, (label, keys, p) in enumerate(HEADERS)]
     out += [Rule(f"text:{label}:{i}", label, 95, frozenset(keys), p) for i, (label, keys, p) in enumerate(TEXTS)]
     return out
 
 
+_SPDX = re.compile(rb"(?<![^ ])spdx licen[cs]e identifier(?= )")
+_EXCEPTION = re.compile(rb" with(?: [^ ]+){1,4}? (?:exception|note)(?: [0-9] [0-9])?(?![^ ])")
+_JOIN = re.compile(rb" (?:or|and)(?= )")
+
+
 class Scanner:
     """Compiled rules, filed under one of their keywords."""
 
@@ -233,6 +303,48 @@ class Scanner:
             keys = frozenset(k.encode() for k in r.keywords)
             regex = re.compile(rb"(?<![^ ])(?:" + r.pattern.encode() + rb")(?![^ ])")
             self.by_key.setdefault(max(keys, key=lambda k: (len(k), k)), []).append((i, keys, regex))
+        self.identifiers = [(i, re.compile(rb" (?:" + r.identifier.encode() + rb")(?![^ ])"))
+                            for i, r in enumerate(rules) if r.identifier]
+
+    def further_terms(self, line: bytes) -> Iterator[tuple]:
+        """Start, end and rule of the second and later identifiers of SPDX
+        expressions (joined by OR and AND, exceptions after WITH passed over)."""
+        for head in _SPDX.finditer(line):
+            at, first = head.end(), True
+            while True:
+                terms = [(m.end(), -i) for i, regex in self.identifiers if (m := regex.match(line, at))]
+                if not terms:
+                    break
+                end, i = max(terms)
+                if not first:
+                    yield at + 1, end, -i
+                exception = _EXCEPTION.match(line, end)
+                join = _JOIN.match(line, exception.end() if exception else end)
+                if join is None:
+                    break
+                at, first = join.end(), False
+
+    def _general(self, found: list[tuple]) -> list[tuple]:
+        """Detections that say less than a kept one of the same notice are not kept."""
+        places = defaultdict(list)  # label -> first words, ascending; "" stands for any licence
+        for i, first, _, kept in found:
+            label = self.rules[i].label
+            if kept:
+                places[label].append(first)
+                if label != "proprietary":
+                    places[""].append(first)
+
+        def near(label: str, first: int) -> bool:
+            at = places[label]
+            k = bisect_left(at, first - NOTICE_WORDS)
+            return k < len(at) and at[k] <= first + NOTICE_WORDS
+
+        out = []
+        for i, first, last, kept in found:
+            label = self.rules[i].label
+            fuller = ("",) if label == "proprietary" else GENERAL.get(label, ())
+            out.append((i, first, last, kept and (self.rules[i].base or not any(near(f, first) for f in fuller))))
+        return out
 
     def scan(self, text: bytes) -> tuple[int, list[tuple]]:
         """Number of words; (rule, first word, last word, kept) by place."""
@@ -247,6 +359,8 @@ class Scanner:
             return len(words), []
         line = b" ".join(words)
         found = [(m.start(), m.end(), i) for i, regex in hits for m in regex.finditer(line)]
+        if b"spdx" in have:
+            found += self.further_terms(line)
         if not found:
             return len(words), []
         found.sort(key=lambda d: (d[0], -d[1], -self.rules[d[2]].priority, d[2]))
@@ -259,7 +373,7 @@ class Scanner:
             reach[p] = max(reach.get(p, 0), end)
             first, last = np.searchsorted(ends, [start, end - 1], "right")
             out.append((i, int(first), int(last), not inside))
-        return len(words), out
+        return len(words), self._general(out)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -487,6 +487,93 @@ def test_licence_names(text, label):
     assert {rules[i].label for i, _, _, keep in found if keep} == {label}
 
 
+GPL_HEADER = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License "
+              "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later "
+              "version. It is distributed in the hope that it will be useful; see the GNU {} Public License for more details.")
+BSD_TEXT = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+ZERO_BSD = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            'granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES')
+ISC_TEXT = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+NOTICES = [
+    (GPL_HEADER.format("General", "3", "General"), "gpl-3"), (GPL_HEADER.format("General", "2", "General"), "gpl-2"),
+    (GPL_HEADER.format("Lesser General", "2.1", "Lesser General"), "lgpl-2.1"),
+    (GPL_HEADER.format("Affero General", "3", "Affero General"), "agpl-3"),
+    ("you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the "
+     "Free Software Foundation.", "gpl-2"),
+    (ZERO_BSD, "bsd-0"), (ISC_TEXT, "isc"),
+    ("Copyright (c) 2011, A. Author. All rights reserved. " + BSD_TEXT, "bsd"),
+    ("Copyright (c) 2011, A. Author. All rights reserved.", "proprietary"),
+    ("All rights reserved. " + "word " * 150 + "MIT License", "mit,proprietary"),
+    (BSD_TEXT + " ... Neither the name of the author nor the names of its contributors may be used to endorse or promote products",
+     "bsd-3"),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2,mit"),
+    ("SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0 OR MIT) AND BSD-3-Clause", "bsd-3,gpl-2,mit"),
+    ("SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception", "apache-2"),
+    ("SPDX-License-Identifier: MIT and so on", "mit"),
+    ("text: CC BY-SA 4.0", "cc-by-sa"), ("CC0 1.0 Universal", "cc0"), ("cc by nc sa 4.0", "cc-by-nc,cc-by-nc-sa"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa"), ("Creative Commons Zero v1.0 Universal", "cc0"),
+    ('BSD 2-Clause "Simplified" License', "bsd-2"), ('BSD 3-Clause "New" or "Revised" License', "bsd-3"),
+    ("the GPL license", "gpl"), ("we sell 4.0 things by the mile", ""),
+]
+
+
+@pytest.mark.parametrize("text, labels", NOTICES)
+def test_licence_notices(text, labels):
+    rules = license_scan.default_rules()
+    found = license_scan.Scanner(rules).scan(text.encode())[1]
+    assert ",".join(sorted({rules[i].label for i, _, _, keep in found if keep})) == labels
+
+
+def brute_scan(rules, compiled, text):
+    """Every rule on every text, every pair of detections compared."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(ASCII_LOWER))
+    line = " ".join(words)
+    found = [(m.start(), m.end(), k) for k, regex in enumerate(compiled) for m in regex.finditer(line)]
+    for m in re.finditer(r"(?<![^ ])spdx licen[cs]e identifier ", line):
+        rest = re.sub(r" with (?:[^ ]+ ){1,4}?(?:exception|note)(?: \d \d)?(?![^ ])", lambda x: "\0" * len(x[0]), line[m.end():])
+        at = m.end()
+        for n, part in enumerate(re.split(r"( (?:or|and) )", rest)):
+            term = part.rstrip("\0")
+            if n % 2 == 0:
+                fits = [(len(x[0]), -k) for k, r in enumerate(rules) if r.identifier for x in [re.match(f"(?:{r.identifier})(?![^ ])", term)] if x]
+                if not fits:
+                    break
+                if n:
+                    found.append((at, at + max(fits)[0], -max(fits)[1]))
+                if max(fits)[0] < len(term):
+                    break
+            at += len(part)
+    place = lambda c: line[:c].count(" ")
+    rank = lambda d: (-rules[d[2]].priority, d[0] - d[1], d[2])
+    out = [(k, place(a), place(b - 1), not any(
+        e != (a, b, k) and e[0] <= a and e[1] >= b and rules[e[2]].priority >= rules[k].priority
+        and ((e[0], e[1]) != (a, b) or rank(e) < rank((a, b, k))) for e in found)) for a, b, k in found]
+    kept = [(rules[k].label, a) for k, a, _, keep in out if keep]
+
+    def says_less(k, a):
+        label = rules[k].label
+        fuller = [x for x, _ in kept if x != "proprietary"] if label == "proprietary" else license_scan.GENERAL.get(label, ())
+        return any(x in fuller and abs(b - a) <= license_scan.NOTICE_WORDS for x, b in kept)
+
+    return len(words), sorted((k, a, b, keep and (rules[k].base or not says_less(k, a))) for k, a, b, keep in out)
+
+
+def test_scan_equals_brute_force():
+    rules = license_scan.default_rules()
+    scanner = license_scan.Scanner(rules)
+    compiled = [re.compile(f"(?<![^ ])(?:{r.pattern})(?![^ ])") for r in rules]
+    rng = random.Random(5)
+    cases = [d["text"] for d in texts(SF_MID) if re.search("licen|reserved", d["text"] or "", re.I)][:40] + [t for t, _ in NOTICES]
+    cases += [" ".join(rng.choice(NOTICES)[0] + " x" * rng.choice([0, 3, 90, 101]) for _ in range(4)) for _ in range(60)]
+    seen = set()
+    for text in cases:
+        n, found = scanner.scan(text.encode())
+        assert (n, sorted(found)) == brute_scan(rules, compiled, text), text
+        seen |= {(rules[i].label, keep) for i, _, _, keep in found}
+    assert len(seen) > 25
+
+
 def test_licences_of_odd_rows(spark, odd_docs, no_docs):
     rows = {r["doc_id"]: r for r in license_scan.scan_licenses(odd_docs).collect()}
     assert rows[3]["n_words"] == rows[4]["n_words"] == 0 and rows[3]["detections"] == []
