@@ -115,9 +115,12 @@ class Classifier:
         z = np.exp(z - z.max(1, keepdims=True))
         return h, z / z.sum(1, keepdims=True)
 
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        return self._forward(x)[1]
+
     def ranked(self, x: np.ndarray) -> np.ndarray:
         """Parts, the most probable first."""
-        return np.argsort(-self._forward(x)[1], axis=1, kind="stable")
+        return np.argsort(-self.probabilities(x), axis=1, kind="stable")
 
 
 def probes_needed(model: Classifier, x: np.ndarray, queries: np.ndarray, parts: int, k: int) -> int:
@@ -156,14 +159,14 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
     """``query_id, rank, vec_id, score``: for each row whose id ``every``
     divides, the ``k`` other rows with the largest inner product found (all, if
     there are at most ``k``), nearest first, ties to the smaller id.  Candidates
-    are the rows of the probed parts and the sample.
+    are the rows of the probed parts and of the query's own block; parts are
+    probed until they hold more than ``k`` rows.
 
     ``score`` is the inner product of the original vectors in doubles, added up in
     one order for all pairs.  Rows
     with a null id or vector, a zero vector, no component, or a null or
     non-finite one take no part.  Vectors shorter than the longest count as
-    padded with zeros.  Rows that repeat an id count once.  Tables below SAMPLE
-    / 8 rows are searched whole.  Empty tables give an empty result; other
+    padded with zeros.  Rows that repeat an id count once.  Empty tables give an empty result; other
     columns are ignored, whatever their names.
     """
     vec = F.col(f"`{vec_col}`")
@@ -187,8 +190,6 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
     packed = materialize(rows.mapInArrow(raw, "vec_id long, vec binary"), "ann_vectors")
     known = V.sample(packed, SAMPLE, dim, dtype)
     model, parts, probes = fit(known[1].astype(np.float64), n, k) if len(known[0]) else (None, 1, 1)
-    if n <= max(SAMPLE // 8, (k + 1) * parts) or len(known[0]) <= k:
-        probes = parts
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,15 +201,33 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vec_
 
     assigned = packed.mapInArrow(assign, "vec_id long, cell int, key double, vec binary")
     blocks = V.pack(assigned, n, k, every, product, dtype)
-    # The directory: two numbers for each V.BLOCK vectors.
-    directory = blocks.select("block", "cell").toArrow()
+    # The directory: three numbers for each V.BLOCK vectors.
+    directory = blocks.select("block", "cell", (F.length("ids") / 8).cast("long").alias("n")).toArrow()
     number, cells = directory["block"].to_numpy(), directory["cell"].to_numpy()
+    sizes = np.bincount(cells, weights=directory["n"].to_numpy(), minlength=parts)
+
+    def probed(q: np.ndarray) -> np.ndarray:
+        """Whether each query's rows are looked for in each part."""
+        order = model.ranked(q.astype(np.float64))
+        enough = (np.cumsum(sizes[order], axis=1) <= k).sum(1) + 1
+        out = np.zeros(order.shape, bool)
+        np.put_along_axis(out, order, np.arange(parts) < np.maximum(probes, enough)[:, None], 1)
+        return out
 
     def route(q: np.ndarray, floors: np.ndarray):
-        order = model.ranked(q.astype(np.float64))[:, :probes]
-        for part in np.unique(order):
-            go = np.flatnonzero((order == part).any(axis=1))
+        visits = probed(q)
+        for part in np.flatnonzero(visits.any(axis=0)):
+            go = np.flatnonzero(visits[:, part])
             for block in number[cells == part]:
                 yield block, go
 
-    return V.search(blocks, k, route, product, dtype, known, approximate=True)
+    if len(known[0]):
+        p = model.probabilities(known[1].astype(np.float64))
+        home = p.argmax(1)
+        # rows between two parts may have been placed in either
+        sure = np.ones(len(p), bool) if parts == 1 else np.diff(np.sort(p, 1)[:, -2:], axis=1)[:, 0] > 1e-9
+
+    def meets(q: np.ndarray) -> np.ndarray:
+        return probed(q)[:, home] & sure
+
+    return V.search(blocks, k, route, product, dtype, known, meets)

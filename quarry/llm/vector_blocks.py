@@ -155,7 +155,7 @@ def pack(assigned: DataFrame, n_rows: int, k: int, every: int, product: Callable
 
 
 def search(blocks: DataFrame, k: int, route: Callable, product: Callable, dtype: type,
-           known: tuple[np.ndarray, np.ndarray], approximate: bool = False) -> DataFrame:
+           known: tuple[np.ndarray, np.ndarray], meets: Callable | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best candidates of each query.
 
     ``known`` are a few (ids, vectors) of the table.  A query's k-th best among
@@ -164,9 +164,10 @@ def search(blocks: DataFrame, k: int, route: Callable, product: Callable, dtype:
     of the queries that go there); a query bundle meets its block by an
     equi-join on the block's number.
 
-    An ``approximate`` route may leave out the blocks of rows that set the
-    floor.  Then each query also meets its own block, and its k best of
-    ``known`` are candidates, so that no floor costs it rows.
+    A route that leaves blocks out by guess gives ``meets(queries)``: whether each
+    query is sure to meet each row of ``known`` (query x row).  Only such rows set
+    floors, and each query also meets its own block, so that no floor is
+    above what the query finds.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +187,14 @@ def search(blocks: DataFrame, k: int, route: Callable, product: Callable, dtype:
                     ids = all_ids[a:a + 256]
                     vecs = np.frombuffer(row["query_vecs"], dtype).reshape(len(all_ids), -1)[a:a + 256]
                     floors, ties = np.frombuffer(row["floors"])[a:a + 256], np.frombuffer(row["ties"], np.int64)[a:a + 256]
-                    level, tie = kth(product(vecs, known[1]), known[0], ids, k)
+                    level, tie = product(vecs, known[1]), known[0]
+                    if meets is not None:
+                        level = np.where(meets(vecs), level, -np.inf)
+                    level, tie = kth(level, tie, ids, k)
                     better = (level > floors) | ((level == floors) & (tie < ties))
                     floors, ties = np.where(better, level, floors), np.where(better, tie, ties)
                     routed = list(route(vecs, floors))
-                    if approximate:
+                    if meets is not None:
                         here = [q for block, q in routed if block == row["block"]]
                         away = np.setdiff1d(np.arange(len(ids)), np.concatenate([np.zeros(0, np.int64), *here]))
                         routed += [(row["block"], away)] if len(away) else []
@@ -218,28 +222,11 @@ def search(blocks: DataFrame, k: int, route: Callable, product: Callable, dtype:
                     yield pa.RecordBatch.from_arrays([pa.array(qid[a:b][r]), pa.array(ids[c]), pa.array(s)],
                                                      names=["query_id", "vec_id", "score"])
 
-    def meet_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                qid = np.frombuffer(row["query_ids"], np.int64)
-                if not len(qid):
-                    continue
-                q = np.frombuffer(row["query_vecs"], dtype).reshape(len(qid), -1)
-                for a in range(0, len(qid), 256):
-                    ids = qid[a:a + 256]
-                    floors, ties = np.full(len(ids), -np.inf), np.full(len(ids), np.iinfo(np.int64).max)
-                    r, c, s = best(product(q[a:a + 256], known[1]), known[0], ids, k, floors, ties)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[r]), pa.array(known[0][c]), pa.array(s)],
-                                                     names=["query_id", "vec_id", "score"])
-
     sent = blocks.select("block", "query_ids", "query_vecs", "floors", "ties").mapInArrow(
         send, "block long, query_ids binary, query_vecs binary, floors binary, ties binary")
     met = sent.join(blocks.select("block", "ids", "vecs"), "block")
     found = met.select("query_ids", "query_vecs", "floors", "ties", "ids", "vecs").mapInArrow(
         score, "query_id long, vec_id long, score double")
-    if approximate:
-        found = found.unionByName(blocks.select("query_ids", "query_vecs").mapInArrow(
-            meet_known, "query_id long, vec_id long, score double"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # rows that repeat an id count once
     nearest = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return once.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k).select(

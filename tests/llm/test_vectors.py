@@ -94,7 +94,9 @@ def test_all_queries_have_k_rows(spark, x):
 
 
 @pytest.mark.parametrize("scale", [1e-8, 1e8])
-def test_scores_are_exact_at_any_scale(spark, scale):
+def test_scores_are_exact_at_any_scale(spark, monkeypatch, scale):
+    """All parts probed, so that the result must be the exact one."""
+    monkeypatch.setattr(learned_partitions, "TARGET", 2.0)
     x = clustered(400, 10, 11) * scale
     x[50:90] = x[50]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
@@ -111,6 +113,48 @@ def test_scores_are_exact_at_any_scale(spark, scale):
         assert np.allclose([g[2] for g in sorted(got[q])], s[order], rtol=1e-13, atol=0)
 
 
+@pytest.mark.parametrize("scale", [1e-8, 1e8])
+def test_routing_keeps_recall_at_any_scale(spark, scale):
+    x = clustered(400, 10, 11) * scale
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for r in learned_partitions.nearest(df, 20, 20).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    near = [set(np.argsort(-np.where(np.arange(400) == q, -np.inf, x @ x[q]))[:20].tolist()) for q in found]
+    assert len(found) == 20 and all(len(v) == 20 for v in found.values())
+    assert sum(len(a & set(v)) for a, v in zip(near, found.values(), strict=True)) >= 0.9 * 400
+
+
+@pytest.mark.parametrize("kind", ["clusters", "hub"])
+def test_routed_rows_reach_recall_where_parts_are_skipped(spark, monkeypatch, kind):
+    """20,000 rows: fewer than all (query, block) pairs are visited, the rows found there alone reach the recall."""
+    x = clustered(20_000, 50, 13)
+    if kind == "hub":
+        x[::3] = 3 * x[0]
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    visited = []
+    search = vector_blocks.search
+
+    def counted(blocks, k, route, product, dtype, known, meets=None):
+        some = x[::200]
+        pairs = [(b, len(q)) for b, q in route(some, None)]
+        visited.append(sum(n for _, n in pairs) / (len(some) * blocks.count()))
+        return search(blocks, k, route, product, dtype, known, meets)
+
+    monkeypatch.setattr(vector_blocks, "search", counted)
+    found = {}
+    for r in learned_partitions.nearest(df, 20, 20).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert {q: sorted(k for k, _ in v) for q, v in found.items()} == {q: list(range(1, 21)) for q in range(0, 20_000, 20)}
+    hits = 0
+    for q, got in found.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += (s[[i for _, i in got]] >= np.sort(s)[-20] - 1e-9).sum()
+    assert visited[0] < 0.75 and hits / (20 * len(found)) >= 0.9, (visited, hits / (20 * len(found)))
+
+
 def test_blocks_without_queries(spark):
     x = clustered(700, 12, 9).tolist()
     df = spark.createDataFrame([(20 * i + (i > 0), v) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
