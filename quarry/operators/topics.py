@@ -34,8 +34,9 @@ def topic_stopwords(extra: Sequence[str] = L.DOMAIN_STOPWORDS) -> list[str]:
 
 
 def doc_terms(df: DataFrame, text: Column | str, keep: Sequence[str], stopwords: Sequence[str],
-              n_max: int = L.NGRAM_RANGE[1]) -> DataFrame:
-    """One row per term occurrence: ``keep`` columns + ``term`` (C20).
+              n_max: int = L.NGRAM_RANGE[1], positions: bool = False) -> DataFrame:
+    """One row per term occurrence: ``keep`` columns + ``term`` (C20), with
+    ``positions`` also its place ``pos`` and the text's ``n_tokens`` (n_max = 1).
 
     Tokens are materialised once as a column; stop words go through Spark
     ML's ``StopWordsRemover`` (hash-set lookup, order and repeats kept); the
@@ -47,6 +48,9 @@ def doc_terms(df: DataFrame, text: Column | str, keep: Sequence[str], stopwords:
     tok = df.select(*keep, tokens(t).alias("_raw"))
     tok = StopWordsRemover(inputCol="_raw", outputCol="_tok", stopWords=list(stopwords),
                            caseSensitive=True).transform(tok)
+    if positions:
+        placed = tok.select(*keep, F.size("_tok").alias("n_tokens"), F.posexplode_outer("_tok").alias("pos", "term"))
+        return placed.filter(F.col("term").isNotNull())
     grams = tok.select(*keep, F.explode_outer(ngrams(F.col("_tok"), n_max)).alias("term"))
     return grams.filter(F.col("term").isNotNull())
 
@@ -145,6 +149,32 @@ def representative_texts(occ: DataFrame, weights: DataFrame, k: int = 3, topic:
     return top.select(topic, "rank", id_col, "similarity")
 
 
+def window_topics(docs: DataFrame, weights: DataFrame, text: str, stopwords: Sequence[str], window: int = 4,
+                  min_similarity: float = 0.0, topic: str = "topic", id_col: str = "doc_id") -> DataFrame:
+    """M9 from the texts: ``id, topic, score, share`` of each document's topics.
+
+    Windows of ``window`` tokens slide over the text (a shorter text is one
+    window).  A window's idf vector is compared (cosine) with each topic's c-TF-IDF
+    vector; similarities above ``min_similarity`` add up to the document's score, and
+    ``share`` is its part of the document's whole.  Documents that share no
+    term with any topic have no row.  Equi-joins on the term and partial sums only.
+    """
+    idf = weights.select("term", "idf").distinct()
+    size = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_size"))
+    tok = doc_terms(docs.select(id_col, text), text, [id_col], stopwords, 1, positions=True)
+    last = F.greatest(F.col("n_tokens") - window, F.lit(0))
+    wins = tok.join(idf, "term").select(id_col, "term", "idf", F.explode(F.sequence(
+        F.greatest(F.col("pos") - window + 1, F.lit(0)), F.least(F.col("pos"), last))).alias("_win"))
+    vec = wins.groupBy(id_col, "_win", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("_v"))
+    norm = vec.groupBy(id_col, "_win").agg(F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_norm"))
+    dots = vec.join(weights.select(topic, "term", "weight"), "term").groupBy(id_col, "_win", topic).agg(
+        F.sum(F.col("_v") * F.col("weight")).alias("_dot"))
+    sim = dots.join(norm, [id_col, "_win"]).join(size, topic).withColumn("_sim", F.col("_dot") / (F.col("_norm") * F.col("_size")))
+    score = sim.filter(F.col("_sim") > min_similarity).groupBy(id_col, topic).agg(F.sum("_sim").alias("score"))
+    whole = score.groupBy(id_col).agg(F.sum("score").alias("_whole"))
+    return score.join(whole, id_col).select(id_col, topic, "score", (F.col("score") / F.col("_whole")).alias("share"))
+
+
 def topic_keywords(weights: DataFrame, n: int = L.TOP_N_WORDS, topic: str = "topic") -> DataFrame:
     """M6: the ``n`` highest-weighted terms per topic (ties by term), as an
     ordered array and a comma-joined string."""

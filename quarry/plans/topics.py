@@ -332,6 +332,39 @@ def q_outliers_reduced(spark, sf_dir):
     return TP.reduce_outliers(emb, cents, "embedding", "topic").select("vec_id", "topic")
 
 
+WINDOW = 4
+
+
+@register("outliers_by_text", f"""
+WITH {OCC_SQL}, {WEIGHTS_SQL},
+labels_dim(topic, topic_name, industry_label, keep) AS (VALUES {_LABELS_VALUES}),
+curated AS (SELECT 'src' || topic AS topic FROM labels_dim WHERE keep = 1),
+nz AS (SELECT doc_id, w FROM tok WHERE topic NOT IN (SELECT topic FROM curated)),
+tk AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS term, len(w) AS n FROM nz),
+ix AS (SELECT DISTINCT term, ln(1 + (SELECT a FROM aw) / term_total) AS idf FROM tot),
+wv AS (SELECT doc_id, win, term, count(*) * any_value(idf) AS v FROM (
+         SELECT doc_id, term, idf, unnest(range(greatest(0, pos - {WINDOW - 1}), least(pos, greatest(n - {WINDOW}, 0)) + 1)) AS win
+         FROM tk JOIN ix USING (term)) GROUP BY doc_id, win, term),
+wnorm AS (SELECT doc_id, win, sqrt(sum(v * v)) AS nv FROM wv GROUP BY doc_id, win),
+tnorm AS (SELECT topic, sqrt(sum(weight * weight)) AS nt FROM wt GROUP BY topic),
+sim AS (SELECT wv.doc_id, wv.win, wt.topic, sum(wv.v * wt.weight) AS dot FROM wv JOIN wt USING (term)
+        WHERE wt.topic IN (SELECT topic FROM curated) GROUP BY ALL),
+sc AS (SELECT doc_id, topic, sum(dot / (nv * nt)) AS score FROM sim JOIN wnorm USING (doc_id, win) JOIN tnorm USING (topic) GROUP BY ALL),
+best AS (SELECT doc_id, topic, score / sum(score) OVER (PARTITION BY doc_id) AS share,
+                row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, topic) AS rn FROM sc)
+SELECT nz.doc_id, best.topic, round(best.share, 6) AS share FROM nz LEFT JOIN best ON nz.doc_id = best.doc_id AND best.rn = 1
+""")
+def q_outliers_by_text(spark, sf_dir):
+    """M9 from the texts: documents outside the curated topics move to the
+    curated topic that their token windows are most similar to (null: none)."""
+    docs = written_docs(spark, sf_dir)
+    curated = topic_label_table(spark).filter("keep = 1").select(F.concat(F.lit("src"), F.col("topic").cast("string")).alias("topic"))
+    noise = docs.join(curated, "topic", "left_anti")
+    scores = TP.window_topics(noise, weights_of(docs).join(curated, "topic", "left_semi"), "topic_text", STOP, WINDOW)
+    best = top_k_per_group(scores, "doc_id", 1, [F.round("score", 9).desc(), F.col("topic")])
+    return noise.select("doc_id").join(best.select("doc_id", "topic", F.round("share", 6).alias("share")), "doc_id", "left")
+
+
 # --- text topic representatives and dashboard extracts --------------------
 
 @register("representative_texts", f"""

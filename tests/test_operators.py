@@ -266,3 +266,12 @@ def test_quantile_plan_sorts_no_rows(spark):
         assert R.quantile(df, "x", 0.25) == float(np.quantile(np.arange(5000.0) ** 2, 0.25))
     assert 1 < len(seen) <= 7
     assert not any(word in plan for plan in seen for word in ("TakeOrderedAndProject", "Sort ", "Window"))
+
+
+def test_token_windows_move_documents_to_their_topic(spark):
+    """Two topics with one word each, equal weights: a window of two words, worked by hand."""
+    weights = spark.createDataFrame([("a", "apple", 1.0, 0.5), ("b", "berry", 1.0, 0.5)], "topic string, term string, idf double, weight double")
+    docs = spark.createDataFrame([(1, "apple apple berry"), (2, "berry"), (3, "cherry pie"), (4, ""), (5, None)], "doc_id long, text string")
+    got = {(r["doc_id"], r["topic"]): r["score"] for r in TP.window_topics(docs, weights, "text", ["the"], 2).collect()}
+    half = 2 ** -0.5  # windows of document 1: (apple, apple) is all a, (apple, berry) half of each
+    assert got == {(1, "a"): pytest.approx(1 + half), (1, "b"): pytest.approx(half), (2, "b"): pytest.approx(1.0)}
