@@ -10,8 +10,10 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators.entities import SPAN_PATTERN, company_counts, extract_entities
 from ..operators.joins import entity_sentiment_counts, keep_top
+from ..operators.tagger import fit_tagger, spans_in_order, tag_entities
 from ..sources import fixtures as FX
-from ..sources.readers import table
+from ..sources.readers import spread_rows, table
+from ..sources.writers import materialize
 from . import oracle_sql as S
 from .cleaning import EN_LEN_SQL, english_articles
 from .registry import register, sql_list, sql_str
@@ -145,3 +147,28 @@ def q_top_entities(spark, sf_dir):
     """The ten most frequent ORG mentions (ties by text)."""
     orgs = mentions(spark, sf_dir).filter(F.col("entity_label") == "ORG")
     return A.value_counts(orgs, "entity_text", k=10)
+
+
+TAGGER_EXAMPLES = 2000  # articles that the tagger is fitted on, by hash of the id
+
+
+def rule_examples(texts, n: int = TAGGER_EXAMPLES):
+    """At most ``n`` articles with the spans of the capitalised-word rule, which stand in
+    for hand-made labels."""
+    sample = spread_rows(texts.orderBy(F.xxhash64("article_id"), "article_id").limit(n).select("text"))
+    spans = F.regexp_extract_all("text", F.lit(SPAN_PATTERN), 0)
+    named = sample.withColumn("mentions", F.transform(spans, lambda s: F.struct(
+        s.alias("span"), F.when(s.contains(" "), "ORG").otherwise("MISC").alias("label"))))
+    return named.withColumn("spans", spans_in_order("text", "mentions"))
+
+
+@register("tagged_mentions", None)
+def q_tagged_mentions(spark, sf_dir):
+    """G1 by the sequence tagger: spans of ``title. text``, whole, with their places and the
+    mean probability of their tags.  The tagger learns from the spans that the rule finds in
+    at most ``TAGGER_EXAMPLES`` articles and is applied to all articles."""
+    arts = articles(spark, sf_dir)
+    texts = materialize(arts.select("article_id", F.concat(
+        T.null_to_empty("title_clean"), F.lit(". "), T.null_to_empty("text_clean")).alias("text")), "tagger_texts")
+    model, _ = fit_tagger(rule_examples(texts), "text", "spans", ["ORG", "MISC"])
+    return tag_entities(texts, "text", model, keep=["article_id"])

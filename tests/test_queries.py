@@ -4,6 +4,7 @@ plus the driver entry points."""
 import os
 
 import pytest
+import regex
 
 from conftest import SF_MID, SF_SMALL
 
@@ -34,7 +35,20 @@ def rows(spark, name):
 def test_every_query_without_sql_has_a_test():
     assert set(QUERIES) - set(ORACLE) == {
         "sample_articles", "sample_jsonl", "classifier_selection", "sentiment_scores", "text_relevance", "reduced_dims",
-        "density_topics", "document_topics", "unseen_topics", "outliers_reduced"}
+        "density_topics", "document_topics", "unseen_topics", "outliers_reduced", "tagged_mentions"}
+
+
+def test_tagged_mentions_are_scored_spans_near_the_rule(spark):
+    """The tagger learns the rule's spans: most of both agree, with offsets into the text."""
+    from quarry.plans.entities import articles
+
+    got = rows(spark, "tagged_mentions")
+    texts = {r["article_id"]: f"{r['title_clean']}. {r['text_clean']}" for r in articles(spark, SF_SMALL).collect()}
+    rule = {(i, m.start(), m.end()) for i, t in texts.items() for m in regex.finditer(r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*", t)}
+    found = {(r["article_id"], r["start"], r["end"]) for r in got}
+    assert len(found) == len(got) and all(0 < r["score"] < 1 for r in got)
+    assert all(texts[r["article_id"]][r["start"]:r["end"]].strip(" .,;:|()[]{}\"'") == r["entity_text"] for r in got)
+    assert len(found & rule) >= 0.95 * max(len(found), len(rule))
 
 
 def test_samples_are_subsets_and_repeat(spark, con):
