@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import epochs as EP
 from ..operators import sentiment as SN
 from ..sources.readers import table
 from ..sources.writers import scratch_path
@@ -57,3 +58,19 @@ def q_sentiment_scores(spark, sf_dir):
     SN.save_model(model, path)  # G7: the scoring job loads what training saved
     return SN.score_sentiment(clean_articles(spark, sf_dir), SN.load_model(path)).select(
         "article_id", "sentiment", "sentiment_score")
+
+
+@register("epoch_training", None)
+def q_epoch_training(spark, sf_dir):
+    """G4 + G6 by epochs: mini-batch steps on the train split, weights, optimiser state and
+    validation metrics written each epoch; one row an epoch, the best marked."""
+    return EP.train_epochs(SN.labelled_examples(spark, sf_dir), scratch_path(spark, "epochs"))
+
+
+@register("epoch_sentiment", None)
+def q_epoch_sentiment(spark, sf_dir):
+    """G3 + G7: every kept article scored with the best epoch's model, read back from its folder."""
+    folder = scratch_path(spark, "epochs")
+    EP.train_epochs(SN.labelled_examples(spark, sf_dir), folder)
+    return EP.score_epochs(clean_articles(spark, sf_dir).select("article_id", "text_clean"),
+                           EP.load_best(spark, folder)).select("article_id", "sentiment", "sentiment_score")

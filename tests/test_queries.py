@@ -35,7 +35,8 @@ def rows(spark, name):
 def test_every_query_without_sql_has_a_test():
     assert set(QUERIES) - set(ORACLE) == {
         "sample_articles", "sample_jsonl", "classifier_selection", "sentiment_scores", "text_relevance", "reduced_dims",
-        "density_topics", "document_topics", "unseen_topics", "outliers_reduced", "tagged_mentions"}
+        "density_topics", "document_topics", "unseen_topics", "outliers_reduced", "tagged_mentions",
+        "epoch_training", "epoch_sentiment"}
 
 
 def test_tagged_mentions_are_scored_spans_near_the_rule(spark):
@@ -66,8 +67,16 @@ def test_selection_reports_every_candidate(spark):
     assert all(0 <= r["accuracy"] <= 1 and 0 <= r["f1_weighted"] <= 1 for r in got)
 
 
-def test_every_kept_article_is_scored_once(spark, con):
-    got = rows(spark, "sentiment_scores")
+def test_epochs_are_reported_in_order_with_one_best(spark):
+    got = rows(spark, "epoch_training")
+    assert [r["epoch"] for r in got] == [1, 2, 3] and got[-1]["train_loss"] < got[0]["train_loss"]
+    (best,) = [r for r in got if r["best"]]
+    assert best["f1_weighted"] == max(r["f1_weighted"] for r in got)
+
+
+@pytest.mark.parametrize("name", ["sentiment_scores", "epoch_sentiment"])
+def test_every_kept_article_is_scored_once(spark, con, name):
+    got = rows(spark, name)
     want = [i for (i,) in con.execute(f"SELECT doc_id FROM documents WHERE {EN_LEN}").fetchall()]
     assert sorted(r["article_id"] for r in got) == sorted(want)
     assert {r["sentiment"] for r in got} <= {"negative", "neutral", "positive"}
