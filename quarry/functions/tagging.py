@@ -57,6 +57,8 @@ def label_hit(lowered: Column, phrases: Sequence[str], mode: str = "substring",
         return lowered.rlike(_word_regex(phrases))
     if mode != "substring":
         raise ValueError(f"unknown mode {mode!r}")
+    if engine not in ("contains", "rlike"):
+        raise ValueError(f"unknown engine {engine!r}")
     if engine == "rlike":
         return lowered.rlike("|".join(re.escape(p) for p in minimal_phrases(phrases)))
     cond = None

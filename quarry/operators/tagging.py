@@ -16,7 +16,7 @@ Dictionary = Mapping[str, Sequence[str]]
 
 def tag_articles(df: DataFrame, text_col: str = "text_clean",
                  dictionaries: Mapping[str, Dictionary] | None = None,
-                 mode: str = "substring", engine: str = "auto") -> DataFrame:
+                 mode: str = "substring", engine: str = "contains") -> DataFrame:
     """Add one sorted label array per dictionary (default: impact, technology)."""
     dictionaries = dictionaries or {"impact_modes": L.IMPACT_KEYWORDS, "technologies": L.TECHNOLOGY_KEYWORDS}
     return df.withColumns({name: tag(text_col, d, mode=mode, engine=engine) for name, d in dictionaries.items()})

@@ -61,11 +61,14 @@ def mentions(spark, sf_dir):
     return extract_entities(articles(spark, sf_dir), keep=["article_id", "industry_label", "title_clean"])
 
 
-def scored(spark, sf_dir):
-    """Articles with sentiment from the label table (null where unlabelled)."""
+def mentions_and_scored(spark, sf_dir):
+    """ORG mentions, and articles with sentiment from the label table (null where
+    unlabelled), both of articles cleaned and written once."""
+    arts = materialize(articles(spark, sf_dir), "clean_articles")
     sent = FX.sentiment_from_labels(table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
-    arts = articles(spark, sf_dir).select("article_id", "title_clean")
-    return arts.join(sent.withColumnRenamed("doc_id", "article_id"), "article_id", "left")
+    scored = arts.select("article_id", "title_clean").join(sent.withColumnRenamed("doc_id", "article_id"), "article_id", "left")
+    orgs = extract_entities(arts, keep=["title_clean"]).filter(F.col("entity_label") == "ORG")
+    return orgs, scored
 
 
 @register("entity_mentions", f"""
@@ -121,8 +124,7 @@ SELECT entity_text, sentiment, count FROM es
 def q_entity_sentiment(spark, sf_dir):
     """K6: ORG mentions joined to article sentiment on the title (many to
     many, null titles match), counted per (entity, sentiment)."""
-    orgs = mentions(spark, sf_dir).filter(F.col("entity_label") == "ORG")
-    counts = entity_sentiment_counts(orgs, scored(spark, sf_dir), "title_clean")
+    counts = entity_sentiment_counts(*mentions_and_scored(spark, sf_dir), "title_clean")
     return counts.orderBy(F.col("count").desc(), "entity_text", "sentiment")
 
 
@@ -133,8 +135,7 @@ SELECT entity_text, sentiment, count FROM es WHERE entity_text IN (SELECT entity
 """)
 def q_entity_sentiment_top15(spark, sf_dir):
     """K6 + D3: only the 15 entities with the largest summed count."""
-    orgs = mentions(spark, sf_dir).filter(F.col("entity_label") == "ORG")
-    counts = entity_sentiment_counts(orgs, scored(spark, sf_dir), "title_clean")
+    counts = entity_sentiment_counts(*mentions_and_scored(spark, sf_dir), "title_clean")
     return keep_top(counts, "entity_text", 15, weight="count")
 
 

@@ -44,6 +44,12 @@ def test_tag_substring_labels(spark, engine, dictionary, want):
     assert [r[0] for r in df.orderBy("i").select(tag("t", dictionary, engine=engine)).collect()] == want
 
 
+def test_unknown_engines_and_modes_are_refused(spark):
+    for options in ({"engine": "auto"}, {"mode": "stem"}):
+        with pytest.raises(ValueError, match="unknown"):
+            tag("t", {"a": ["b"]}, **options)
+
+
 def test_tag_word_mode_needs_boundaries(spark):
     d = {"rpa": ["rpa"], "llm": ["llm"]}
     df = spark.createDataFrame([(0, "surpass fulfillment"), (1, "RPA and LLM."), (2, "rpa_x llmé")], "i int, t string")
