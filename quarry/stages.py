@@ -30,6 +30,7 @@ from .operators import topics as TP
 from .operators.density import density_clusters
 from .operators.entities import company_counts, extract_entities, extract_with
 from .operators.joins import entity_sentiment_counts, label_topics
+from .operators.tagger import Tagger, tag_entities
 from .operators.tagging import tag_articles, tag_counts
 from .operators.text_vectors import fit_text_vectors, text_vectors
 from .sources import writers as W
@@ -117,11 +118,17 @@ def stage_topics(spark: SparkSession, in_path: str, out_dir: str, labels_csv: st
     return out
 
 
-def stage_entities(spark: SparkSession, in_path: str, out_dir: str, make_extractor=None) -> dict:
-    """5: organisation mentions, then company counts per industry."""
+def stage_entities(spark: SparkSession, in_path: str, out_dir: str, make_extractor=None, tagger: Tagger | None = None) -> dict:
+    """5: organisation mentions (by ``make_extractor``'s model, else by ``tagger``, else by
+    rule), then company counts per industry."""
     df = spark.read.parquet(in_path)
     keep = ["url", "date", "topic", "topic_name", "industry_label", "title_clean"]
-    ments = extract_entities(df, keep=keep) if make_extractor is None else extract_with(df, make_extractor, keep=keep)
+    if make_extractor is not None:
+        ments = extract_with(df, make_extractor, keep=keep)
+    elif tagger is not None:
+        ments = tag_entities(df.withColumn("_in", T.entity_input("title_clean", "text_clean")), "_in", tagger, keep=keep)
+    else:
+        ments = extract_entities(df, keep=keep)
     path = W.write_stage(ments.filter(F.col("entity_label") == "ORG"), _p(out_dir, "entities"))
     counts = company_counts(spark.read.parquet(path))
     return {"entities": path, "company_counts": W.write_report_csv(counts, _p(out_dir, "company_counts"), single=False)}

@@ -134,3 +134,19 @@ def test_spans_are_located_in_order(spark):
                                "t string, m array<struct<span:string,label:string>>")
     got = [[tuple(s) for s in r[0]] for r in df.select(TG.spans_in_order("t", "m")).collect()]
     assert got == [[(2, 4, "MISC"), (6, 12, "ORG")], []]
+
+
+def test_the_entity_stage_takes_a_tagger(spark, fitted, tmp_path):
+    from quarry.stages import stage_entities
+
+    rows = [("u1", "d", 0, "t", "Energy", "today Acme Corp bought Globex in Paris", ""),
+            ("u2", "d", 0, "t", "Energy", None, "in Rome the Initech Group met Acme Corp")]
+    spark.createDataFrame(rows, "url string, date string, topic int, topic_name string, industry_label string, "
+                                "title_clean string, text_clean string").write.parquet(str(tmp_path / "in"))
+    out = stage_entities(spark, str(tmp_path / "in"), str(tmp_path / "out"), tagger=fitted[0])
+    found = spark.read.parquet(out["entities"]).collect()
+    assert sorted((r.url, r.entity_text) for r in found) == [
+        ("u1", "Acme Corp"), ("u1", "Globex"), ("u2", "Acme Corp"), ("u2", "Initech Group")]
+    assert all(0.5 < r.score < 1 for r in found)
+    counts = spark.read.csv(out["company_counts"], header=True).collect()
+    assert {(r.company, r["count"]) for r in counts} == {("Acme", "2"), ("Globex", "1"), ("Initech", "1")}
