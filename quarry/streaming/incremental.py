@@ -32,15 +32,29 @@ def tagged_counts(raw: DataFrame, dictionary: Mapping[str, Sequence[str]], tag_c
     return tag_counts(tag_articles(clean, "text_clean", {tag_col: dictionary}), "industry_label", tag_col)
 
 
+def _names_folders(spark: SparkSession, pattern: str) -> bool:
+    """Whether the path pattern names folders, in any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return any(f.isDirectory() for f in found)
+
+
 def run_tag_counts_stream(spark: SparkSession, source_dir: str, file_glob: str,
                           dictionary: Mapping[str, Sequence[str]], out_dir: str, checkpoint: str,
                           tag_col: str = "tag") -> DataFrame:
-    """Run the stream over every file available now, then return the result table."""
-    schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
-    )
-    counts = tagged_counts(stream, dictionary, tag_col)
+    """Run the stream over every file available now, then return the result table.
+
+    What ``file_glob`` names in ``source_dir`` may be files or folders of part files.
+    Without a row the table is empty.
+    """
+    source = os.path.join(source_dir, file_glob)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema)
+    if _names_folders(spark, source):
+        raw = stream.parquet(source)
+    else:  # a file source takes folders only
+        raw = stream.option("pathGlobFilter", file_glob).parquet(source_dir)
+    counts = tagged_counts(raw, dictionary, tag_col)
+    spark.createDataFrame([], counts.schema).write.mode("ignore").parquet(out_dir)  # stays if no batch ever comes
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_dir)

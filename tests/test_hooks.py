@@ -83,3 +83,21 @@ def test_python_udfs_unpickle_without_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
     assert out.stdout.split() == ["fi"]
+
+
+def test_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    rows = [(i, "src1" if i % 2 else "src2", "en", "Apache license. " + "plain words " * 60) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    docs.repartition(3).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "in" / "other.parquet"))  # not part of the source
+    args = (spark, str(tmp_path / "in"), "documents.parquet", FIXTURE_TAGS, str(tmp_path / "out"), str(tmp_path / "state"))
+    want = [("src1", "licensing", 3), ("src2", "licensing", 3)]
+    assert sorted(map(tuple, run_tag_counts_stream(*args).collect())) == want
+    assert sorted(map(tuple, run_tag_counts_stream(*args).collect())) == want  # run again: nothing new, the table stays
+
+
+def test_stream_without_rows_gives_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, source string, lang string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = run_tag_counts_stream(spark, str(tmp_path), "documents.parquet", FIXTURE_TAGS, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert got.columns == ["industry_label", "tag", "count"] and got.count() == 0
