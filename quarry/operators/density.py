@@ -41,6 +41,7 @@ BLOCK_VALUES = 4096     # numbers in a block: rows times dimensions
 MAX_BLOCKS = 1 << 16
 SAMPLE_A_BLOCK = 32     # sampled points a block when the cuts are learned
 SWEEP_EDGES = 1 << 20   # edges that one union-find holds
+SWEEP_ROWS = 1 << 14    # result rows that it holds before it hands them on
 NEAREST = 1e-10         # smaller distances count as this in levels (1 / distance)
 
 
@@ -461,6 +462,7 @@ def spanning_tree(points: DataFrame, d: int) -> DataFrame:
 
 _STATE = "label long, size long, cluster string, level_sum double, parts_worth double"
 _EVENT = f"kind string, {_STATE}, into long, level double, parent string, chosen boolean, birth double"
+_EVENT_TYPES = {"label": "Int64", "size": "Int64", "into": "Int64", "kind": object, "cluster": object, "parent": object, "chosen": object}
 
 
 class _Sweep:
@@ -486,6 +488,12 @@ class _Sweep:
     def row(self, kind: str, **values) -> None:
         self.rows.append({"kind": kind, **values})
 
+    def written(self) -> Iterator[pd.DataFrame]:
+        """The rows so far, SWEEP_ROWS at a time; they are let go."""
+        for at in range(0, len(self.rows), SWEEP_ROWS):
+            yield pd.DataFrame(self.rows[at:at + SWEEP_ROWS], columns=[c.split()[0] for c in _EVENT.split(", ")]).astype(_EVENT_TYPES)
+        self.rows.clear()
+
     def leave(self, root: int, cluster: str, level: float) -> None:
         for label in self.members.pop(root):
             self.row("left", label=label, cluster=cluster, level=level)
@@ -520,6 +528,7 @@ class _Sweep:
             merged = [size, None, 0.0, 0.0]
         self.parent[b] = a
         self.state[a] = merged
+        del self.state[b]  # only roots are read
 
 
 def hierarchy(points: DataFrame, tree: DataFrame, min_cluster_size: int) -> tuple[DataFrame, DataFrame]:
@@ -543,33 +552,39 @@ def hierarchy(points: DataFrame, tree: DataFrame, min_cluster_size: int) -> tupl
         side = lambda c: states.select(*[F.col(k).alias(f"{c}_{k}") for k in ("label", "size", "cluster", "level_sum", "parts_worth")])
         part = part.join(side("a"), F.col("a") == F.col("a_label")).join(side("b"), F.col("b") == F.col("b_label"))
         # one bounded group: SWEEP_EDGES edges with the summaries of their ends
-        kinds = _EVENT
 
         def sweep(batches: Iterator[pd.DataFrame], last=last) -> Iterator[pd.DataFrame]:
             run = _Sweep(min_cluster_size)
-            rows = []
+            parts = []
             for batch in batches:
-                for r in batch.to_dict("records"):
-                    rows.append((r["pos"], r["w"], r["a"], r["b"]))
-                    for c in "ab":
-                        run.add(r[c], r[f"{c}_size"], r[f"{c}_cluster"], r[f"{c}_level_sum"], r[f"{c}_parts_worth"])
-            for pos, w, a, b in sorted(rows):
-                run.merge(f"e{pos}", a, b, w)
+                parts.append(batch[["pos", "w", "a", "b"]])
+                for c in "ab":
+                    side_of = [batch[k].tolist() for k in (c, f"{c}_size", f"{c}_cluster", f"{c}_level_sum", f"{c}_parts_worth")]
+                    for summary in zip(*side_of, strict=True):
+                        run.add(*summary)
+            if not parts:
+                return
+            rows = pd.concat(parts).sort_values("pos", kind="stable")
+            parts.clear()
+            for at in range(0, len(rows), SWEEP_ROWS):
+                some = rows[at:at + SWEEP_ROWS]
+                for pos, w, a, b in zip(*(some[k].tolist() for k in ("pos", "w", "a", "b")), strict=True):
+                    run.merge(f"e{pos}", a, b, w)
+                yield from run.written()
             for label in run.parent:
                 top = run.root(label)
-                size, cluster, level_sum, parts = run.state[top]
+                size, cluster, level_sum, worth = run.state[top]
                 if top == label:
-                    run.row("state", label=label, size=size, cluster=cluster, level_sum=level_sum, parts_worth=parts)
+                    run.row("state", label=label, size=size, cluster=cluster, level_sum=level_sum, parts_worth=worth)
                     if last and cluster is not None:  # the cluster of everything is never chosen
                         run.close(run.state[top], 0.0, None)
                 else:
                     run.row("moved", label=label, into=top)
-            names = [c.split()[0] for c in kinds.split(", ")]
-            out = pd.DataFrame(run.rows, columns=names)
-            kinds_of = {"label": "Int64", "size": "Int64", "into": "Int64", "kind": object, "cluster": object, "parent": object}
-            yield out.astype(kinds_of)
+                if len(run.rows) >= SWEEP_ROWS:
+                    yield from run.written()
+            yield from run.written()
 
-        done = materialize(part.coalesce(1).mapInPandas(sweep, kinds), "density_sweep")
+        done = materialize(part.coalesce(1).mapInPandas(sweep, _EVENT), "density_sweep")
         events = lambda kind: done.filter(F.col("kind") == kind)
         clusters.append(events("cluster").select("cluster", "parent", "chosen", "birth"))
         gone = events("left").select("label", F.col("cluster").alias("_c"), F.col("level").alias("_l"))

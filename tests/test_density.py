@@ -166,3 +166,16 @@ def test_unit_vectors_and_degenerate_corpora(spark):
     got = {r.i: r.embedding for r in TV.text_vectors(df, "t", model).collect()}
     assert np.allclose(np.abs(got[0]), [1]) and got[0] == got[1] and got[2] == [0.0]
     assert TV.fit_text_vectors(df.filter("i = 2"), "t", buckets=64).components.shape[1] == 0
+
+
+def test_sweep_hands_its_rows_on_in_bounded_frames(monkeypatch):
+    monkeypatch.setattr(DN, "SWEEP_ROWS", 10)
+    run = DN._Sweep(2)
+    for label in range(60):
+        run.add(label, 1, None, 0.0, 0.0)
+    for a in range(0, 60, 2):
+        run.merge(f"e{a}", a, a + 1, 1.0)
+    frames = list(run.written())
+    assert [len(f) for f in frames] == [10] * 6 and not run.rows
+    assert sorted(int(v) for f in frames for v in f["label"]) == list(range(60))
+    assert len(run.state) == 30  # summaries of merged components are let go
