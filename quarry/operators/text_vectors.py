@@ -67,11 +67,18 @@ def _blocks(lists: pa.Array, idf: np.ndarray) -> Iterator[tuple[int, np.ndarray,
     while first < len(sizes):
         last = int(np.searchsorted(starts, starts[first] + CELLS, "right")) - 1
         last = max(first + 1, min(last, first + BLOCK_ROWS))
-        met, at = np.unique(flat[starts[first]:starts[last]], return_inverse=True)
         row = np.repeat(np.arange(last - first), sizes[first:last])
-        dense = np.bincount(row * max(len(met), 1) + at, minlength=(last - first) * len(met)).reshape(last - first, len(met)) * idf[met]
-        length = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
-        yield first, met, dense / np.where(length > 0, length, 1)
+        pairs, times = np.unique(row * len(idf) + flat[starts[first]:starts[last]], return_counts=True)
+        row, bucket = np.divmod(pairs, len(idf))
+        weight = times * idf[bucket]
+        length = np.sqrt(np.bincount(row, weight * weight, last - first))
+        column = np.zeros(len(idf), np.int64)
+        column[bucket] = 1
+        met = np.flatnonzero(column)
+        column[met] = np.arange(len(met))
+        dense = np.zeros((last - first, len(met)))
+        dense[row, column[bucket]] = weight / np.where(length > 0, length, 1)[row]
+        yield first, met, dense
         first = last
 
 
