@@ -150,3 +150,21 @@ def test_the_entity_stage_takes_a_tagger(spark, fitted, tmp_path):
     assert all(0.5 < r.score < 1 for r in found)
     counts = spark.read.csv(out["company_counts"], header=True).collect()
     assert {(r.company, r["count"]) for r in counts} == {("Acme", "2"), ("Globex", "1"), ("Initech", "1")}
+
+
+def test_spans_are_joined_over_many_plain_tokens():
+    names = TG.tag_names(["ORG", "MISC"])
+    at = {n: i for i, n in enumerate(names)}
+    tags, chance = np.zeros(100_000, np.int8), np.full(100_000, 0.5)
+    for first, end, label in ((0, 1, "ORG"), (10, 13, "MISC"), (13, 15, "MISC"), (15, 17, "ORG"), (99_999, 100_000, "ORG")):
+        tags[first:end] = at["I-" + label]
+        tags[first] = at["B-" + label]
+    tags[15] = at["I-ORG"]  # an inside tag after another label opens a span
+    class Counted(np.ndarray):
+        asked = 0
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return np.asarray(self)[key]
+    got = TG.join_tags(names, tags.view(Counted), chance)
+    assert got == [(0, 1, "ORG", 0.5), (10, 13, "MISC", 0.5), (13, 15, "MISC", 0.5), (15, 17, "ORG", 0.5), (99_999, 100_000, "ORG", 0.5)]
+    assert Counted.asked < 100  # not once a token
