@@ -134,12 +134,13 @@ def representative_texts(occ: DataFrame, weights: DataFrame, k: int = 3, topic:
     """M8 for text topics: the ``k`` documents whose c-TF-IDF vector
     (term counts x idf) is most cosine-similar to their topic's vector.
 
-    Only equi-joins on (topic, term) and aggregates: the document-term table
-    is joined to the topic weights, partial sums give dot products and norms.
+    Only equi-joins on (topic, term) and aggregates: occurrences are joined to
+    the topic weights (one row per topic and term), partial sums give dot products and norms.
     """
-    dt = occ.groupBy(id_col, topic, "term").agg(F.count(F.lit(1)).alias("n"))
     w = weights.select(topic, "term", "idf", "weight")
-    dv = dt.join(w, [topic, "term"]).withColumn("v", F.col("n") * F.col("idf"))
+    dt = occ.join(w, [topic, "term"]).groupBy(id_col, topic, "term").agg(  # most occurrences are outside the vocabulary
+        F.count(F.lit(1)).alias("n"), F.first("idf").alias("idf"), F.first("weight").alias("weight"))
+    dv = dt.withColumn("v", F.col("n") * F.col("idf"))
     per_doc = dv.groupBy(id_col, topic).agg(
         F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("dn"))
     wn = weights.groupBy(topic).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("wn"))

@@ -70,11 +70,14 @@ def q_sample_jsonl(spark, sf_dir):
 
 
 def _export(spark, sf_dir):
+    """The articles are cleaned and written once for the three tables of their texts."""
+    docs = topics.written_docs(spark, sf_dir)
+    arts = docs.select("article_id", F.col("topic").alias("industry_label"), "text_clean")
     return W.export_dashboard(
         reports.q_dashboard_series(spark, sf_dir),
-        topics.topic_summary(spark, sf_dir),
-        tagging.q_impact_counts(spark, sf_dir),
-        tagging.q_technology_counts(spark, sf_dir),
+        topics.summary_of(spark, docs),
+        tagging.impact_counts(arts),
+        tagging.technology_counts(arts),
         W.scratch_path(spark, "dashboard"),
     )
 

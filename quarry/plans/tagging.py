@@ -45,10 +45,6 @@ def with_phrases(articles, dictionary):
     return articles.withColumn("text_clean", F.concat("text_clean", F.lit(" "), phrase))
 
 
-def articles_with_phrases(spark, sf_dir, dictionary):
-    return with_phrases(clean_articles(spark, sf_dir), dictionary)
-
-
 def _counts_sql(dictionary, tag_col, mode="substring", articles=ARTICLES_SQL):
     return f"""
 WITH a AS ({articles}),
@@ -57,29 +53,38 @@ SELECT industry_label, {tag_col}, count(*) AS count FROM t GROUP BY industry_lab
 """
 
 
-def _counts(spark, sf_dir, dictionary, tag_col, mode="substring", engine="contains", articles=None):
-    articles = clean_articles(spark, sf_dir) if articles is None else articles
+def _counts(articles, dictionary, tag_col, mode="substring", engine="contains"):
     tagged = tag_articles(articles, "text_clean", {tag_col: dictionary}, mode=mode, engine=engine)
     counts = tag_counts(tagged, "industry_label", tag_col)
     return counts.orderBy(F.col("industry_label"), F.col("count").desc(), F.col(tag_col))
 
 
+def impact_counts(articles):
+    """K2 of cleaned articles (``article_id, industry_label, text_clean``)."""
+    return _counts(with_phrases(articles, L.IMPACT_KEYWORDS), L.IMPACT_KEYWORDS, "impact_modes")
+
+
+def technology_counts(articles):
+    """K3 of cleaned articles (``article_id, industry_label, text_clean``)."""
+    return _counts(with_phrases(articles, L.TECHNOLOGY_KEYWORDS), L.TECHNOLOGY_KEYWORDS, "technologies")
+
+
 @register("tag_counts", _counts_sql(FIXTURE_TAGS, "tag"), headline=True)
 def q_tag_counts(spark, sf_dir):
     """Flagship: clean -> tag -> explode -> count per (industry, tag)."""
-    return _counts(spark, sf_dir, FIXTURE_TAGS, "tag")
+    return _counts(clean_articles(spark, sf_dir), FIXTURE_TAGS, "tag")
 
 
 @register("tag_counts_automaton", _counts_sql(FIXTURE_TAGS, "tag"))
 def q_tag_counts_automaton(spark, sf_dir):
     """Same result with one alternation per label instead of a chain of
     ``contains``."""
-    return _counts(spark, sf_dir, FIXTURE_TAGS, "tag", engine="rlike")
+    return _counts(clean_articles(spark, sf_dir), FIXTURE_TAGS, "tag", engine="rlike")
 
 
 @register("tag_counts_word", _counts_sql(FIXTURE_TAGS, "tag", mode="word"))
 def q_tag_counts_word(spark, sf_dir):
-    return _counts(spark, sf_dir, FIXTURE_TAGS, "tag", mode="word")
+    return _counts(clean_articles(spark, sf_dir), FIXTURE_TAGS, "tag", mode="word")
 
 
 def _phrase_articles_sql(dictionary):
@@ -95,15 +100,13 @@ TECHNOLOGY_SQL = _counts_sql(L.TECHNOLOGY_KEYWORDS, "technologies", articles=_ph
 @register("impact_counts", IMPACT_SQL, headline=True)
 def q_impact_counts(spark, sf_dir):
     """K2 with the impact dictionary."""
-    return _counts(spark, sf_dir, L.IMPACT_KEYWORDS, "impact_modes",
-                   articles=articles_with_phrases(spark, sf_dir, L.IMPACT_KEYWORDS))
+    return impact_counts(clean_articles(spark, sf_dir))
 
 
 @register("technology_counts", TECHNOLOGY_SQL)
 def q_technology_counts(spark, sf_dir):
     """K3 with the technology dictionary."""
-    return _counts(spark, sf_dir, L.TECHNOLOGY_KEYWORDS, "technologies",
-                   articles=articles_with_phrases(spark, sf_dir, L.TECHNOLOGY_KEYWORDS))
+    return technology_counts(clean_articles(spark, sf_dir))
 
 
 @register("technology_top3", f"""

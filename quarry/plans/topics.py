@@ -87,13 +87,13 @@ def weights_of(docs):
     one document per topic, so min/max document frequency count topics).
 
     (topic, term) counts are restricted to the vocabulary in the same pass and
-    written once to the checkpoint folder; every later step reads that small
-    table, never the text again.
+    written once to the checkpoint folder, and so are the weights; every later
+    step reads these small tables, never the text again.
     """
     n_topics = docs.select(F.count_distinct("topic")).scalar()
     tf = TP.topic_term_counts(occurrences_of(docs), "topic")
     tfv = materialize(TP.restrict_to_vocabulary(tf, L.MIN_DF, L.MAX_DF, n_topics), "topic_term_counts")
-    return TP.class_tfidf(tfv, "topic")
+    return materialize(TP.class_tfidf(tfv, "topic"), "topic_weights")
 
 
 def weights(spark, sf_dir):
@@ -373,7 +373,8 @@ SELECT topic, rank, doc_id, round(similarity, 6) AS similarity FROM rep
 """)
 def q_representative_texts(spark, sf_dir):
     """M8 on text topics: three documents closest to their topic's c-TF-IDF vector."""
-    rep = TP.representative_texts(occurrences(spark, sf_dir), weights(spark, sf_dir), 3)
+    docs = written_docs(spark, sf_dir)
+    rep = TP.representative_texts(occurrences_of(docs), weights_of(docs), 3)
     return rep.select("topic", "rank", "doc_id", F.round("similarity", 6).alias("similarity"))
 
 
@@ -395,10 +396,13 @@ def most_frequent_tag(docs, dictionary, out):
 
 
 def topic_summary(spark, sf_dir, excerpt=lambda c: T.excerpt(c, L.EXCERPT_CHARS)):
-    """K8 topics table: id, name, size, keywords, text of the best representative
-    (cut by ``excerpt``), curated industry, most frequent technology and impact
-    tag.  The cleaned articles are written once and read by every part."""
-    docs = written_docs(spark, sf_dir)
+    """K8 topics table.  The cleaned articles are written once and read by every part."""
+    return summary_of(spark, written_docs(spark, sf_dir), excerpt)
+
+
+def summary_of(spark, docs, excerpt=lambda c: T.excerpt(c, L.EXCERPT_CHARS)):
+    """Of written articles: id, name, size, keywords, text of the best representative
+    (cut by ``excerpt``), curated industry, most frequent technology and impact tag."""
     w = weights_of(docs)
     info = TP.topic_info(docs, TP.topic_keywords(w, L.TOP_N_WORDS)).select("topic", "name", "count")
     kw8 = TP.topic_keywords(w, SUMMARY_KEYWORDS).select("topic", "keywords")

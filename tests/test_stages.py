@@ -43,3 +43,34 @@ def test_stages_end_to_end(spark):
     topic = spark.read.option("header", True).option("inferSchema", True).csv(s8["topic_sentiment"])
     assert (topic.agg(F.sum("count")).first()[0] or 0) == n_lab
     assert spark.read.parquet(s6["tagged"]).count() == n_lab
+
+
+def _cleanings(monkeypatch, run):
+    from quarry.functions import text as T
+
+    calls, clean = [], T.with_clean
+    monkeypatch.setattr(T, "with_clean", lambda *a: calls.append(1) or clean(*a))
+    run()
+    return len(calls)
+
+
+def test_dashboard_export_cleans_the_articles_once(spark, monkeypatch):
+    from quarry.plans.io import q_dashboard_files
+
+    assert _cleanings(monkeypatch, lambda: q_dashboard_files(spark, "/root/testdata/sf0.001")) == 1
+
+
+def test_representative_texts_cleans_the_articles_once(spark, monkeypatch):
+    from quarry.plans.topics import q_representative_texts
+
+    assert _cleanings(monkeypatch, lambda: q_representative_texts(spark, "/root/testdata/sf0.001")) == 1
+
+
+def test_representatives_of_repeated_ids_and_terms_outside_the_vocabulary(spark):
+    from quarry.operators import topics as TP
+
+    occ = spark.createDataFrame([(d, "t", w) for d, text in ((1, "a b x"), (1, "a b x"), (2, "a a y y"), (3, "z")) for w in text.split()],
+                                "doc_id long, topic string, term string")
+    w = spark.createDataFrame([("t", "a", 1, 1.0, 1.0), ("t", "b", 1, 2.0, 2.0)], "topic string, term string, tf long, idf double, weight double")
+    got = [(r["rank"], r["doc_id"], round(r["similarity"], 6)) for r in TP.representative_texts(occ, w, 3).orderBy("rank").collect()]
+    assert got == [(1, 1, 1.0), (2, 2, round(1 / 5 ** 0.5, 6))]
