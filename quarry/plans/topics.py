@@ -13,7 +13,7 @@ from ..operators.aggregates import distinct_values, top_k_per_group
 from ..operators import topics as TP
 from ..operators.filters import keep_curated
 from ..operators.joins import label_topics
-from ..operators.text_vectors import fit_text_vectors, text_vectors
+from ..operators.text_vectors import fit_text_vectors, term_counts, text_vectors
 from ..sources.readers import table
 from ..sources.writers import materialize, scratch_path, write_report_csv
 from . import oracle_sql as S
@@ -282,10 +282,12 @@ def fitted_topics(spark, sf_dir):
 
 
 def document_vectors(spark, sf_dir):
-    """E1 -> M1: ``doc_id, reduced`` of every document, whatever its language."""
-    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
-    emb = text_vectors(docs, "text", fit_text_vectors(docs, "text"))
-    return materialize(TP.reduce_dims(emb.select("doc_id", "embedding"), "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
+    """E1 -> M1: ``doc_id, reduced`` of every document, whatever its language.
+    Texts are split once; the components read written vectors."""
+    docs = materialize(term_counts(table(spark, sf_dir, "documents", ["doc_id", "text"]), "text"), "term_counts")
+    emb = text_vectors(docs, "terms", fit_text_vectors(docs, "terms"))
+    emb = materialize(emb.select("doc_id", "embedding"), "text_vectors")
+    return materialize(TP.reduce_dims(emb, "embedding", L.REDUCED_DIMS, "reduced"), "reduced")
 
 
 @register("reduced_dims", None)

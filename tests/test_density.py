@@ -168,6 +168,21 @@ def test_unit_vectors_and_degenerate_corpora(spark):
     assert TV.fit_text_vectors(df.filter("i = 2"), "t", buckets=64).components.shape[1] == 0
 
 
+def test_counted_texts_stand_for_texts(spark, monkeypatch):
+    """Counts made once serve the fit and the vectors; equal texts have equal vectors in any batch."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, None, "", "a b", *TEXTS[::-7]])], "i int, t string").repartition(5)
+    want = {r.i: r.embedding for r in TV.text_vectors(df, "t", TV.fit_text_vectors(df, "t", dims=12, buckets=256)).collect()}
+    counted = TV.term_counts(df, "t", buckets=256)
+    monkeypatch.setattr(TV, "term_buckets", None)  # no text is split again
+    monkeypatch.setattr(TV, "CELLS", 100)
+    model = TV.fit_text_vectors(counted, "terms", dims=12, buckets=256)
+    got = TV.text_vectors(counted, "terms", model)
+    assert got.columns == ["i", "embedding"]
+    got = {r.i: r.embedding for r in got.collect()}
+    assert all(np.allclose(got[i], want[i]) for i in want) and len(got) == len(want)
+    assert all(got[len(TEXTS) + 3 + k] == got[TEXTS.index(t)] for k, t in enumerate(TEXTS[::-7]))
+
+
 def test_sweep_hands_its_rows_on_in_bounded_frames(monkeypatch):
     monkeypatch.setattr(DN, "SWEEP_ROWS", 10)
     run = DN._Sweep(2)
