@@ -26,7 +26,7 @@ Every round is written to the shared folder: a lost executor costs one round.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -116,6 +116,49 @@ def _box_gap(lo: np.ndarray, hi: np.ndarray, los: np.ndarray, his: np.ndarray) -
     return np.sqrt((gap * gap).sum(axis=1)) * (1 - 1e-12)
 
 
+def _out(x: np.ndarray, los: np.ndarray, his: np.ndarray) -> np.ndarray:
+    """Distance of each point to the nearest of the boxes; boxes farther from all points
+    than what is found are passed over."""
+    out = np.full(len(x), np.inf)
+    gap = _box_gap(x.min(axis=0), x.max(axis=0), los, his)
+    order = np.argsort(gap, kind="stable")
+    for a in range(0, len(order), 64):
+        ids = order[a:a + 64]
+        if gap[ids[0]] > out.max():
+            break
+        out = np.minimum(out, _to_boxes(x, los[ids], his[ids]).min(axis=1))
+    return out
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[Callable[[slice], np.ndarray], float]:
+    """Squared distances of rows of x to all of y by a matrix product, and how far they may be off."""
+    middle = y.mean(axis=0)
+    a, b = x - middle, y - middle
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    eps, d = np.finfo(np.float64).eps, x.shape[1]
+    wide, top = np.sqrt(aa.max(initial=0)) + np.sqrt(bb.max(initial=0)), max(np.abs(x).max(initial=0), np.abs(y).max(initial=0))
+    off = 16 * d * eps * top
+    return lambda rows: aa[rows, None] + bb - 2 * (a[rows] @ b.T), float(64 * d * eps * wide * wide + off * wide + off * off)
+
+
+def _within(x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in x, places in y, distances) of the pairs within ``bound`` of the x."""
+    squares, off = _squares(x, y)
+    limit = bound * bound * (1 + 1e-12) + off
+    found = []
+    for at in range(0, len(x), 512):
+        i, j = np.nonzero(squares(slice(at, at + 512)) <= limit[at:at + 512, None])
+        i += at
+        total = np.zeros(len(i))
+        for k in range(x.shape[1]):  # as _distances, to the bit
+            gap = x[i, k] - y[j, k]
+            total += gap * gap
+        dist = np.sqrt(total)
+        near = dist <= bound[i]
+        found.append((i[near], j[near], dist[near]))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
 def _points(df: DataFrame, vec: str, id_col: str) -> tuple[DataFrame, int, int]:
     """``v, m, x, block``: distinct vectors, numbered by their least id, and their
     multiplicity; also their number and dimensions."""
@@ -178,7 +221,21 @@ def _nearest(x: np.ndarray, others: np.ndarray, k: int, skip_self: bool) -> tupl
     return dist, place
 
 
-_NEAR = "v long, near array<struct<d: double, m: long>>"
+_OWN = "block int, v array<long>, m array<long>, xs array<double>, far array<double>, near_d array<double>, near_m array<long>"
+
+
+def _core(own: np.ndarray, place: np.ndarray, dist: np.ndarray, m: np.ndarray, min_samples: int) -> np.ndarray:
+    """Core distance of each point from its copies and from others (``place``: whose) at ``dist``."""
+    copies = np.flatnonzero(own > 1)
+    place, dist, m = np.r_[copies, place], np.r_[np.zeros(len(copies)), dist], np.r_[own[copies] - 1, m]
+    order = np.lexsort((m, dist, place))
+    place, dist, m = place[order], dist[order], m[order]
+    before = np.cumsum(m) - m
+    first = np.searchsorted(place, place)  # the first of the same point
+    out = np.zeros(len(own))
+    needed = before - before[first] < min_samples  # walk up the distances until enough vectors are counted
+    np.maximum.at(out, place[needed], dist[needed])
+    return out
 
 
 def core_distances(points: DataFrame, min_samples: int, n: int, d: int) -> DataFrame:
@@ -187,11 +244,6 @@ def core_distances(points: DataFrame, min_samples: int, n: int, d: int) -> DataF
     packed = materialize(_packed(points, ["v", "m"]), "density_blocks")
     boxes = points.sparkSession.sparkContext.broadcast(_directory(packed, d))
 
-    def listed(m_own, dist, m_near) -> list[list[dict]]:
-        """Copies of a point come first, at distance 0."""
-        return [([{"d": 0.0, "m": own - 1}] if own > 1 else []) + [{"d": a, "m": b} for a, b in zip(ds, ms, strict=True)]
-                for own, ds, ms in zip(m_own.tolist(), dist.tolist(), m_near.tolist(), strict=True)]
-
     def reach(m_own, dist, m_near) -> np.ndarray:
         """Distance within which enough others are known; infinite if too few are."""
         total = np.cumsum(m_near, axis=1) + (m_own - 1)[:, None]
@@ -203,37 +255,54 @@ def core_distances(points: DataFrame, min_samples: int, n: int, d: int) -> DataF
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                x, m, v = _matrix(r, "xs", d), np.asarray(r.m), np.asarray(r.v)
+                x, m = _matrix(r, "xs", d), np.asarray(r.m)
                 dist, place = _nearest(x, x, min_samples, True)
-                yield pd.DataFrame({"v": v, "near": listed(m, dist, m[place])})
+                yield pd.DataFrame({"block": [r.block], "v": [r.v], "m": [m], "xs": [r.xs], "far": [reach(m, dist, m[place])],
+                                    "near_d": [dist.ravel()], "near_m": [m[place].ravel()]})
 
     def asks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = boxes.value
         for batch in batches:
             for r in batch.itertuples(index=False):
-                x, m, v = _matrix(r, "xs", d), np.asarray(r.m), np.asarray(r.v)
-                dist, place = _nearest(x, x, min_samples, True)
-                far = reach(m, dist, m[place])
-                yield from _sent(r.block, x, far, b, {"v": v}, d)
+                x, far = _matrix(r, "xs", d), np.asarray(r.far)
+                home = np.full(len(x), r.block, np.int64)
+                yield from _sent(r.block, x, far, boxes.value, {"home": home, "place": np.arange(len(x)), "far": far}, d)
 
     def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Those within reach, and of one block no more than ``min_samples``."""
+        for batch in batches:
+            out: dict[str, list] = {"block": [], "place": [], "d": [], "near": []}
+            for r in batch.itertuples(index=False):
+                i, j, dist = _within(_matrix(r, "q_xs", d), _matrix(r, "xs", d), np.asarray(r.q_far))
+                order = np.lexsort((dist, i))
+                i, j, dist = i[order], j[order], dist[order]
+                few = np.arange(len(i)) - np.searchsorted(i, i) < min_samples
+                if few.any():
+                    out["block"].append(r.q_home[0])
+                    out["place"].append(np.asarray(r.q_place)[i[few]])
+                    out["d"].append(dist[few])
+                    out["near"].append(np.asarray(r.m)[j[few]])
+            if out["block"]:
+                yield pd.DataFrame(out)
+
+    def cores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
                 m = np.asarray(r.m)
-                dist, place = _nearest(_matrix(r, "q_xs", d), _matrix(r, "xs", d), min_samples, False)
-                yield pd.DataFrame({"v": np.asarray(r.q_v), "near": listed(np.ones(len(dist), np.int64), dist, m[place])})
+                place, dist, near = np.repeat(np.arange(len(m)), len(r.near_d) // len(m)), np.asarray(r.near_d), np.asarray(r.near_m)
+                if getattr(r, "place", None) is not None:
+                    place, dist, near = np.r_[place, r.place], np.r_[dist, r.d], np.r_[near, r.near]
+                yield pd.DataFrame({"v": np.asarray(r.v), "m": m, "x": list(_matrix(r, "xs", d)), "block": r.block,
+                                    "core": _core(m, place, dist, near, min_samples)})
 
-    near = packed.mapInPandas(own, _NEAR)
+    found = packed.mapInPandas(own, _OWN)
     if len(boxes.value["block"]) > 1:
-        sent = packed.mapInPandas(asks, "block int, q_v array<long>, q_xs array<double>")
-        near = near.unionByName(sent.join(packed, "block").mapInPandas(answers, _NEAR))
-    ordered = F.array_sort(F.flatten(F.collect_list("near")))
-    lists = near.groupBy("v").agg(ordered.alias("near"))
-    # walk up the distances until enough vectors are counted
-    walk = F.aggregate("near", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("core")),
-                       lambda s, e: F.when(s["seen"] >= min_samples, s).otherwise(
-                           F.struct((s["seen"] + e["m"]).alias("seen"), e["d"].alias("core"))))
-    return points.join(lists.select("v", walk["core"].alias("core")), "v")
+        found = materialize(found, "own_distances")
+        sent = found.mapInPandas(asks, "block int, q_home array<long>, q_place array<long>, q_far array<double>, q_xs array<double>")
+        heard = sent.join(packed.select("block", "m", "xs"), "block").mapInPandas(
+            answers, "block int, place array<long>, d array<double>, near array<long>")
+        heard = heard.groupBy("block").agg(F.collect_list(F.struct("place", "d", "near")).alias("_r"))
+        found = found.join(heard.select("block", *[F.flatten(f"_r.{c}").alias(c) for c in ("place", "d", "near")]), "block", "left")
+    return found.mapInPandas(cores, "v long, m long, x array<double>, block int, core double")
 
 
 def _sent(block: int, x: np.ndarray, bound: np.ndarray, boxes: dict, extra: dict, d: int, passed=None) -> Iterator[pd.DataFrame]:
@@ -266,27 +335,36 @@ def _edge_frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"comp": "int64", "w": "float64", "lo": "Int64", "hi": "Int64", "other": "Int64"})
 
 
-def _least_edges(x, core, v, comp, y, core_y, v_y, comp_y) -> pd.DataFrame:
+def _least_edges(best: dict[int, tuple], x, core, v, comp, y, core_y, v_y, comp_y, bound=None) -> None:
     """Least edge (by weight, then ids) of each component of the x to another
-    component of the y."""
-    best: dict[int, tuple] = {}
-    for a in range(0, len(x), 512):
-        part = slice(a, a + 512)
+    component of the y, not above ``bound`` of the x; ``best`` keeps the lesser of it and what it has."""
+    if not len(x):
+        return
+    squares, off = _squares(x, y)
+    least = np.concatenate([np.where(comp[a:a + 512, None] == comp_y, np.inf, np.maximum(squares(slice(a, a + 512)), core_y * core_y)).min(axis=1)
+                            for a in range(0, len(x), 512)])
+    least = np.maximum(least, core * core)
+    groups, group = np.unique(comp, return_inverse=True)
+    known = np.array([best[c][0] if c in best else np.inf for c in groups.tolist()])
+    limit = np.minimum.reduceat(least[np.argsort(group, kind="stable")], np.r_[0, np.cumsum(np.bincount(group))[:-1]]) + 2 * off
+    limit = np.minimum(limit, known * known * (1 + 1e-12) + off)[group]
+    if bound is not None:
+        limit = np.minimum(limit, bound * bound * (1 + 1e-12) + off)
+    live = np.flatnonzero((least <= limit * (1 + 1e-12)) & np.isfinite(least))  # only these rows can have a least edge
+    for a in range(0, len(live), 512):
+        part = live[a:a + 512]
         w = np.maximum(_distances(x[part], y), np.maximum(core[part, None], core_y[None, :]))
         w[comp[part, None] == comp_y[None, :]] = np.inf
-        least = w.min(axis=1)
-        for i in np.flatnonzero(np.isfinite(least)):
-            c = int(comp[a + i])
-            if c in best and least[i] > best[c][0]:
+        low = w.min(axis=1)
+        for i, (at, c, weight) in enumerate(zip(part.tolist(), comp[part].tolist(), low.tolist(), strict=True)):
+            if c in best and weight > best[c][0] or bound is not None and weight > bound[at]:
                 continue
-            ties = np.flatnonzero(w[i] == least[i])
-            mine = int(v[a + i])
-            for j in ties:
+            mine = int(v[at])
+            for j in np.flatnonzero(w[i] == weight):
                 other = int(v_y[j])
-                edge = (float(least[i]), min(mine, other), max(mine, other), int(comp_y[j]))
+                edge = (weight, min(mine, other), max(mine, other), int(comp_y[j]))
                 if c not in best or edge < best[c]:
                     best[c] = edge
-    return _edge_frame([(c, *e) for c, e in best.items()])
 
 
 def _merged(links: DataFrame) -> DataFrame:
@@ -377,7 +455,8 @@ def spanning_tree(points: DataFrame, d: int) -> DataFrame:
     reachability.  ``points``: ``v, m, x, block, core``."""
     spark = points.sparkSession
     first = materialize(_packed(points, ["v", "core"]), "density_blocks")
-    around = spark.sparkContext.broadcast(_directory(first, d))
+    found = _directory(first, d)
+    around = spark.sparkContext.broadcast(found)
 
     def locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = around.value
@@ -385,28 +464,41 @@ def spanning_tree(points: DataFrame, d: int) -> DataFrame:
             for r in batch.itertuples(index=False):
                 x, core, v = _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v)
                 near = b["block"] != r.block
-                out = np.concatenate([_to_boxes(x[a:a + 64], b["lo"][near], b["hi"][near]).min(axis=1, initial=np.inf) for a in range(0, len(x), 64)])
-                comp, kept = _sure_edges(x, core, v, out)
-                yield pd.DataFrame({"v": v, "comp": comp, "w": None, "hi": None}).astype({"w": "float64", "hi": "Int64"})
-                if kept:
-                    yield pd.DataFrame({"v": [e[1] for e in kept], "comp": [e[1] for e in kept], "w": [e[0] for e in kept],
-                                        "hi": pd.array([e[2] for e in kept], "Int64")})
-
-    sure = materialize(first.mapInPandas(locally, "v long, comp long, w double, hi long"), "sure_edges")
-    tree = sure.filter("hi is not null").select(F.col("v").alias("lo"), "hi", "w")
-    comps = sure.filter("hi is null").select("v", "comp")
-    state = points.select("v", "x", "block", "core").join(comps, "v")
+                comp, kept = _sure_edges(x, core, v, _out(x, b["lo"][near], b["hi"][near]))
+                yield pd.DataFrame({"block": [r.block], "v": [v], "core": [core], "xs": [r.xs], "start": [comp], "top": [core.max()],
+                                    "w": [np.array([e[0] for e in kept], np.float64)], "lo": [np.array([e[1] for e in kept], np.int64)],
+                                    "hi": [np.array([e[2] for e in kept], np.int64)]})
+
+    # the blocks stay as they are: a component at the start is inside one block, rounds carry its present name only
+    blocks = materialize(first.mapInPandas(locally, "block int, v array<long>, core array<double>, xs array<double>, start array<long>, "
+                                           "top double, w array<double>, lo array<long>, hi array<long>"), "sure_edges")
+    parts = [blocks.select(F.explode(F.arrays_zip("lo", "hi", "w")).alias("e")).select("e.*")]
+    tops = dict(blocks.select("block", "top").collect())
+    state = materialize(blocks.select("block", F.explode(F.array_distinct("start")).alias("start")).withColumn("comp", F.col("start")), "components")
+    blocks = blocks.select("block", "v", "core", "xs", "start")
+
+    def named(marks: DataFrame, columns: list[str]) -> DataFrame:
+        """The blocks with the names, by ``start``, of their components."""
+        row = F.collect_list(F.struct("start", *columns))
+        marks = marks.groupBy("block").agg(row.alias("_r")).select("block", *[F.col(f"_r.{c}").alias(f"of_{c}") for c in ("start", *columns)])
+        return blocks.join(marks, "block")
+
+    def names_of(r, *columns: str) -> list[np.ndarray]:
+        starts = np.asarray(r.of_start)
+        order = np.argsort(starts)
+        at = order[np.searchsorted(starts[order], np.asarray(r.start))]
+        return [np.asarray(getattr(r, f"of_{c}"))[at] for c in columns]
+
     while True:
-        packed = materialize(_packed(state, ["v", "core", "comp"]), "density_blocks")
-        pure = F.when(F.array_min("comp") == F.array_max("comp"), F.array_min("comp"))
-        info = {r[0]: r[1:] for r in packed.select("block", F.coalesce(pure, F.lit(-1)), pure.isNotNull(), F.array_max("core")).collect()}
-        whole = {r[0] if r[1] else None for r in info.values()}
-        if len(whole) == 1 and None not in whole:
+        info = {r[0]: r[1:] for r in state.groupBy("block").agg(F.min("comp"), F.max("comp")).collect()}
+        if len({c for ends in info.values() for c in ends}) <= 1:
+            tree = parts[0]
+            for more in parts[1:]:
+                tree = tree.unionByName(more)
             return tree
-        found = _directory(packed, d)
-        found["pure"] = np.array([bool(info[b][1]) for b in found["block"].tolist()])
-        found["comp"] = np.array([info[b][0] for b in found["block"].tolist()], np.int64)
-        found["core"] = np.array([info[b][2] for b in found["block"].tolist()])
+        ends = [info[b] for b in found["block"].tolist()]
+        found = {**found, "pure": np.array([lo == hi for lo, hi in ends]), "comp": np.array([lo if lo == hi else -1 for lo, hi in ends], np.int64),
+                 "core": np.array([tops[b] for b in found["block"].tolist()])}
         boxes = spark.sparkContext.broadcast(found)
 
         def inside(batches: Iterator[pd.DataFrame], boxes=boxes) -> Iterator[pd.DataFrame]:
@@ -414,48 +506,54 @@ def spanning_tree(points: DataFrame, d: int) -> DataFrame:
             instead: everything in the nearest other block is that near."""
             b = boxes.value
             for batch in batches:
+                rows: list[tuple] = []
                 for r in batch.itertuples(index=False):
-                    x, core, v, comp = _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v), np.asarray(r.comp)
+                    x, core, v, (comp,) = _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v), names_of(r, "comp")
                     if comp.min() != comp.max():
-                        yield _least_edges(x, core, v, comp, x, core, v, comp)
+                        best: dict[int, tuple] = {}
+                        _least_edges(best, x, core, v, comp, x, core, v, comp)
+                        rows += [(c, *e) for c, e in best.items()]
                         continue
                     lo, hi, c = x.min(axis=0), x.max(axis=0), int(comp[0])
                     unlike = ~(b["pure"] & (b["comp"] == c)) & (b["block"] != r.block)
                     wide = np.maximum(np.abs(b["hi"] - lo), np.abs(hi - b["lo"]))
                     bound = np.maximum(np.maximum(np.sqrt((wide * wide).sum(axis=1)), b["core"]), core.max()) * (1 + 1e-12)
                     if unlike.any():
-                        yield _edge_frame([(c, float(bound[unlike].min()), None, None, None)])
+                        rows.append((c, float(bound[unlike].min()), None, None, None))
+                yield _edge_frame(rows)
 
-        own = materialize(packed.mapInPandas(inside, _EDGE), "own_edges")
+        own = materialize(named(state, ["comp"]).mapInPandas(inside, _EDGE), "own_edges")
         candidates = own
         if len(found["block"]) > 1:
             bounds = own.groupBy("comp").agg(F.min("w").alias("bound"))
-            bounded = materialize(_packed(state.join(bounds, "comp"), ["v", "core", "comp", "bound"]), "density_blocks")
+            marks = state.join(bounds, "comp", "left").select("block", "start", "comp", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+            bounded = named(materialize(marks, "component_bounds"), ["comp", "bound"])
 
             def asks(batches: Iterator[pd.DataFrame], boxes=boxes) -> Iterator[pd.DataFrame]:
                 b = boxes.value
                 for batch in batches:
                     for r in batch.itertuples(index=False):
-                        x, core, comp, bound = _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.comp), np.asarray(r.bound)
+                        x, core, v, (comp, bound) = _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v), names_of(r, "comp", "bound")
                         live = core <= bound
-                        x, core, comp, bound, v = x[live], core[live], comp[live], bound[live], np.asarray(r.v)[live]
-                        yield from _sent(r.block, x, bound, b, {"v": v, "core": core, "comp": comp}, d,
+                        x, core, comp, bound, v = x[live], core[live], comp[live], bound[live], v[live]
+                        yield from _sent(r.block, x, bound, b, {"v": v, "core": core, "comp": comp, "bound": bound}, d,
                                          lambda i, comp=comp: (comp == b["comp"][i]) & b["pure"][i])
 
             def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for batch in batches:
+                    best: dict[int, tuple] = {}
                     for r in batch.itertuples(index=False):
-                        yield _least_edges(_matrix(r, "q_xs", d), np.asarray(r.q_core), np.asarray(r.q_v), np.asarray(r.q_comp),
-                                           _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v), np.asarray(r.comp))
+                        _least_edges(best, _matrix(r, "q_xs", d), np.asarray(r.q_core), np.asarray(r.q_v), np.asarray(r.q_comp),
+                                     _matrix(r, "xs", d), np.asarray(r.core), np.asarray(r.v), names_of(r, "comp")[0], np.asarray(r.q_bound))
+                    yield _edge_frame([(c, *e) for c, e in best.items()])
 
-            sent = bounded.mapInPandas(asks, "block int, q_v array<long>, q_core array<double>, q_comp array<long>, q_xs array<double>")
-            candidates = own.unionByName(sent.join(packed, "block").mapInPandas(answers, _EDGE))
+            sent = bounded.mapInPandas(asks, "block int, q_v array<long>, q_core array<double>, q_comp array<long>, q_bound array<double>, q_xs array<double>")
+            candidates = own.unionByName(sent.join(bounded, "block").mapInPandas(answers, _EDGE))
         chosen = candidates.filter("lo is not null").groupBy("comp").agg(F.min(F.struct("w", "lo", "hi", "other")).alias("e"))
         chosen = materialize(chosen.select("comp", "e.*"), "chosen_edges")
-        new = chosen.select("lo", "hi", "w").distinct()
-        tree = materialize(tree.unionByName(new), "spanning_tree")
+        parts.append(chosen.select("lo", "hi", "w").distinct())
         roots = _merged(chosen.select("comp", "other"))
-        state = state.join(roots, "comp").select("v", "x", "block", "core", F.col("root").alias("comp"))
+        state = materialize(state.join(roots, "comp").select("block", "start", F.col("root").alias("comp")), "components")
 
 
 # --- hierarchy --------------------------------------------------------------

@@ -194,3 +194,35 @@ def test_sweep_hands_its_rows_on_in_bounded_frames(monkeypatch):
     assert [len(f) for f in frames] == [10] * 6 and not run.rows
     assert sorted(int(v) for f in frames for v in f["label"]) == list(range(60))
     assert len(run.state) == 30  # summaries of merged components are let go
+
+
+def test_points_are_packed_into_blocks_once(spark, monkeypatch):
+    """Rounds of the spanning tree carry names of components, not the points; the tree is that of all pairs."""
+    monkeypatch.setattr(DN, "BLOCK_VALUES", 150)
+    packed, whole = [], DN._packed
+    monkeypatch.setattr(DN, "_packed", lambda df, columns: packed.append(columns) or whole(df, columns))
+    x = planted(2, 2)
+    points, n, d = DN._points(frame(spark, x), "v", "vec_id")
+    points = spark.createDataFrame(DN.core_distances(points, 5, n, d).toPandas())
+    rows = points.orderBy("v").collect()
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    at = [int(np.flatnonzero((x == r.x).all(axis=1))[0]) for r in rows]
+    core = np.sort(dist, axis=1)[:, 5]
+    assert np.allclose([r.core for r in rows], core[at], rtol=1e-12)
+    tree = DN.spanning_tree(points, d).collect()
+    assert packed == [["v", "m"], ["v", "core"]]
+    reach = np.maximum(dist, np.maximum(core[:, None], core[None]))[np.ix_(at, at)]
+    want = DN._local_tree(x[at], core[at], np.arange(n))
+    assert len(tree) == n - 1 and np.allclose(sorted(e.w for e in tree), [e[0] for e in want], rtol=1e-12)
+    assert all(np.isclose(reach[e.lo, e.hi], e.w, rtol=1e-12) for e in tree)
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e7])
+def test_pairs_within_a_bound_are_exact(shift):
+    rnd = np.random.default_rng(8)
+    x, y = rnd.normal(shift, 1e-3, (700, 3)), rnd.normal(shift, 1e-3, (90, 3))
+    dist = DN._distances(x, y)
+    bound = np.sort(dist, axis=1)[:, 4] * np.tile([1.0, 0.0, np.inf, 0.5], 175)
+    i, j, got = DN._within(x, y, bound)
+    assert sorted(zip(i.tolist(), j.tolist())) == [tuple(p) for p in np.argwhere(dist <= bound[:, None]).tolist()]
+    assert (got == dist[i, j]).all()
