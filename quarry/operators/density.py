@@ -40,6 +40,7 @@ from .aggregates import consecutive_ids
 BLOCK_VALUES = 4096     # numbers in a block: rows times dimensions
 MAX_BLOCKS = 1 << 16
 SAMPLE_A_BLOCK = 32     # sampled points a block when the cuts are learned
+WHOLE_ROWS = 1 << 11    # rows of a block whose distances are held at once
 SWEEP_EDGES = 1 << 20   # edges that one union-find holds
 SWEEP_ROWS = 1 << 14    # result rows that it holds before it hands them on
 NEAREST = 1e-10         # smaller distances count as this in levels (1 / distance)
@@ -402,18 +403,17 @@ def _local_tree(x: np.ndarray, core: np.ndarray, v: np.ndarray) -> list[tuple[fl
     n = len(x)
     order = np.argsort(v)
     x, core = x[order], core[order]  # equal weights by ids, as everywhere
-    best, via, open_ = np.full(n, np.inf), np.zeros(n, np.int64), np.ones(n, bool)
-    edges, at = [], 0
+    whole = np.maximum(_distances(x, x), np.maximum(core[:, None], core)) if n <= WHOLE_ROWS else None
+    best, via = np.full(n, np.inf), np.zeros(n, np.int64)
+    edges, at, open_, reached = [], 0, np.ones(n, bool), np.full(n, np.inf)
     for _ in range(n - 1):
-        open_[at] = False
-        w = np.maximum(_distances(x[at:at + 1], x)[0], np.maximum(core, core[at]))
-        lo, hi = np.minimum(at, np.arange(n)), np.maximum(at, np.arange(n))
-        old_lo, old_hi = np.minimum(via, np.arange(n)), np.maximum(via, np.arange(n))
-        nearer = (w < best) | ((w == best) & ((lo < old_lo) | ((lo == old_lo) & (hi < old_hi))))
-        best, via = np.where(nearer & open_, w, best), np.where(nearer & open_, at, via)
-        left = np.flatnonzero(open_)
-        least = left[best[left] == best[left].min()]
-        at = min(least.tolist(), key=lambda i: (min(i, via[i]), max(i, via[i])))
+        open_[at], reached[at] = False, np.inf
+        w = whole[at] if whole is not None else np.maximum(_distances(x[at:at + 1], x)[0], np.maximum(core, core[at]))
+        # of two equal edges to one point, that from the lesser place comes first
+        nearer = np.flatnonzero(((w < best) | ((w == best) & (via > at))) & open_)
+        best[nearer], via[nearer], reached[nearer] = w[nearer], at, w[nearer]
+        least = np.flatnonzero(reached == reached.min())
+        at = int(least[0]) if len(least) == 1 else min(least.tolist(), key=lambda i: (min(i, via[i]), max(i, via[i])))
         edges.append((float(best[at]), int(min(at, via[at])), int(max(at, via[at]))))
     return [(w, int(order[a]), int(order[b])) for w, a, b in sorted(edges)]
 
@@ -560,7 +560,8 @@ def spanning_tree(points: DataFrame, d: int) -> DataFrame:
 
 _STATE = "label long, size long, cluster string, level_sum double, parts_worth double"
 _EVENT = f"kind string, {_STATE}, into long, level double, parent string, chosen boolean, birth double"
-_EVENT_TYPES = {"label": "Int64", "size": "Int64", "into": "Int64", "kind": object, "cluster": object, "parent": object, "chosen": object}
+_EVENT_TYPES = {"label": "Int64", "size": "Int64", "into": "Int64", "kind": object, "cluster": object, "parent": object, "chosen": object,
+                "level_sum": float, "parts_worth": float, "level": float, "birth": float}
 
 
 class _Sweep:
@@ -583,8 +584,9 @@ class _Sweep:
             label = up[label]
         return label
 
-    def row(self, kind: str, **values) -> None:
-        self.rows.append({"kind": kind, **values})
+    def row(self, *values) -> None:
+        """In the order of _EVENT."""
+        self.rows.append(values)
 
     def written(self) -> Iterator[pd.DataFrame]:
         """The rows so far, SWEEP_ROWS at a time; they are let go."""
@@ -593,15 +595,14 @@ class _Sweep:
         self.rows.clear()
 
     def leave(self, root: int, cluster: str, level: float) -> None:
-        for label in self.members.pop(root):
-            self.row("left", label=label, cluster=cluster, level=level)
+        self.rows += [("left", label, None, cluster, None, None, None, level, None, None, None) for label in self.members.pop(root)]
 
     def close(self, s: list, level: float, parent: str | None) -> float:
         """A cluster ends (from below) at ``level``: keep it, or what it is made of."""
         size, cluster, level_sum, parts = s
         own = level_sum - size * level
         chosen = parent is not None and own >= parts
-        self.row("cluster", cluster=cluster, parent=parent, chosen=chosen, birth=level, size=size)
+        self.row("cluster", None, size, cluster, None, None, None, None, parent, chosen, level)
         return own if own >= parts else parts
 
     def merge(self, name: str, lo: int, hi: int, w: float) -> None:
@@ -669,20 +670,21 @@ def hierarchy(points: DataFrame, tree: DataFrame, min_cluster_size: int) -> tupl
                 for pos, w, a, b in zip(*(some[k].tolist() for k in ("pos", "w", "a", "b")), strict=True):
                     run.merge(f"e{pos}", a, b, w)
                 yield from run.written()
-            for label in run.parent:
+            for label in run.state if last else run.parent:  # after the last sweep only clusters count
                 top = run.root(label)
                 size, cluster, level_sum, worth = run.state[top]
-                if top == label:
-                    run.row("state", label=label, size=size, cluster=cluster, level_sum=level_sum, parts_worth=worth)
-                    if last and cluster is not None:  # the cluster of everything is never chosen
+                if last:
+                    if cluster is not None:  # the cluster of everything is never chosen
                         run.close(run.state[top], 0.0, None)
+                elif top == label:
+                    run.row("state", label, size, cluster, level_sum, worth, None, None, None, None, None)
                 else:
-                    run.row("moved", label=label, into=top)
+                    run.row("moved", label, None, None, None, None, top, None, None, None, None)
                 if len(run.rows) >= SWEEP_ROWS:
                     yield from run.written()
             yield from run.written()
 
-        done = materialize(part.coalesce(1).mapInPandas(sweep, _EVENT), "density_sweep")
+        done = materialize(part.repartition(1).mapInPandas(sweep, _EVENT), "density_sweep")
         events = lambda kind: done.filter(F.col("kind") == kind)
         clusters.append(events("cluster").select("cluster", "parent", "chosen", "birth"))
         gone = events("left").select("label", F.col("cluster").alias("_c"), F.col("level").alias("_l"))

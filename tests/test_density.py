@@ -226,3 +226,23 @@ def test_pairs_within_a_bound_are_exact(shift):
     i, j, got = DN._within(x, y, bound)
     assert sorted(zip(i.tolist(), j.tolist())) == [tuple(p) for p in np.argwhere(dist <= bound[:, None]).tolist()]
     assert (got == dist[i, j]).all()
+
+
+def test_block_tree_measures_its_distances_once(monkeypatch):
+    """A block's distances are worked out together; equal weights are still taken by ids."""
+    rnd = np.random.default_rng(5)
+    x, core, v = rnd.integers(0, 5, (80, 2)).astype(float), rnd.choice([0.0, 1.0, 1.5], 80), rnd.permutation(200)[:80]
+    calls, distances = [], DN._distances
+    monkeypatch.setattr(DN, "_distances", lambda a, b: calls.append(len(a)) or distances(a, b))
+    got = {(w, min(v[a], v[b]), max(v[a], v[b])) for w, a, b in DN._local_tree(x, core, v)}
+    assert calls == [80]
+    reach = np.maximum(distances(x, x), np.maximum(core[:, None], core))
+    home, want = {int(i): int(i) for i in v}, set()
+    for w, a, b in sorted((reach[i, j], min(v[i], v[j]), max(v[i], v[j])) for i in range(80) for j in range(i)):
+        if home[a] != home[b]:
+            want.add((w, a, b))
+            old, new = home[a], home[b]
+            home = {k: new if h == old else h for k, h in home.items()}
+    assert got == want
+    monkeypatch.setattr(DN, "WHOLE_ROWS", 10)  # row by row, the same
+    assert {(w, min(v[a], v[b]), max(v[a], v[b])) for w, a, b in DN._local_tree(x, core, v)} == want
